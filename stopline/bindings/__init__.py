@@ -3,6 +3,8 @@
 
 def load():
     """Import all groups once and return the registry module."""
-    from stopline.bindings import common, joins_sets, prepare, scalars, statistics  # noqa: F401
+    from stopline.bindings import (  # noqa: F401
+        common, jobs, joins_sets, prepare, scalars, statistics,
+    )
 
     return common

@@ -83,18 +83,17 @@ ZERO_TAX_SQL = """(SELECT * REPLACE (nullif(l_tax, 0) AS l_tax, nullif(l_discoun
 
 def pick(number: str, values: Sequence[str | None]) -> str:
     """SQL that picks a value by a number modulo the list length."""
-    arms = " ".join(
-        f"WHEN {i} THEN " + ("NULL" if v is None else "'" + v.replace("'", "''") + "'")
-        for i, v in enumerate(values))
-    return f"CASE ({number}) % {len(values)} {arms} END"
+    text = "|".join(v or "" for v in values)
+    chosen = f"split_part('{text}', '|', cast(({number}) % {len(values)} + 1 AS int))"
+    return f"nullif({chosen}, '')" if None in values else chosen
 
 
 def yes_every(number: str, every: int) -> str:
     return f"CASE WHEN ({number}) % {every} = 0 THEN 'Yes' ELSE 'No' END"
 
 
-# m mixes the row number, so that columns look unrelated to each other.
-_M = "(event_id * 7919 + user_id * 104729 + 17)"
+# m mixes the row number and the user; h mixes it once more.
+_M, _H = "m", "h"
 STOPS_RAW = f"""
 SELECT cast(event_id % 1000000 AS int) AS x,
   CASE WHEN event_id % 5 < 2 THEN concat('M', cast(floor(event_id / 5) AS bigint))
@@ -121,14 +120,14 @@ SELECT cast(event_id % 1000000 AS int) AS x,
   CASE WHEN event_id % 41 = 0 THEN 0.0e0 WHEN event_id % 61 = 0 THEN 5.0e0
        ELSE -77.55e0 + (event_id % 6700) / 10000.0e0 END AS longitude,
   {yes_every(_M, 9)} AS accident,
-  {yes_every(_M + " + 3", 17)} AS belts,
+  {yes_every(_H + " + 3", 17)} AS belts,
   CASE WHEN event_id % 401 = 0 THEN NULL ELSE {yes_every(_M, 27)} END AS personal_injury,
   {yes_every(_M, 18)} AS property_damage,
   CASE WHEN event_id % 397 = 0 THEN NULL ELSE {yes_every(_M + " + 5", 997)} END AS fatal,
   'No' AS commercial_license,
   {yes_every(_M + " + 7", 499)} AS hazmat,
   {yes_every(_M + " + 8", 31)} AS commercial_vehicle,
-  {yes_every(_M + " + 9", 23)} AS alcohol,
+  {yes_every(_H + " + 9", 23)} AS alcohol,
   {yes_every(_M + " + 11", 211)} AS work_zone,
   CASE WHEN event_id % 13 = 0 THEN 'Yes' WHEN event_id % 13 = 1 THEN NULL ELSE 'No' END
     AS search_conducted,
@@ -150,15 +149,15 @@ SELECT cast(event_id % 1000000 AS int) AS x,
   CASE WHEN event_id % 71 = 0 THEN '0' WHEN event_id % 73 = 0 THEN 'unknown'
        WHEN event_id % 79 = 0 THEN '1900' WHEN event_id % 83 = 0 THEN '2050'
        ELSE cast(1975 + ({_M}) % 46 AS string) END AS year,
-  {pick(_M, ["TOYOTA", "HONDA", "FORD", "NISSAN", "BMW"])} AS make,
+  {pick(_H, ["TOYOTA", "HONDA", "FORD", "NISSAN", "BMW"])} AS make,
   CASE WHEN event_id % 307 = 0 THEN NULL ELSE {pick(_M, ["4S", "TK", "CAMRY", "ACCORD", "VN"])} END
     AS model,
-  {pick(_M + " + 2", ["BLACK", "SILVER", "WHITE", "GRAY", "RED", "BLUE", "GREEN", "GOLD", "TAN",
+  {pick(_H, ["BLACK", "SILVER", "WHITE", "GRAY", "RED", "BLUE", "GREEN", "GOLD", "TAN",
                       "MAROON", "BEIGE", "BLUE, DARK", "CHROME"])} AS color,
   CASE WHEN ({_M}) % 19 = 0 THEN 'ESERO'
        WHEN value * (1 + event_id % 5) > 90 OR ({_M}) % 27 = 0 THEN 'Citation'
        ELSE 'Warning' END AS violation_type,
-  {pick(_M, ["21-801.1", "21-202(h1)", "13-401(b1)", "22-412.3(b)", "TA-12", "16-303(c)",
+  {pick(_H, ["21-801.1", "21-202(h1)", "13-401(b1)", "22-412.3(b)", "TA-12", "16-303(c)",
              "21-1124.2(d2)", "20-102", "13-411(f)", "22-201.1", "11-393.9"])} AS charge,
   CASE WHEN event_id % 97 = 0 THEN NULL ELSE 'Transportation Article' END AS article,
   {yes_every(_M + " + 13", 41)} AS contributed_to_accident,
@@ -172,13 +171,13 @@ SELECT cast(event_id % 1000000 AS int) AS x,
     AS driver_state,
   {pick(_M + " + 15", ["MD", "MD", "VA", "DC", "NJ", "MD", "NY", None, "MD", "MD", "PA"])}
     AS dl_state,
-  {pick(_M, ["A - Marked Patrol", "B - Unmarked Patrol", "Q - Marked Laser", "A - Marked Patrol",
+  {pick(_H, ["A - Marked Patrol", "B - Unmarked Patrol", "Q - Marked Laser", "A - Marked Patrol",
              "L - Motorcycle", "K - Aircraft Assist"])} AS arrest_type,
   'geo' AS geolocation
-FROM events"""
+FROM (SELECT *, (m % 99991) * 48271 % 2147483647 AS h FROM (SELECT *,
+  event_id * 7919 + user_id * 104729 + 17 AS m FROM events) a) b"""
 
 # One row per hour in which anything was recorded.
-_H = "cast(round(avg(value) * 100) AS bigint)"
 WEATHER_RAW = f"""
 SELECT 'Gaithersburg' AS address, date_time, 'Gaithersburg' AS location, 'MD' AS resolved_address,
   20.0e0 + h % 700 / 10.0e0 AS maximum_temperature, 10.0e0 + h % 500 / 10.0e0 AS minimum_temperature,
@@ -192,7 +191,8 @@ SELECT 'Gaithersburg' AS address, date_time, 'Gaithersburg' AS location, 'MD' AS
   h % 1000 / 10.0e0 AS cloud_cover, 30.0e0 + h % 690 / 10.0e0 AS relative_humidity,
   {pick("h", ["Clear", "Overcast", "Partially cloudy", "Clear", "Rain, Overcast", "Clear",
               "Rain, Partially cloudy"])} AS conditions
-FROM (SELECT date_trunc('hour', ts) AS date_time, {_H} AS h FROM events GROUP BY 1) w"""
+FROM (SELECT date_trunc('hour', ts) AS date_time, cast(round(avg(value) * 100) AS bigint) AS h
+  FROM events GROUP BY 1) w"""
 
 
 def derived(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:

@@ -12,7 +12,7 @@ from stopline.bindings.common import (
 from stopline.functions import calendar, text
 from stopline.models.evaluate import confusion_counts, confusion_metrics, metrics_long
 from stopline.operators import cleaning, quality, stats
-from stopline.session import new_path
+from stopline.session import new_path, small_table
 from stopline.sources import tables
 
 # ---- sources and sinks ----
@@ -261,8 +261,8 @@ def drop_low_variance(spark, sf):
     raw = stops_raw(spark, sf).select("row_key", *_FLAGS)
     counts = cleaning.minority_counts(raw, _FLAGS)
     kept = cleaning.drop_low_variance(raw, _FLAGS, 100).columns
-    return spark.createDataFrame(
-        [(c, counts[c], c in kept) for c in _FLAGS], "flag string, minority long, kept boolean")
+    return small_table(spark, [(c, counts[c], c in kept) for c in _FLAGS],
+                       "flag string, minority long, kept boolean")
 
 
 @query(f"""SELECT l_orderkey, l_linenumber, outcome,

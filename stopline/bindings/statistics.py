@@ -334,7 +334,8 @@ def cluster_level_share(spark, sf):
 @query(f"""SELECT *, round(count / cast(sum(count) OVER (PARTITION BY cluster, variable) AS double), 6)
   AS proportion FROM ({_LEVEL_COUNTS}) k""")
 def cluster_profile(spark, sf):
-    return stats.cluster_profile(clustered(spark, sf), "l_orderkey", "cluster", _LEVELS)
+    counts = stats.cluster_level_counts(clustered(spark, sf), "l_orderkey", "cluster", _LEVELS)
+    return stats.cluster_profile(counts, "cluster")
 
 
 @query("SELECT variable, value, " + ", ".join(

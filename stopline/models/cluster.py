@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from stopline.models.encode import as_factors
 from stopline.operators.selection import dense_row_id
+from stopline.session import small_table
 
 # Linkage compares every profile with every other, so it is refused beyond
 # this many. Rows do not count, only distinct level combinations do.
@@ -94,7 +95,7 @@ def _nearest_clusters(spark, shared, owner: np.ndarray) -> list:
 
     heads = [(int(h),) for h in np.unique(owner)]
     tasks = max(1, min(len(heads), spark.sparkContext.defaultParallelism))
-    clusters = spark.createDataFrame(heads, "cluster long").repartition(tasks)
+    clusters = small_table(spark, heads, "cluster long").repartition(tasks)
     found = clusters.mapInPandas(search, "cluster long, nearest long, distance double").collect()
     owners.unpersist()
     return found
@@ -110,7 +111,7 @@ def gower_nearest(profiles: DataFrame, cols: Sequence[str], id_col: str = "id",
     shared.unpersist()
     rows = [(int(held.ids[r["cluster"]]), int(held.ids[r["nearest"]]),
              r["distance"] / held.columns) for r in found if np.isfinite(r["distance"])]
-    return spark.createDataFrame(rows, f"`{id_col}` long, nearest long, distance double")
+    return small_table(spark, rows, f"`{id_col}` long, nearest long, distance double")
 
 
 def complete_linkage(profiles: DataFrame, cols: Sequence[str], id_col: str = "id",
@@ -141,8 +142,7 @@ def complete_linkage(profiles: DataFrame, cols: Sequence[str], id_col: str = "id
     merges.sort()
     rows = [(i + 1, int(held.ids[a]), int(held.ids[b]), float(h), size)
             for i, (h, _, a, b, size) in enumerate(merges)]
-    return spark.createDataFrame(
-        rows, "step int, left long, right long, height double, size int")
+    return small_table(spark, rows, "step int, left long, right long, height double, size int")
 
 
 def cut_tree(profiles: DataFrame, merges: DataFrame, k: int, id_col: str = "id",
@@ -166,7 +166,7 @@ def cut_tree(profiles: DataFrame, merges: DataFrame, k: int, id_col: str = "id",
         owner[b] = a
     number: dict = {}
     rows = [(i, number.setdefault(head(i), len(number) + 1)) for i in ids]
-    labels = spark.createDataFrame(rows, f"`{id_col}` long, `{out}` int")
+    labels = small_table(spark, rows, f"`{id_col}` long, `{out}` int")
     return profiles.join(F.broadcast(labels), id_col)
 
 

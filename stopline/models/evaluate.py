@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stopline.session import small_table
+
 
 def threshold_class(probability: Column, below: str = "Citation", above: str = "Warning",
                     cut: float = 0.5) -> Column:
@@ -129,7 +131,7 @@ def confusion_report(spark: SparkSession, counts: DataFrame, run: str) -> DataFr
     """All metrics of one run, the exact tests included, as (run, section, metric, value)."""
     row = counts.select("tp", "fp", "fn", "tn").first()
     tests = exact_tests(*row)
-    extra = spark.createDataFrame(
-        [(run, "confusion", k, float(v)) for k, v in tests.items()],
+    extra = small_table(
+        spark, [(run, "confusion", k, float(v)) for k, v in tests.items()],
         "run string, section string, metric string, value double")
     return metrics_long(confusion_metrics(counts), run=run).unionByName(extra)

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.mllib.linalg.distributed import RowMatrix
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stopline.models.trees import with_fold
+from stopline.session import small_table
 
 
 # ---- Gram matrix ----
@@ -126,9 +128,9 @@ def stepwise(spark: SparkSession, g: Gram, direction: str, max_terms: int = 300)
         rows.append((direction, size, g.names[j - 1], float(rss), float(adjusted),
                      float(rss / noise - n + 2 * terms),
                      float(n * math.log(rss / null_rss) + terms * math.log(n))))
-    return spark.createDataFrame(
-        rows, "method string, size int, term string, rss double, adj_r2 double, "
-              "cp double, bic double")
+    return small_table(
+        spark, rows, "method string, size int, term string, rss double, adj_r2 double, "
+                     "cp double, bic double")
 
 
 def selection_sizes(steps: DataFrame) -> DataFrame:
@@ -143,44 +145,66 @@ def subset_coefficients(spark: SparkSession, g: Gram, terms: Sequence[str]) -> D
     a = g.matrix.astype(float).copy()
     at = [0, *[g.names.index(t) + 1 for t in terms]]
     beta = np.linalg.solve(a[np.ix_(at, at)], a[at, -1])
-    return spark.createDataFrame(
-        [(t, float(b)) for t, b in zip(["(Intercept)", *terms], beta)],
-        "term string, estimate double")
+    return small_table(spark, [(t, float(b)) for t, b in zip(["(Intercept)", *terms], beta)],
+                       "term string, estimate double")
+
+
+def independent_terms(g: Gram) -> list[int]:
+    """Positions of the columns that are no linear combination of earlier ones."""
+    a = g.matrix.astype(float).copy()
+    _sweep(a, 0)
+    spread, kept = np.diag(a).copy(), []
+    for j in range(1, len(g.names) + 1):
+        if a[j, j] > 1e-9 * max(spread[j], 1e-300):
+            _sweep(a, j)
+            kept.append(j - 1)
+    return kept
 
 
 # ---- logistic models ----
 
 def logistic_glm(train: DataFrame, label: str = "label", features: str = "features",
-                 max_iter: int = 25):
-    """Unpenalised binomial model, fitted by iteratively reweighted least squares."""
-    return GeneralizedLinearRegression(
+                 max_iter: int = 25, terms: Sequence[int] | None = None) -> PipelineModel:
+    """Unpenalised binomial model, fitted by iteratively reweighted least squares.
+
+    `terms` are the columns to use (`independent_terms`): aliased ones would
+    leave the normal equations singular and the standard errors undefined.
+    """
+    glm = GeneralizedLinearRegression(
         family="binomial", link="logit", labelCol=label, featuresCol=features,
-        maxIter=max_iter, linkPredictionCol="link").fit(train)
-
-
-def glm_coefficients(spark: SparkSession, model, names: Sequence[str]) -> DataFrame:
-    """(term, estimate, std_error, z, p_value), the intercept first."""
-    s = model.summary
-    order = [len(names), *range(len(names))]  # Spark lists the intercept last
-    estimates = [*model.coefficients.toArray(), model.intercept]
-    terms = [*names, "(Intercept)"]
-    rows = [
-        (terms[i], float(estimates[i]), float(s.coefficientStandardErrors[i]),
-         float(s.tValues[i]), float(s.pValues[i]))
-        for i in order
-    ]
-    return spark.createDataFrame(
-        rows, "term string, estimate double, std_error double, z double, p_value double")
+        maxIter=max_iter, linkPredictionCol="link")
+    if terms is None:
+        return Pipeline(stages=[glm]).fit(train)
+    pick = VectorSlicer(inputCol=features, outputCol=f"{features}_used", indices=list(terms))
+    return Pipeline(stages=[pick, glm.setFeaturesCol(f"{features}_used")]).fit(train)
+
+
+def glm_coefficients(spark: SparkSession, model: PipelineModel, names: Sequence[str],
+                     terms: Sequence[int] | None = None) -> DataFrame:
+    """(term, estimate, std_error, z, p_value), the intercept first, aliased terms NULL."""
+    glm = model.stages[-1]
+    s = glm.summary
+    used = [names[i] for i in (range(len(names)) if terms is None else terms)]
+    estimates = [*glm.coefficients.toArray(), glm.intercept]  # the intercept is listed last
+    known = {
+        name: (float(b), float(se), float(z), float(p))
+        for name, b, se, z, p in zip([*used, "(Intercept)"], estimates,
+                                     s.coefficientStandardErrors, s.tValues, s.pValues)
+    }
+    rows = [(t, *known.get(t, (None,) * 4)) for t in ["(Intercept)", *names]]
+    return small_table(
+        spark, rows,
+        "term string, estimate double, std_error double, z double, p_value double")
 
 
-def glm_fit_statistics(spark: SparkSession, model) -> DataFrame:
-    s = model.summary
+def glm_fit_statistics(spark: SparkSession, model: PipelineModel) -> DataFrame:
+    s = model.stages[-1].summary
     values = {
         "null_deviance": s.nullDeviance, "residual_deviance": s.deviance, "aic": s.aic,
         "null_df": s.residualDegreeOfFreedomNull, "residual_df": s.residualDegreeOfFreedom,
         "iterations": s.numIterations,
     }
-    return spark.createDataFrame([(k, float(v)) for k, v in values.items()],
+    return small_table(spark, [(k, float(v)) for k, v in values.items()],
                                  "metric string, value double")
 
 
@@ -217,7 +241,7 @@ def lasso(penalty: float | None = None, label: str = "label", features: str = "f
 
 
 def lasso_cv(train: DataFrame, key: str, lambdas: Sequence[float], folds: int = 5,
-             label: str = "label", features: str = "features", parallelism: int = 2) -> LassoPath:
+             label: str = "label", features: str = "features", parallelism: int = 4) -> LassoPath:
     """Mean and spread of the held-out log loss per penalty, folds by key hash."""
     estimator = lasso(label=label, features=features)
     grid = ParamGridBuilder().addGrid(estimator.regParam, list(lambdas)).build()
@@ -242,7 +266,7 @@ def lambda_rule(path: LassoPath, rule: str = "1se") -> float:
 def lasso_path_table(spark: SparkSession, path: LassoPath) -> DataFrame:
     rows = [(float(a), float(b), float(c))
             for a, b, c in zip(path.lambdas, path.mean, path.std)]
-    return spark.createDataFrame(rows, "lambda double, mean_loss double, sd_loss double")
+    return small_table(spark, rows, "lambda double, mean_loss double, sd_loss double")
 
 
 def coefficients(spark: SparkSession, model, names: Sequence[str],
@@ -250,7 +274,7 @@ def coefficients(spark: SparkSession, model, names: Sequence[str],
     """(term, estimate) of a fitted logistic model, the intercept included."""
     rows = [("(Intercept)", float(model.intercept)),
             *[(t, float(b)) for t, b in zip(names, model.coefficients.toArray())]]
-    table = spark.createDataFrame(rows, "term string, estimate double")
+    table = small_table(spark, rows, "term string, estimate double")
     return table.where("estimate != 0") if nonzero else table
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stopline.models.evaluate import confusion_counts, confusion_metrics
+from stopline.session import small_table
 
 
 def random_forest(bins: int, trees: int = 100, mtry: int = 4, max_depth: int = 20,
@@ -64,9 +65,10 @@ def fit_forest_grid(train: DataFrame, test: DataFrame, bins: int, grid: Sequence
          s["tp"], s["fp"], s["fn"], s["tn"])
         for g, (_, s) in zip(grid, done)
     ]
-    table = train.sparkSession.createDataFrame(
-        rows, "trees int, mtry int, holdout_error double, accuracy double, kappa double, "
-              "tp long, fp long, fn long, tn long")
+    table = small_table(
+        train.sparkSession, rows,
+        "trees int, mtry int, holdout_error double, accuracy double, kappa double, "
+        "tp long, fp long, fn long, tn long")
     return {(g["trees"], g["mtry"]): m for g, (m, _) in zip(grid, done)}, table
 
 
@@ -104,8 +106,9 @@ def fit_gbt_grid(train: DataFrame, key: str, bins: int, trees: Sequence[int] = (
     best = max(rows, key=lambda r: r[3])[:3]
     model = boosted_trees(bins, best[2], best[1], best[0], min_rows, label).fit(folded)
     folded.unpersist()
-    table = train.sparkSession.createDataFrame(
-        rows, "shrinkage double, depth int, trees int, accuracy double, kappa double")
+    table = small_table(
+        train.sparkSession, rows,
+        "shrinkage double, depth int, trees int, accuracy double, kappa double")
     return model, best, table
 
 
@@ -114,7 +117,7 @@ def fit_gbt_grid(train: DataFrame, key: str, bins: int, trees: Sequence[int] = (
 def tree_nodes(spark: SparkSession, model_path: str, names: Sequence[str]) -> DataFrame:
     """A saved forest as rows: one per node, with the split variable by name."""
     data = spark.read.parquet(f"{model_path}/data")
-    lookup = spark.createDataFrame(list(enumerate(names)), "feature int, variable string")
+    lookup = small_table(spark, list(enumerate(names)), "feature int, variable string")
     node = F.col("nodeData")
     flat = data.select(
         F.col("treeID").alias("tree"), node["id"].alias("node"),
@@ -149,7 +152,7 @@ def min_depth_distribution(nodes: DataFrame, max_depth: int) -> DataFrame:
 def impurity_importance(spark: SparkSession, model, names: Sequence[str]) -> DataFrame:
     """(variable, importance): mean impurity decrease, scaled to sum 1."""
     values = [float(v) for v in model.featureImportances.toArray()]
-    return spark.createDataFrame(list(zip(names, values)), "variable string, importance double")
+    return small_table(spark, list(zip(names, values)), "variable string, importance double")
 
 
 def scaled_importance(importances: DataFrame, col: str = "importance") -> DataFrame:

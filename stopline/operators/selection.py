@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stopline.session import cut_lineage
+from stopline.session import cut_lineage, small_table
 
 RANGES = 16_384  # value ranges per pass, and the most values listed one by one
 
@@ -239,7 +239,7 @@ def dense_row_id(df: DataFrame, order: Sequence[str], out: str = "row_id",
         starts.append((row["p"], total))
         total += row["count"]
     # One row per range, so the broadcast is as small as the partition count.
-    before = df.sparkSession.createDataFrame(starts, "_p long, _before long")
+    before = small_table(df.sparkSession, starts, "_p long, _before long")
     place = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
     joined = fixed.join(F.broadcast(before), part == F.col("_p"))
     return joined.withColumn(out, F.col("_before") + place + 1).drop("_id", "_p", "_before")

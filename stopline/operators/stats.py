@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stopline.operators.selection import exact_quantiles, with_ntile
+from stopline.session import small_table
 
 OTHER = "(Other)"
 MISSING = "NA's"
@@ -112,8 +113,8 @@ def numeric_summary(df: DataFrame, cols: Sequence[str], exact: bool = True,
         rows.append((c, *[float(v) for v in (low, quarts[0], quarts[1], mean, quarts[2], high)],
                      nulls))
     names = ["min", "q1", "median", "mean", "q3", "max"]
-    table = spark.createDataFrame(
-        rows, "column string, " + ", ".join(f"`{n}` double" for n in names) + ", n_null long")
+    doubles = ", ".join(f"`{n}` double" for n in names)
+    table = small_table(spark, rows, f"column string, {doubles}, n_null long")
     return table.withColumns({n: F.round(n, digits) for n in names})
 
 
@@ -236,6 +237,18 @@ def topk(df: DataFrame, col: str, k: int, where: Column | None = None,
     return ranked.where(F.col("rank") <= k)
 
 
+def topk_by_flags(df: DataFrame, col: str, flags: Mapping[str, Column], k: int) -> DataFrame:
+    """(flag, level, n, rank): the top-k list under each of several predicates, in one scan.
+
+    A row takes part once for every predicate it meets.
+    """
+    met = F.filter(
+        F.array(*[F.when(cond, F.lit(name)) for name, cond in flags.items()]),
+        lambda name: name.isNotNull())
+    rows = df.select(F.col(col).cast("string").alias("level"), F.explode(met).alias("flag"))
+    return topk(rows, "level", k, by="flag")
+
+
 def arg_max_level(df: DataFrame, col: str) -> DataFrame:
     """The single most frequent level (level, n); the last name wins a tie."""
     best = F.max(F.struct(F.col("n"), F.col(col).alias("level")))
@@ -282,25 +295,38 @@ def cluster_level_counts(df: DataFrame, key: str, cluster: str, cols: Sequence[s
     return long.groupBy(cluster, "variable", "value").agg(F.count(key).alias("count"))
 
 
+def profile_level_counts(profiles: DataFrame, weight: str, cluster: str,
+                         cols: Sequence[str]) -> DataFrame:
+    """The same from distinct profiles that carry their number of members."""
+    long = to_long(profiles, [weight, cluster], cols)
+    return long.groupBy(cluster, "variable", "value").agg(F.sum(weight).alias("count"))
+
+
 def cluster_level_share(counts: DataFrame, cluster: str, digits: int = 6) -> DataFrame:
     return share_in_group(counts, [cluster, "variable"], "count", "proportion", digits)
 
 
-def cluster_profile(df: DataFrame, key: str, cluster: str, cols: Sequence[str]) -> DataFrame:
-    counts = cluster_level_counts(df, key, cluster, cols)
+def cluster_profile(counts: DataFrame, cluster: str) -> DataFrame:
+    """Counts and shares ordered by cluster, as a heat map wants them."""
     return cluster_level_share(counts, cluster).orderBy(cluster, "variable", "value")
 
 
 def level_share_by_cluster(df: DataFrame, cluster: str, cols: Sequence[str],
-                           clusters: Sequence, digits: int = 6) -> DataFrame:
-    """Share of each level's rows in each cluster, one column per cluster."""
-    long = to_long(df, [cluster], cols)
-    per = [F.count_if(F.col(cluster) == k).alias(f"c{k}") for k in clusters]
-    counted = long.groupBy("variable", "value").agg(*per, F.count(F.lit(1)).alias("n"))
+                           clusters: Sequence, digits: int = 6,
+                           weight: str | None = None) -> DataFrame:
+    """Share of each level's rows in each cluster, one column per cluster.
+
+    With `weight`, a row stands for that many.
+    """
+    long = to_long(df, [cluster, *([weight] if weight else [])], cols)
+    rows = F.col(weight) if weight else F.lit(1)
+    per = [F.sum(F.when(F.col(cluster) == k, rows).otherwise(0)).alias(f"c{k}") for k in clusters]
+    counted = long.groupBy("variable", "value").agg(*per, F.sum(rows).alias("n"))
     return counted.select(
         "variable", "value",
         *[F.round(F.col(f"c{k}") / F.col("n"), digits).alias(f"c{k}") for k in clusters])
 
 
-def cluster_sizes(df: DataFrame, cluster: str) -> DataFrame:
-    return count_by(df, cluster)
+def cluster_sizes(df: DataFrame, cluster: str, weight: str | None = None) -> DataFrame:
+    rows = F.sum(weight) if weight else F.count(F.lit(1))
+    return df.groupBy(cluster).agg(rows.alias("n"))

@@ -5,8 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A lookup side is broadcast only when it has been counted at or below this.
 BROADCAST_ROWS = 200_000
@@ -47,3 +49,15 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     The shuffle join relies on AQE skew splitting for hot keys.
     """
     return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def small_table(spark: SparkSession, rows: list, ddl: str) -> DataFrame:
+    """A few driver rows as a local relation: no job and no Python worker to read them."""
+    kinds = {"string": pa.string(), "double": pa.float64(), "bigint": pa.int64(),
+             "int": pa.int32(), "boolean": pa.bool_()}
+    fields = T.StructType.fromDDL(ddl).fields
+    columns = list(zip(*rows)) or [()] * len(fields)
+    table = pa.table(
+        [pa.array(c, kinds[f.dataType.simpleString()]) for c, f in zip(columns, fields)],
+        names=[f.name for f in fields])
+    return spark.createDataFrame(table)
