@@ -4,7 +4,7 @@
 def load():
     """Import all groups once and return the registry module."""
     from stopline.bindings import (  # noqa: F401
-        common, jobs, joins_sets, prepare, scalars, statistics,
+        common, jobs, joins_sets, modelling, prepare, scalars, statistics,
     )
 
     return common

@@ -96,24 +96,32 @@ def order_statistics(df: DataFrame, col: str, ranks: Mapping[object, Sequence[in
 def _narrow(data: DataFrame, col: str, by: str | None, whole: bool, spans: list) -> list:
     """One counting pass: replace each span by the ranges in it that hold its ranks."""
     x = F.col(col)
-    slot, cell, single = (F.lit(None).cast(t) for t in ("int", "long", data.schema[col].dataType))
+    slots, cells, singles = [], [], []
     for k, s in enumerate(spans):
         inside = x.between(F.lit(s.lo), F.lit(s.hi))
         if by is not None:
             inside = (F.col(by) == F.lit(s.group)) & inside
-        slot = F.when(inside, F.lit(k)).otherwise(slot)
+        slots.append((inside, F.lit(k)))
         if s.size <= RANGES:
             # Few rows are left: count each value by itself.
-            single = F.when(inside, x).otherwise(single)
+            singles.append((inside, x))
             continue
         if whole:
             step = max(1, -(-(s.hi - s.lo + 1) // RANGES))
             at = F.expr(f"(`{col}` - ({s.lo}L)) div {step}L")
         else:
             at = F.floor((x - F.lit(s.lo)) / F.lit(s.hi - s.lo) * RANGES).cast("long")
-        cell = F.when(inside, F.least(at, F.lit(RANGES - 1))).otherwise(cell)
+        cells.append((inside, F.least(at, F.lit(RANGES - 1))))
+
+    def case(arms: list, kind) -> Column:
+        out = F.when(F.lit(False), F.lit(None).cast(kind))
+        for cond, value in arms:
+            out = out.when(cond, value)
+        return out
+
     counts = (
-        data.select(x, slot.alias("_slot"), cell.alias("_cell"), single.alias("_single"))
+        data.select(x, case(slots, "int").alias("_slot"), case(cells, "long").alias("_cell"),
+                    case(singles, data.schema[col].dataType).alias("_single"))
         .where(F.col("_slot").isNotNull())
         .groupBy("_slot", "_cell", "_single")
         .agg(F.count(col).alias("n"), F.min(col).alias("lo"), F.max(col).alias("hi"))
@@ -190,10 +198,16 @@ def with_ntile(df: DataFrame, col: str, key: str, k: int, out: str = "bin",
     span = extent(df, col)
     if span[2] == 0:
         return df.withColumn(out, F.lit(None).cast("int"))
-    bucket = F.lit(1)
-    for upto in rank_cuts(df, col, key, bucket_ends(span[2], k, legacy), span):
-        bucket = bucket + F.when(upto, 0).otherwise(1)
-    return df.withColumn(out, F.when(F.col(col).isNotNull(), bucket))
+    cuts = rank_cuts(df, col, key, bucket_ends(span[2], k, legacy), span)
+
+    def bucket(low: int, high: int) -> Column:
+        # The cuts are nested, so a row finds its bucket by halving.
+        if low == high:
+            return F.lit(low)
+        mid = (low + high) // 2
+        return F.when(cuts[mid - 1], bucket(low, mid)).otherwise(bucket(mid + 1, high))
+
+    return df.withColumn(out, F.when(F.col(col).isNotNull(), bucket(1, k)))
 
 
 def key_hash(key: Column) -> Column:
