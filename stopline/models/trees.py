@@ -39,9 +39,9 @@ def _score(model, test: DataFrame, label: str) -> dict:
     return confusion_metrics(confusion_counts(scored, "p", "a", "1.0")).first().asDict()
 
 
-def _in_parallel(tasks, parallelism: int) -> list:
+def _in_parallel(spark: SparkSession, tasks, parallelism: int) -> list:
     with ThreadPoolExecutor(parallelism) as pool:
-        return list(pool.map(lambda task: inheritable_thread_target(task)(), tasks))
+        return list(pool.map(lambda task: inheritable_thread_target(spark)(task)(), tasks))
 
 
 def fit_forest_grid(train: DataFrame, test: DataFrame, bins: int, grid: Sequence[Mapping],
@@ -59,7 +59,7 @@ def fit_forest_grid(train: DataFrame, test: DataFrame, bins: int, grid: Sequence
             return model, _score(model, test, label)
         return run
 
-    done = _in_parallel([task(g) for g in grid], parallelism)
+    done = _in_parallel(train.sparkSession, [task(g) for g in grid], parallelism)
     rows = [
         (g["trees"], g["mtry"], 1 - s["accuracy"], s["accuracy"], s["kappa"],
          s["tp"], s["fp"], s["fn"], s["tn"])
@@ -97,7 +97,7 @@ def fit_gbt_grid(train: DataFrame, key: str, bins: int, trees: Sequence[int] = (
         return run
 
     jobs = [(p, f) for p in points for f in range(folds)]
-    scores = _in_parallel([task(p, f) for p, f in jobs], parallelism)
+    scores = _in_parallel(train.sparkSession, [task(p, f) for p, f in jobs], parallelism)
     sums: dict = {}
     for (p, _), s in zip(jobs, scores):
         a, k = sums.get(p, (0.0, 0.0))
