@@ -7,6 +7,7 @@ that Spark and the checking engine both run; all of its rows are used.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -82,10 +83,14 @@ ZERO_TAX_SQL = """(SELECT * REPLACE (nullif(l_tax, 0) AS l_tax, nullif(l_discoun
 # ---- stops and weather, derived from events and orders ----
 
 def pick(number: str, values: Sequence[str | None]) -> str:
-    """SQL that picks a value by a number modulo the list length."""
-    text = "|".join(v or "" for v in values)
-    chosen = f"split_part('{text}', '|', cast(({number}) % {len(values)} + 1 AS int))"
-    return f"nullif({chosen}, '')" if None in values else chosen
+    """SQL that picks a value by a number modulo the list length; see `for_spark`."""
+    listed = ", ".join("NULL" if v is None else f"'{v}'" for v in values)
+    return f"[{listed}][cast(({number}) % {len(values)} + 1 AS int)]"
+
+
+def for_spark(sql: str) -> str:
+    """The list lookups of `pick` in Spark's spelling."""
+    return re.sub(r"\[(('|NULL)[^\]]*)\]\[", r"array(\1)[-1 + ", sql)
 
 
 def yes_every(number: str, every: int) -> str:
@@ -197,7 +202,7 @@ FROM (SELECT date_trunc('hour', ts) AS date_time, cast(round(avg(value) * 100) A
 
 def derived(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """Run portable SQL over the given tables."""
-    return spark.sql(sql.replace("FROM events", "FROM {events}"),
+    return spark.sql(for_spark(sql).replace("FROM events", "FROM {events}"),
                      events=table(spark, sf_dir, "events"))
 
 

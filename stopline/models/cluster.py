@@ -19,6 +19,7 @@ from stopline.session import small_table
 # Linkage compares every profile with every other, so it is refused beyond
 # this many. Rows do not count, only distinct level combinations do.
 MAX_PROFILES = 50_000
+TASK_DISTANCES = 2_000_000  # distances worth a task of their own
 
 
 def distinct_profiles(df: DataFrame, cols: Sequence[str], id_col: str = "id") -> DataFrame:
@@ -65,8 +66,8 @@ def _distances(codes: np.ndarray, numbers: np.ndarray, row: int) -> np.ndarray:
     return apart + np.abs(numbers - numbers[row]).sum(axis=1)
 
 
-def _nearest_clusters(spark, shared, owner: np.ndarray) -> list:
-    """Each cluster's nearest cluster under complete linkage, computed in the tasks.
+def _nearest_clusters(spark, shared, owner: np.ndarray, stale) -> list:
+    """The nearest cluster of each `stale` cluster under complete linkage, from the tasks.
 
     A task takes some clusters and returns one row for each; no pair is emitted.
     Ties go to the smaller pair of ids.
@@ -93,9 +94,12 @@ def _nearest_clusters(spark, shared, owner: np.ndarray) -> list:
                 rows.append((cluster, heads[best[0]], to[best[0]]))
             yield pd.DataFrame(rows, columns=["cluster", "nearest", "distance"])
 
-    heads = [(int(h),) for h in np.unique(owner)]
-    tasks = max(1, min(len(heads), spark.sparkContext.defaultParallelism))
-    clusters = small_table(spark, heads, "cluster long").repartition(tasks)
+    heads = [(int(h),) for h in sorted(stale)]
+    members = int(np.isin(owner, list(stale)).sum())
+    tasks = min(len(heads), spark.sparkContext.defaultParallelism,
+                1 + members * len(owner) // TASK_DISTANCES)
+    clusters = small_table(spark, heads, "cluster long")
+    clusters = clusters.repartition(tasks) if tasks > 1 else clusters.coalesce(1)
     found = clusters.mapInPandas(search, "cluster long, nearest long, distance double").collect()
     owners.unpersist()
     return found
@@ -107,7 +111,8 @@ def gower_nearest(profiles: DataFrame, cols: Sequence[str], id_col: str = "id",
     spark = profiles.sparkSession
     held = _Profiles(profiles, cols, id_col, numeric, limit)
     shared = spark.sparkContext.broadcast((held.codes, held.numbers))
-    found = _nearest_clusters(spark, shared, np.arange(len(held.ids)))
+    found = _nearest_clusters(
+        spark, shared, np.arange(len(held.ids)), range(len(held.ids)))
     shared.unpersist()
     rows = [(int(held.ids[r["cluster"]]), int(held.ids[r["nearest"]]),
              r["distance"] / held.columns) for r in found if np.isfinite(r["distance"])]
@@ -128,15 +133,20 @@ def complete_linkage(profiles: DataFrame, cols: Sequence[str], id_col: str = "id
     held = _Profiles(profiles, cols, id_col, numeric, limit)
     shared = spark.sparkContext.broadcast((held.codes, held.numbers))
     owner = np.arange(len(held.ids))
-    merges, round_no = [], 0
-    while len(np.unique(owner)) > 1:
-        found = {r["cluster"]: r for r in _nearest_clusters(spark, shared, owner)}
-        pairs = sorted(
-            (r["distance"], c, r["nearest"]) for c, r in found.items()
-            if c < r["nearest"] and found[r["nearest"]]["nearest"] == c)
-        for distance, a, b in pairs:
+    merges, round_no, found = [], 0, {}
+    stale = set(range(len(owner)))
+    while len(held.ids) - len(merges) > 1:
+        for r in _nearest_clusters(spark, shared, owner, stale):
+            found[r["cluster"]] = (r["nearest"], r["distance"])
+        pairs = [(c, to, d) for c, (to, d) in found.items() if c < to and found[to][0] == c]
+        for a, b, distance in pairs:
             owner[owner == b] = a
+            del found[b]
             merges.append((distance / held.columns, round_no, a, b, int((owner == a).sum())))
+        # Merging only moves clusters apart, so a nearest cluster that did not
+        # merge is still the nearest.
+        merged = {c for a, b, _ in pairs for c in (a, b)}
+        stale = {c for c, (to, _) in found.items() if c in merged or to in merged}
         round_no += 1
     shared.unpersist()
     merges.sort()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stopline import schema
 from stopline.functions.calendar import parse_timestamp
 from stopline.functions.text import contains_any, in_set
-from stopline.session import broadcast_if_small
+from stopline.operators.skew import join_any_size
 
 
 # ---- projections, casts, repairs ----
@@ -139,8 +139,7 @@ def filter_lon_range(df: DataFrame, col: str, low: float = schema.LON_CLEAN[0],
 def filter_in_list(df: DataFrame, col: str, allowed) -> DataFrame:
     """Keep listed values. `allowed` is a list, or a one-column DataFrame."""
     if isinstance(allowed, DataFrame):
-        lookup = broadcast_if_small(allowed.toDF(col).dropDuplicates())
-        return df.join(lookup, col, "left_semi")
+        return join_any_size(df, allowed.toDF(col).dropDuplicates(), [col], "left_semi")
     return df.where(in_set(F.col(col), allowed))
 
 
@@ -181,8 +180,7 @@ def filter_not_in(df: DataFrame, drops: Mapping[str, Iterable]) -> DataFrame:
 def drop_rare_levels(df: DataFrame, col: str, min_count: int) -> DataFrame:
     """Drop the rows of levels with fewer than `min_count` rows.
 
-    The rare levels are counted first; each holds few rows, so no hot level is
-    ever on the shuffled side of the anti join.
+    Levels are counted with map-side sums, and the rare ones are anti-joined. NULL is kept.
     """
     rare = df.groupBy(col).count().where(F.col("count") < min_count).select(col)
-    return df.join(broadcast_if_small(rare), col, "left_anti")
+    return join_any_size(df, rare, [col], "left_anti")

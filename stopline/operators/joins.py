@@ -8,65 +8,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stopline.functions.calendar import round_hour
-from stopline.session import broadcast_if_small
+from stopline.operators.skew import attach_by_key, join_any_size
 
-# Keys listed as heavy. Any key outside the k heaviest holds at most n/(k+1)
-# rows, so this also bounds the largest group that is ever shuffled.
-HEAVY_KEYS = 1000
-
-
-def join_common(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
+def join_common(left: DataFrame, right: DataFrame) -> DataFrame:
     """Join on every column name the two sides share."""
     shared = [c for c in left.columns if c in right.columns]
     if not shared:
         raise ValueError("the two sides share no column name")
-    return left.join(broadcast_if_small(right), shared, how)
+    return join_any_size(left, right, shared)
 
 
 def join_nearest_hour(left: DataFrame, right: DataFrame, ts: str,
                       drop: Sequence[str] = ("address",)) -> DataFrame:
     """Round the left time to its nearest hour and join the hourly right side.
 
-    The right side holds one row per hour; it is broadcast after its size is
-    counted, and a larger one is shuffled with AQE splitting hot hours.
+    The right side holds one row per hour, so it is broadcast once its size has
+    been counted; were it larger, hot hours would be split off.
     """
     rounded = left.withColumn(ts, round_hour(F.col(ts)))
     return join_common(rounded, right).drop(*drop)
 
 
-def heavy_keys(counts: DataFrame, keys: Sequence[str], weight: str,
-               k: int = HEAVY_KEYS) -> DataFrame:
-    """The k heaviest rows of a per-key count table, found by a distributed top-k.
-
-    The keys break ties, so every evaluation picks the same rows.
-    """
-    return counts.orderBy(F.desc(weight), *keys).limit(k)
-
-
-def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]):
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & left[k].eqNullSafe(right[f"_{k}"])
-    return cond
-
-
-def attach_by_key(df: DataFrame, stats: DataFrame, keys: Sequence[str], weight: str) -> DataFrame:
-    """Left-join one row per key onto `df`, whatever the key skew.
-
-    Rows of the heaviest keys meet a broadcast of at most HEAVY_KEYS rows and
-    never shuffle. Only the rest is hash-joined, and no key left there can hold
-    more than a small share of the rows. NULL keys match NULL keys.
-    """
-    values = [c for c in stats.columns if c not in keys]
-    renamed = stats.select(*[F.col(k).alias(f"_{k}") for k in keys], *values)
-    hot = F.broadcast(heavy_keys(renamed, [f"_{k}" for k in keys], weight))
-    hot_part = df.join(hot, _null_safe(df, hot, keys), "inner")
-    cold = df.join(hot, _null_safe(df, hot, keys), "left_anti")
-    cold_part = cold.join(renamed, _null_safe(cold, renamed, keys), "left")
-    out = [*df.columns, *values]
-    return hot_part.select(*out).unionByName(cold_part.select(*out))
-
-
 def repeat_flag(df: DataFrame, keys: Sequence[str] | str, out: str = "multi_infr") -> DataFrame:
     """True where the key occurs more than once in the frame.
 
@@ -89,7 +51,7 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str] | str, n: str | None = Non
 
 def semi_lookup(df: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     """Rows whose key is in the lookup."""
-    return df.join(broadcast_if_small(lookup.select(key).dropDuplicates()), key, "left_semi")
+    return join_any_size(df, lookup.select(key).dropDuplicates(), [key], "left_semi")
 
 
 def anti_complement(df: DataFrame, sample: DataFrame, key: str) -> DataFrame:

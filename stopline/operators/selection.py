@@ -45,18 +45,22 @@ def _is_whole(df: DataFrame, col: str) -> bool:
                       (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
 
 
-def extent(df: DataFrame, col: str) -> tuple:
-    """(min, max, count) of the non-NULL values."""
-    return tuple(df.agg(F.min(col), F.max(col), F.count(col)).first())
+def extents(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple]:
+    """(min, max, count) of the non-NULL values of each column, in one pass."""
+    parts = [f(c).alias(f"_{i}_{j}") for i, c in enumerate(cols)
+             for j, f in enumerate((F.min, F.max, F.count))]
+    seen = list(df.agg(*parts).first())
+    return {c: tuple(seen[3 * i:3 * i + 3]) for i, c in enumerate(cols)}
 
 
 def order_statistics(df: DataFrame, col: str, ranks: Mapping[object, Sequence[int]] | Sequence[int],
-                     by: str | None = None, span: tuple | None = None) -> dict:
+                     by: str | None = None, span: Mapping | tuple | None = None) -> dict:
     """The values at 1-based ascending `ranks` of a numeric column, NULL and NaN left out.
 
     With `by`, `ranks` maps group values to ranks inside that group, and all groups
     are searched in the same passes; the result is keyed (group, rank). Without
-    it the result is keyed by rank, and `span` may pass a known (min, max, count).
+    it the result is keyed by rank. `span` may pass a known (min, max, count),
+    with `by` one per group.
     """
     wanted = {None: ranks} if by is None else dict(ranks)
     wanted = {g: sorted(set(r)) for g, r in wanted.items() if r}
@@ -67,12 +71,13 @@ def order_statistics(df: DataFrame, col: str, ranks: Mapping[object, Sequence[in
                      *([] if by is None else [by])).where(x.isNotNull())
     if not whole:
         data = data.where(~F.isnan(x))
-    if by is not None:
-        data = data.where(F.col(by).isin(list(wanted)))
-        rows = data.groupBy(by).agg(F.min(col), F.max(col), F.count(col)).collect()
-        spans = {r[0]: tuple(r)[1:] for r in rows}
+    if by is None:
+        spans = {None: span or extents(data, [col])[col]}
     else:
-        spans = {None: span or extent(data, col)}
+        data = data.where(F.col(by).isin(list(wanted)))
+        spans = span or {
+            r[0]: tuple(r)[1:] for r in
+            data.groupBy(by).agg(F.min(col), F.max(col), F.count(col)).collect()}
     found: dict = {}
     todo = []
     for g, held in wanted.items():
@@ -190,12 +195,12 @@ def bucket_ends(n: int, k: int, legacy: bool = False) -> list[int]:
 
 
 def with_ntile(df: DataFrame, col: str, key: str, k: int, out: str = "bin",
-               legacy: bool = False) -> DataFrame:
+               legacy: bool = False, span: tuple | None = None) -> DataFrame:
     """Bucket 1..k by rank of `col`, ties in order of the unique `key`; NULL stays NULL.
 
     Adds one expression over k-1 literal cuts; the rows are neither moved nor sorted.
     """
-    span = extent(df, col)
+    span = span or extents(df, [col])[col]
     if span[2] == 0:
         return df.withColumn(out, F.lit(None).cast("int"))
     cuts = rank_cuts(df, col, key, bucket_ends(span[2], k, legacy), span)
@@ -226,7 +231,7 @@ def split_exact(df: DataFrame, key: str, fraction: float) -> tuple[DataFrame, Da
     sort, no join, and no row can be in both.
     """
     hashed = df.select(key_hash(F.col(key)).alias("_h"), F.col(key).cast("long").alias("_k"))
-    span = extent(hashed, "_h")
+    span = extents(hashed, ["_h"])["_h"]
     size = math.floor(fraction * span[2] + 1e-9)
     cut = rank_cuts(hashed, "_h", "_k", [size], span)[0]
     marked = df.withColumns({"_h": key_hash(F.col(key)), "_k": F.col(key).cast("long")})
@@ -260,21 +265,28 @@ def dense_row_id(df: DataFrame, order: Sequence[str], out: str = "row_id",
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
-                    span: tuple | None = None) -> list[float | None]:
+                    span: Mapping | tuple | None = None, by: str | None = None):
     """Quantiles with linear interpolation between neighbouring ranks.
 
-    `span` is (min, max, count) of the non-NULL values, when already known.
+    A list in the order of `probs`; with `by`, a dict of such lists per group,
+    found in common passes. `span` is as for `order_statistics`, and needed with `by`.
     """
-    span = span or extent(df, col)
-    n = span[2]
-    if n == 0:
-        return [None] * len(probs)
-    places = [(n - 1) * p + 1 for p in probs]
-    ranks = {r for h in places for r in (math.floor(h), min(math.floor(h) + 1, n))}
-    at = order_statistics(df, col, sorted(ranks), span=span)
-    out = []
-    for h in places:
-        lo = math.floor(h)
-        a, b = at[lo].value, at[min(lo + 1, n)].value
-        out.append(a + (h - lo) * (b - a))
-    return out
+    spans = dict(span) if by is not None else {None: span or extents(df, [col])[col]}
+    places = {g: [(n - 1) * p + 1 for p in probs] for g, (_, _, n) in spans.items() if n}
+
+    def neighbours(g, h: float) -> tuple[int, int]:
+        return math.floor(h), min(math.floor(h) + 1, spans[g][2])
+
+    ranks = {g: sorted({r for h in hs for r in neighbours(g, h)}) for g, hs in places.items()}
+    if by is None:
+        found = order_statistics(df, col, ranks.get(None, []), span=spans[None])
+        at = {(None, r): s.value for r, s in found.items()}
+    else:
+        at = {k: s.value for k, s in order_statistics(df, col, ranks, by, spans).items()}
+    out: dict = {}
+    for g in spans:
+        out[g] = [None] * len(probs)
+        for i, h in enumerate(places.get(g, [])):
+            a, b = (at[g, r] for r in neighbours(g, h))
+            out[g][i] = a + (h - math.floor(h)) * (b - a)
+    return out if by is not None else out[None]

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stopline.operators.selection import exact_quantiles, with_ntile
+from stopline.operators.selection import exact_quantiles, extents, with_ntile
 from stopline.session import small_table
 
 OTHER = "(Other)"
@@ -78,9 +78,9 @@ def rate_by_all(df: DataFrame, factors: Sequence[str], response: str, positive:
 
 
 def rate_by_quantile(df: DataFrame, col: str, key: str, k: int, response: str, positive: str,
-                     legacy: bool = False) -> DataFrame:
+                     legacy: bool = False, span: tuple | None = None) -> DataFrame:
     """Rate per rank bucket of `col`; rows with NULL form the NULL bucket."""
-    return rate_by(with_ntile(df.select(col, key, response), col, key, k, "bin", legacy),
+    return rate_by(with_ntile(df.select(col, key, response), col, key, k, "bin", legacy, span),
                    "bin", response, positive)
 
 
@@ -93,25 +93,26 @@ def numeric_summary(df: DataFrame, cols: Sequence[str], exact: bool = True,
     Exact quartiles are found by counting in value ranges; `exact=False` uses
     one pass of mergeable sketches.
     """
-    spark = df.sparkSession
-    parts = []
-    for c in cols:
-        x = F.col(c)
-        parts += [F.min(x), F.max(x), F.avg(x), F.count(x), F.count_if(x.isNull())]
-        if not exact:
-            parts.append(F.percentile_approx(x, [0.25, 0.5, 0.75], 10000))
-    seen = list(df.select(*cols).agg(*[p.alias(f"_{i}") for i, p in enumerate(parts)]).first())
-    width = 5 if exact else 6
+    spark, probs = df.sparkSession, [0.25, 0.5, 0.75]
+    # All columns share the same passes, as (column, x) rows.
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
+        [], list(cols), "column", "x")
+    x = F.col("x")
+    parts = [F.min(x), F.max(x), F.avg(x), F.count(x), F.count_if(x.isNull())]
+    if not exact:
+        parts.append(F.percentile_approx(x, probs, 10000))
+    seen = {r[0]: list(r)[1:] for r in long.groupBy("column").agg(
+        *[p.alias(f"_{i}") for i, p in enumerate(parts)]).collect()}
+    if exact:
+        quartiles = exact_quantiles(
+            long, "x", probs, {c: (s[0], s[1], s[3]) for c, s in seen.items()}, "column")
+    else:
+        quartiles = {c: s[5] for c, s in seen.items()}
     rows = []
-    for i, c in enumerate(cols):
-        low, high, mean, n, nulls, *sketch = seen[i * width:(i + 1) * width]
-        if n == 0:
-            rows.append((c, None, None, None, None, None, None, nulls))
-            continue
-        quarts = sketch[0] if sketch else exact_quantiles(
-            df, c, [0.25, 0.5, 0.75], (low, high, n))
-        rows.append((c, *[float(v) for v in (low, quarts[0], quarts[1], mean, quarts[2], high)],
-                     nulls))
+    for c in cols:
+        low, high, mean, _, nulls = seen.get(c, [None] * 3 + [0, 0])[:5]
+        q1, median, q3 = quartiles.get(c) or [None] * 3
+        rows.append((c, low, q1, median, mean, q3, high, nulls))
     names = ["min", "q1", "median", "mean", "q3", "max"]
     doubles = ", ".join(f"`{n}` double" for n in names)
     table = small_table(spark, rows, f"column string, {doubles}, n_null long")
@@ -189,14 +190,15 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 # ---- histograms ----
 
 def histogram(df: DataFrame, col: str, response: str | None = None, width: float | None = None,
-              bins: int | None = None) -> DataFrame:
+              bins: int | None = None, span: tuple | None = None) -> DataFrame:
     """(bin, center, [response,] n) for right-closed bins centred on multiples of the width.
 
     `bins=b` sets the width to range/(b-1). A smallest value lying on an edge
     joins the bin above it, and values within 1e-8 widths of an edge count as on it.
+    `span` is (min, max, count) when already known.
     """
     data = df.select(col, *([response] if response else [])).where(F.col(col).isNotNull())
-    low, high = data.agg(F.min(col), F.max(col)).first()
+    low, high, _ = span or extents(data, [col])[col]
     if low is None:
         low = high = 0.0
     if width is None:

@@ -92,21 +92,24 @@ def explore(frame: DataFrame, key: str = KEY) -> dict[str, DataFrame]:
     """Rate tables by calendar part, factor and weather bucket, and histogram counts."""
     response, positive = "violation_type", "Citation"
     ts = F.col("date_time")
+    span = selection.extents(frame, ["temperature", "precipitation", "wind_speed", "year"])
+    rain = frame.where("precipitation != 0")
     out = {
         "dow": stats.rate_by(frame, calendar.day_name(ts), response),
         "dom": stats.rate_by(frame, calendar.day_of_month(ts), response),
         "hour": stats.rate_by(frame, calendar.hour_text(ts), response),
         "factors": stats.rate_by_all(frame, schema.RATE_FACTORS, response, positive),
-        "temperature_hist": stats.histogram(frame, "temperature", response, width=5.0),
-        "precipitation_hist": stats.histogram(
-            frame.where("precipitation != 0"), "precipitation", response, bins=10),
-        "wind_hist": stats.histogram(frame, "wind_speed", response, bins=10),
-        "year_hist": stats.histogram(frame, "year", response, bins=50),
+        "temperature_hist": stats.histogram(
+            frame, "temperature", response, width=5.0, span=span["temperature"]),
+        "precipitation_hist": stats.histogram(rain, "precipitation", response, bins=10),
+        "wind_hist": stats.histogram(
+            frame, "wind_speed", response, bins=10, span=span["wind_speed"]),
+        "year_hist": stats.histogram(frame, "year", response, bins=50, span=span["year"]),
     }
     if key in frame.columns:
         for col, k in (("temperature", 10), ("precipitation", 5), ("wind_speed", 10)):
             out[f"{col}_buckets"] = stats.rate_by_quantile(
-                frame, col, key, k, response, positive)
+                frame, col, key, k, response, positive, span=span[col])
     return out
 
 
@@ -198,6 +201,7 @@ def forest(frame: DataFrame, key: str = KEY, fraction: float = 0.7,
     bins = encode.max_levels(encoder)
     models, scores = trees.fit_forest_grid(
         train, test, bins, [{**g, "max_depth": max_depth} for g in grid])
+    train.unpersist()
     best = models[grid[0]["trees"], grid[0]["mtry"]]
     path = model_path or new_path(spark, "forest")
     tables.save_model(best, path)
@@ -230,6 +234,7 @@ def boosted(frame: DataFrame, key: str = KEY, fraction: float = 0.6,
     train, test, encoder, names = _prepare(df, key, fraction, dummies=False)
     model, best, table = trees.fit_gbt_grid(
         train, key, encode.max_levels(encoder), trees_grid, depths, shrinkages, folds=folds)
+    train.unpersist()
     counts = evaluate.confusion_counts(
         class_names(model.transform(test)), "predicted", "violation_type", "Citation")
     importance = trees.impurity_importance(spark, model, names)
@@ -255,6 +260,7 @@ def lasso(frame: DataFrame, key: str = KEY, fraction: float = 0.7, n_lambda: int
     path = linear.lasso_cv(train, key, linear.lambda_grid(g, n_lambda, ratio), folds)
     chosen = linear.lambda_rule(path, rule)
     model = linear.lasso(chosen).fit(train)
+    train.unpersist()
     coefs = linear.coefficients(spark, model, names)
     counts = evaluate.confusion_counts(
         class_names(model.transform(test)), "predicted", "violation_type", "Citation")

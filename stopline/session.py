@@ -44,10 +44,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting; larger sides keep the shuffle join.
-
-    The shuffle join relies on AQE skew splitting for hot keys.
-    """
+    """Hint a broadcast only after counting; larger sides are joined without a hint."""
     return F.broadcast(df) if df.count() <= max_rows else df
 
 

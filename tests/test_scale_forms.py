@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from stopline.operators import joins, selection, stats
+from stopline import session
+from stopline.operators import joins, selection, skew, stats
 
 
 def column(spark, values, kind="double"):
@@ -102,7 +103,7 @@ def test_dense_row_id(spark):
 
 
 def test_repeat_flag_with_a_hot_key(spark, monkeypatch):
-    monkeypatch.setattr(joins, "HEAVY_KEYS", 2)
+    monkeypatch.setattr(skew.heavy_keys, "__defaults__", (2,))
     rows = [("hot",)] * 300 + [("warm",)] * 20 + [("two",)] * 2 + [(None,)] * 3
     rows += [(f"k{i}",) for i in range(100)]
     df = spark.createDataFrame(rows, "k string")
@@ -120,14 +121,24 @@ def test_duplicate_keys(spark):
         True, True, False]
 
 
-def test_join_common_beyond_the_broadcast_limit(spark, monkeypatch):
-    from stopline import session
-
-    monkeypatch.setattr(joins, "broadcast_if_small",
-                        lambda df: session.broadcast_if_small(df, max_rows=1))
-    left, right = spark.range(100), spark.range(50, 150)
-    plan = joins.join_common(left, right)
-    assert plan.count() == 50
+@pytest.mark.parametrize("how", ["inner", "left_semi", "left_anti"])
+def test_join_beyond_the_broadcast_limit(spark, monkeypatch, how):
+    rng = random.Random(8)
+    left = spark.createDataFrame(
+        [(i, rng.choice([1, 1, 1, 2, None, rng.randint(3, 90)])) for i in range(600)],
+        "id long, k long")
+    right = spark.createDataFrame([(k, k * 10) for k in range(1, 60)], "k long, v long")
+    right = right if how == "inner" else right.select("k")
+    want = left.join(right, "k", how)
+    small = skew.join_any_size(left, right, ["k"], how)
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 5)
+    monkeypatch.setattr(skew.heavy_keys, "__defaults__", (3,))
+    large = skew.join_any_size(left, right, ["k"], how)
+    assert want.count() > 0
+    for got in (small, large):
+        assert got.exceptAll(want).count() == 0 == want.exceptAll(got).count()
+    plan = large._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in plan
 
 
 def test_neighbours_match_brute_force(spark):
