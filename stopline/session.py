@@ -58,3 +58,12 @@ def small_table(spark: SparkSession, rows: list, ddl: str) -> DataFrame:
         [pa.array(c, kinds[f.dataType.simpleString()]) for c, f in zip(columns, fields)],
         names=[f.name for f in fields])
     return spark.createDataFrame(table)
+
+
+# Wide rows make Spark generate methods too long for the JIT compiler, which
+# then run interpreted. With this limit Spark splits such stages up instead.
+RECOMMENDED_SETTINGS = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+}
