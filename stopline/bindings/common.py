@@ -13,6 +13,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stopline.operators.skew import join_any_size
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -49,10 +51,14 @@ CODED_SQL = """(SELECT *, CASE l_returnflag WHEN 'R' THEN 'Citation' WHEN 'A' TH
 
 def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two-class lineitem rows with their order's columns."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority",
-                                                   "o_orderstatus", "o_orderdate")
-    lines = coded_lineitem(spark, sf_dir).where("outcome in ('Citation', 'Warning')")
-    return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
+    lines = coded_lineitem(spark, sf_dir).where("l_returnflag in ('R', 'A')")
+    return with_order(spark, sf_dir, lines, "o_orderpriority", "o_orderstatus", "o_orderdate")
+
+
+def with_order(spark: SparkSession, sf_dir: str, lines: DataFrame, *cols: str) -> DataFrame:
+    """lineitem rows with columns of their order, however many lines an order has."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), *cols)
+    return join_any_size(lines, orders, ["l_orderkey"])
 
 
 CASES_SQL = f"""(SELECT l.*, o_orderpriority, o_orderstatus, o_orderdate

@@ -11,7 +11,9 @@ from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import functions as F
 
 from stopline import schema
-from stopline.bindings.common import CASES_SQL, CODED_SQL, cases, coded_lineitem, query
+from stopline.bindings.common import (
+    CASES_SQL, CODED_SQL, cases, coded_lineitem, query, table, with_order,
+)
 from stopline.bindings.jobs import model_table
 from stopline.bindings.prepare import RULE_METRICS_SQL, rule_predictions
 from stopline.models import cluster, encode, evaluate, linear, trees
@@ -67,8 +69,6 @@ _GRAM = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
     f"SELECT '{a}' AS i, '{b}' AS j, round(sum(cast({a} AS double) * {b}), 4) AS s FROM lineitem"
     for k, a in enumerate(_GRAM) for b in _GRAM[k:]))
 def gram_matrix(spark, sf):
-    from stopline.bindings.common import table
-
     return linear.gram_matrix(table(spark, sf, "lineitem"), _GRAM, 4)
 
 
@@ -290,11 +290,8 @@ _DIFF = " + ".join(f"cast(a.{c} <> b.{c} AS int)" for c in _PROFILE)
 
 
 def profiles(spark, sf):
-    from stopline.bindings.common import table
-
     lines = table(spark, sf, "lineitem").select("l_orderkey", *_PROFILE[:3])
-    orders = table(spark, sf, "orders").select("o_orderkey", *_PROFILE[3:])
-    rows = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
+    rows = with_order(spark, sf, lines, *_PROFILE[3:])
     return cluster.distinct_profiles(rows, _PROFILE)
 
 

@@ -26,12 +26,12 @@ def day_name(spark, sf):
     return _events(spark, sf, day=calendar.day_name(F.col("ts")))
 
 
-@query("SELECT event_id, substring(dayname(ts), 1, 3) AS day, dayofweek(ts) + 1 AS place FROM events")
+@query("SELECT event_id, substring(dayname(ts), 1, 3) AS day, cast(dayofweek(ts) + 1 AS int) AS place FROM events")
 def day_label_ordered(spark, sf):
     return _events(spark, sf, day=calendar.day_label(F.col("ts")), place=F.dayofweek("ts"))
 
 
-@query("SELECT event_id, strftime(ts, '%H') AS hour_text, hour(ts) AS hour_int FROM events")
+@query("SELECT event_id, strftime(ts, '%H') AS hour_text, cast(hour(ts) AS int) AS hour_int FROM events")
 def hour_text(spark, sf):
     return _events(spark, sf, hour_text=calendar.hour_text(F.col("ts")), hour_int=F.hour("ts"))
 

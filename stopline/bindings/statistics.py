@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from stopline import schema
 from stopline.bindings.common import (
     CASES_SQL, EVENTS_SQL, STOPS_RAW, ZERO_TAX_SQL, cases, coded_events, query, stops_raw, table,
-    zero_tax,
+    with_order, zero_tax,
 )
 from stopline.bindings.prepare import RATE_FACTORS, _rates_sql
 from stopline.functions import calendar
@@ -143,7 +143,7 @@ def _quantile_sql(col, k):
     return f"""SELECT bin, 'Citation' AS outcome, count(*) FILTER (WHERE outcome = 'Citation') AS n,
     round(count(*) FILTER (WHERE outcome = 'Citation') / cast(count(*) AS double), 6) AS rate
     FROM (SELECT outcome, CASE WHEN x IS NOT NULL THEN
-            ntile({k}) OVER (PARTITION BY x IS NULL ORDER BY x, event_id) END AS bin
+            cast(ntile({k}) OVER (PARTITION BY x IS NULL ORDER BY x, event_id) AS int) END AS bin
           FROM (SELECT event_id, outcome, {col} AS x FROM {EVENTS_SQL} e) t) u
     GROUP BY 1 HAVING count(*) FILTER (WHERE outcome = 'Citation') > 0"""
 
@@ -283,7 +283,7 @@ def topk_values_filtered(spark, sf):
 
 
 @query("""SELECT * FROM (SELECT p_type, p_name, n,
-  row_number() OVER (PARTITION BY p_type ORDER BY n DESC, p_name) AS rank
+  cast(row_number() OVER (PARTITION BY p_type ORDER BY n DESC, p_name) AS int) AS rank
   FROM (SELECT p_type, p_name, count(*) AS n FROM part GROUP BY 1, 2) c) r WHERE rank <= 5""")
 def topk_per_group(spark, sf):
     return stats.topk(table(spark, sf, "part"), "p_name", 5, by="p_type")
@@ -315,8 +315,7 @@ _LEVEL_COUNTS = f"""SELECT cluster, variable, value, count(DISTINCT l_orderkey)
 def clustered(spark, sf):
     lines = table(spark, sf, "lineitem").select(
         "l_orderkey", (F.col("l_linenumber") % 5).alias("cluster"), "l_returnflag", "l_linestatus")
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
-    return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).drop("o_orderkey")
+    return with_order(spark, sf, lines, "o_orderpriority")
 
 
 @query(_LEVEL_COUNTS)

@@ -134,11 +134,11 @@ def factor_summary(df: DataFrame, col: str, maxsum: int = 100) -> DataFrame:
         .withColumn("rank", F.row_number().over(Window.orderBy(*order)))
         .select("level", "rank")
     )
-    folded = (
-        counts.join(F.broadcast(top), "level", "left")
-        .groupBy("rank", F.col("level").isNull().alias("missing"))
-        .agg(F.sum("n").alias("n"), F.max("level").alias("level"))
-    )
+    # Levels without a rank share one NULL name, so they fold into one row.
+    named = counts.join(F.broadcast(top), "level", "left").select(
+        "rank", F.col("level").isNull().alias("missing"), "n",
+        F.when(F.col("rank").isNotNull(), F.col("level")).alias("level"))
+    folded = named.groupBy("rank", "missing", "level").agg(F.sum("n").alias("n"))
     # From here on there are at most maxsum + 2 rows.
     everything = Window.partitionBy(F.lit(1))
     room = F.lit(maxsum) - F.max(F.col("missing").cast("int")).over(everything)
