@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stopline import schema
 from stopline.functions.calendar import parse_timestamp
 from stopline.functions.text import contains_any, in_set
-from stopline.operators.skew import join_any_size
+from stopline.operators.skew import join_any_size, with_group_count
 
 
 # ---- projections, casts, repairs ----
@@ -180,7 +180,7 @@ def filter_not_in(df: DataFrame, drops: Mapping[str, Iterable]) -> DataFrame:
 def drop_rare_levels(df: DataFrame, col: str, min_count: int) -> DataFrame:
     """Drop the rows of levels with fewer than `min_count` rows.
 
-    Levels are counted with map-side sums, and the rare ones are anti-joined. NULL is kept.
+    NULL is kept.
     """
-    rare = df.groupBy(col).count().where(F.col("count") < min_count).select(col)
-    return join_any_size(df, rare, [col], "left_anti")
+    counted = with_group_count(df, [col], "_n")
+    return counted.where((F.col("_n") >= min_count) | F.col(col).isNull()).drop("_n")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stopline.functions.calendar import round_hour
-from stopline.operators.skew import attach_by_key, join_any_size
+from stopline.operators.skew import join_any_size, key_counts, with_group_count
 
 def join_common(left: DataFrame, right: DataFrame) -> DataFrame:
     """Join on every column name the two sides share."""
@@ -30,22 +30,15 @@ def join_nearest_hour(left: DataFrame, right: DataFrame, ts: str,
 
 
 def repeat_flag(df: DataFrame, keys: Sequence[str] | str, out: str = "multi_infr") -> DataFrame:
-    """True where the key occurs more than once in the frame.
-
-    Keys are counted with map-side partial sums; only the repeated ones are
-    joined back, so unique keys add nothing to the build side.
-    """
+    """True where the key occurs more than once in the frame."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    repeated = duplicate_keys(df, keys, "_n")
-    flagged = attach_by_key(df, repeated, keys, "_n")
-    return flagged.withColumn(out, F.col("_n").isNotNull()).drop("_n")
+    return with_group_count(df, keys, "_n").withColumn(out, F.col("_n") > 1).drop("_n")
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str] | str, n: str | None = None) -> DataFrame:
     """Keys that occur again, each once; `n` names an optional count column."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(n or "_n"))
-    repeated = counted.where(F.col(n or "_n") > 1)
+    repeated = key_counts(df, keys, n or "_n").where(F.col(n or "_n") > 1)
     return repeated if n else repeated.drop("_n")
 
 

@@ -1,66 +1,83 @@
-"""Joins that hold whatever the key skew: hot keys are split off and never shuffled."""
+"""Joins and group counts that hold whatever the key skew.
+
+Rows are counted per key with map-side sums. The heaviest keys come to the
+driver, at most HEAVY_KEYS rows, and their rows meet a broadcast instead of a
+shuffle. A key left for the shuffle has under HOT_ROWS rows, or is outside the
+heaviest and so holds less than one row in HEAVY_KEYS.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stopline import session
 
-# Keys listed as heavy. Any key outside the k heaviest holds at most n/(k+1)
-# rows, so this also bounds the largest group that is ever shuffled.
 HEAVY_KEYS = 1000
+HOT_ROWS = 100_000
+
+
+def key_counts(df: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
 
 
-def heavy_keys(counts: DataFrame, keys: Sequence[str], weight: str,
-               k: int = HEAVY_KEYS) -> DataFrame:
-    """The k heaviest rows of a per-key count table, found by a distributed top-k.
+def heavy_keys(counts: DataFrame, keys: Sequence[str], n: str) -> tuple[DataFrame, bool]:
+    """The heaviest keys with their counts as a local table, and whether that is all keys.
 
-    The keys break ties, so every evaluation picks the same rows.
+    Where there are more keys than fit, only those with HOT_ROWS rows are listed.
     """
-    return counts.orderBy(F.desc(weight), *keys).limit(k)
+    top = counts.orderBy(F.desc(n), *keys).limit(HEAVY_KEYS + 1).toArrow()
+    local = counts.sparkSession.createDataFrame(top)
+    if top.num_rows <= HEAVY_KEYS:
+        return local, True
+    return local.where(F.col(n) >= HOT_ROWS).limit(HEAVY_KEYS), False
 
 
-def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    """NULL-safe equality with the `_`-prefixed keys of the right side."""
     cond = F.lit(True)
     for k in keys:
         cond = cond & left[k].eqNullSafe(right[f"_{k}"])
     return cond
 
 
-def attach_by_key(df: DataFrame, stats: DataFrame, keys: Sequence[str], weight: str) -> DataFrame:
-    """Left-join one row per key onto `df`, whatever the key skew.
-
-    Rows of the heaviest keys meet a broadcast of at most HEAVY_KEYS rows and
-    never shuffle. Only the rest is hash-joined, and no key left there can hold
-    more than a small share of the rows. NULL keys match NULL keys.
-    """
-    values = [c for c in stats.columns if c not in keys]
-    renamed = stats.select(*[F.col(k).alias(f"_{k}") for k in keys], *values)
-    hot = F.broadcast(heavy_keys(renamed, [f"_{k}" for k in keys], weight))
-    hot_part = df.join(hot, _null_safe(df, hot, keys), "inner")
-    cold = df.join(hot, _null_safe(df, hot, keys), "left_anti")
-    cold_part = cold.join(renamed, _null_safe(cold, renamed, keys), "left")
-    out = [*df.columns, *values]
-    return hot_part.select(*out).unionByName(cold_part.select(*out))
+def with_group_count(df: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
+    """Add the number of rows that share the row's keys; NULL keys count as equal."""
+    keys = list(keys)
+    heavy, complete = heavy_keys(key_counts(df, keys, out), keys, out)
+    hot = F.broadcast(heavy.select(*[F.col(k).alias(f"_{k}") for k in keys], out))
+    wide = [*df.columns, out]
+    if complete:
+        return df.join(hot, _same(df, hot, keys)).select(*wide)
+    counted = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    if heavy.isEmpty():
+        return df.withColumn(out, counted)
+    hot_part = df.join(hot, _same(df, hot, keys)).select(*wide)
+    cold = df.join(hot, _same(df, hot, keys), "left_anti")
+    return hot_part.unionByName(cold.withColumn(out, counted))
 
 
 def join_any_size(left: DataFrame, right: DataFrame, keys: Sequence[str],
                   how: str = "inner") -> DataFrame:
     """Inner, semi or anti join on `keys`, for a right side of any size.
 
-    A right side counted as small is broadcast. Otherwise the left side's
-    heaviest keys are found, their left rows meet only the right rows of those
-    keys (broadcast when counted as small, which one row per key always is),
-    and the rest is hash-joined with no hot key left in it.
+    A right side counted as small is broadcast. Otherwise the left side's hot
+    keys are split off: their rows meet only the right rows of those keys
+    (broadcast when counted as small, which one row per key always is), and
+    the rest is hash-joined with no hot key left in it.
     """
+    keys = list(keys)
     if right.count() <= session.BROADCAST_ROWS:
-        return left.join(F.broadcast(right), list(keys), how)
-    counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = F.broadcast(heavy_keys(counts.na.drop(subset=list(keys)), keys, "_n").select(*keys))
-    hot_right = session.broadcast_if_small(right.join(hot, list(keys), "left_semi"))
-    hot_part = left.join(hot, list(keys), "left_semi").join(hot_right, list(keys), how)
-    cold_part = left.join(hot, list(keys), "left_anti").join(right, list(keys), how)
+        return left.join(F.broadcast(right), keys, how)
+    counts = key_counts(left.na.drop(subset=keys), keys, "_n")
+    heavy, _ = heavy_keys(counts, keys, "_n")
+    heavy = heavy.where(F.col("_n") >= HOT_ROWS).select(*keys)
+    if heavy.isEmpty():
+        return left.join(right, keys, how)
+    hot = F.broadcast(heavy)
+    hot_right = session.broadcast_if_small(right.join(hot, keys, "left_semi"))
+    hot_part = left.join(hot, keys, "left_semi").join(hot_right, keys, how)
+    cold_part = left.join(hot, keys, "left_anti").join(right, keys, how)
     return hot_part.unionByName(cold_part)

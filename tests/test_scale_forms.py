@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stopline import session
-from stopline.operators import joins, selection, skew, stats
+from stopline.operators import cleaning, joins, selection, skew, stats
 
 
 def column(spark, values, kind="double"):
@@ -102,16 +102,21 @@ def test_dense_row_id(spark):
     assert [r["row_id"] for r in sorted(got, key=lambda r: r["x"])] == list(range(1, 501))
 
 
-def test_repeat_flag_with_a_hot_key(spark, monkeypatch):
-    monkeypatch.setattr(skew.heavy_keys, "__defaults__", (2,))
-    rows = [("hot",)] * 300 + [("warm",)] * 20 + [("two",)] * 2 + [(None,)] * 3
+@pytest.mark.parametrize("heavy, hot", [(1000, 100), (3, 15), (3, 10**6)])
+def test_repeat_flag_with_a_hot_key(spark, monkeypatch, heavy, hot):
+    """All keys listed, some keys hot, and none hot."""
+    monkeypatch.setattr(skew, "HEAVY_KEYS", heavy)
+    monkeypatch.setattr(skew, "HOT_ROWS", hot)
+    rows = [("hot",)] * 300 + [("warm",)] * 20 + [("two",)] * 2 + [(None,)] * 30
     rows += [(f"k{i}",) for i in range(100)]
     df = spark.createDataFrame(rows, "k string")
     got = {r["k"]: (r["f"], r["n"]) for r in joins.repeat_flag(df, "k", "f").groupBy("k", "f").agg(
         F.count(F.lit(1)).alias("n")).collect()}
-    want = {None: (True, 3), "hot": (True, 300), "warm": (True, 20), "two": (True, 2)}
+    want = {None: (True, 30), "hot": (True, 300), "warm": (True, 20), "two": (True, 2)}
     want.update({f"k{i}": (False, 1) for i in range(100)})
     assert got == want
+    kept = cleaning.drop_rare_levels(df, "k", 25)
+    assert {r[0]: r[1] for r in kept.groupBy("k").count().collect()} == {"hot": 300, None: 30}
 
 
 def test_duplicate_keys(spark):
@@ -132,7 +137,8 @@ def test_join_beyond_the_broadcast_limit(spark, monkeypatch, how):
     want = left.join(right, "k", how)
     small = skew.join_any_size(left, right, ["k"], how)
     monkeypatch.setattr(session, "BROADCAST_ROWS", 5)
-    monkeypatch.setattr(skew.heavy_keys, "__defaults__", (3,))
+    monkeypatch.setattr(skew, "HEAVY_KEYS", 3)
+    monkeypatch.setattr(skew, "HOT_ROWS", 50)
     large = skew.join_any_size(left, right, ["k"], how)
     assert want.count() > 0
     for got in (small, large):
