@@ -1,9 +1,10 @@
 """Joins and group counts that hold whatever the key skew.
 
-Rows are counted per key with map-side sums. The heaviest keys come to the
-driver, at most HEAVY_KEYS rows, and their rows meet a broadcast instead of a
-shuffle. A key left for the shuffle has under HOT_ROWS rows, or is outside the
-heaviest and so holds less than one row in HEAVY_KEYS.
+A mergeable frequent-items sketch over the key hash names the hot keys in one
+scan of the key columns, without a shuffle. Rows of hot keys are pre-aggregated
+or meet a broadcast, and are never shuffled; all other rows are shuffled as
+usual. The sketch finds every key that holds more than a small share of the rows (about
+2 in 10 * HEAVY_KEYS), and it only chooses the path: both paths are exact.
 """
 
 from __future__ import annotations
@@ -15,24 +16,19 @@ from pyspark.sql import functions as F
 
 from stopline import session
 
-HEAVY_KEYS = 1000
-HOT_ROWS = 100_000
+HEAVY_KEYS = 1000   # hot keys at most, so what is broadcast is bounded
+HOT_ROWS = 100_000  # a key with fewer rows is no burden to one task
 
 
 def key_counts(df: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
 
 
-def heavy_keys(counts: DataFrame, keys: Sequence[str], n: str) -> tuple[DataFrame, bool]:
-    """The heaviest keys with their counts as a local table, and whether that is all keys.
-
-    Where there are more keys than fit, only those with HOT_ROWS rows are listed.
-    """
-    top = counts.orderBy(F.desc(n), *keys).limit(HEAVY_KEYS + 1).toArrow()
-    local = counts.sparkSession.createDataFrame(top)
-    if top.num_rows <= HEAVY_KEYS:
-        return local, True
-    return local.where(F.col(n) >= HOT_ROWS).limit(HEAVY_KEYS), False
+def hot_hashes(df: DataFrame, keys: Sequence[str]) -> list[int]:
+    """Hashes of the hot keys, at most HEAVY_KEYS of them."""
+    top = F.expr(f"approx_top_k(_h, {HEAVY_KEYS}, {10 * HEAVY_KEYS})")
+    found = df.select(F.xxhash64(*keys).alias("_h")).agg(top).first()[0] or []
+    return [r["item"] for r in found if r["count"] >= HOT_ROWS]
 
 
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -46,38 +42,35 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 def with_group_count(df: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
     """Add the number of rows that share the row's keys; NULL keys count as equal."""
     keys = list(keys)
-    heavy, complete = heavy_keys(key_counts(df, keys, out), keys, out)
-    hot = F.broadcast(heavy.select(*[F.col(k).alias(f"_{k}") for k in keys], out))
-    wide = [*df.columns, out]
-    if complete:
-        return df.join(hot, _same(df, hot, keys)).select(*wide)
+    hot = hot_hashes(df, keys)
     counted = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    if heavy.isEmpty():
+    if not hot:
         return df.withColumn(out, counted)
-    hot_part = df.join(hot, _same(df, hot, keys)).select(*wide)
-    cold = df.join(hot, _same(df, hot, keys), "left_anti")
-    return hot_part.unionByName(cold.withColumn(out, counted))
+    is_hot = F.xxhash64(*keys).isin(hot)
+    rows = df.where(is_hot)
+    counts = F.broadcast(key_counts(rows, keys, out).select(
+        *[F.col(k).alias(f"_{k}") for k in keys], out))
+    hot_part = rows.join(counts, _same(rows, counts, keys)).select(*df.columns, out)
+    return hot_part.unionByName(df.where(~is_hot).withColumn(out, counted))
 
 
 def join_any_size(left: DataFrame, right: DataFrame, keys: Sequence[str],
                   how: str = "inner") -> DataFrame:
     """Inner, semi or anti join on `keys`, for a right side of any size.
 
-    A right side counted as small is broadcast. Otherwise the left side's hot
-    keys are split off: their rows meet only the right rows of those keys
-    (broadcast when counted as small, which one row per key always is), and
-    the rest is hash-joined with no hot key left in it.
+    A right side counted as small is broadcast. Otherwise the left rows of hot
+    keys meet only the right rows of those keys (broadcast when counted as
+    small, which one row per key always is), and the rest is hash-joined.
     """
     keys = list(keys)
     if right.count() <= session.BROADCAST_ROWS:
         return left.join(F.broadcast(right), keys, how)
-    counts = key_counts(left.na.drop(subset=keys), keys, "_n")
-    heavy, _ = heavy_keys(counts, keys, "_n")
-    heavy = heavy.where(F.col("_n") >= HOT_ROWS).select(*keys)
-    if heavy.isEmpty():
+    hot = hot_hashes(left, keys)
+    if not hot:
         return left.join(right, keys, how)
-    hot = F.broadcast(heavy)
-    hot_right = session.broadcast_if_small(right.join(hot, keys, "left_semi"))
-    hot_part = left.join(hot, keys, "left_semi").join(hot_right, keys, how)
-    cold_part = left.join(hot, keys, "left_anti").join(right, keys, how)
-    return hot_part.unionByName(cold_part)
+    is_hot = F.xxhash64(*keys).isin(hot)
+    rows = left.where(is_hot)
+    hot_keys = F.broadcast(rows.select(*keys).distinct())
+    hot_right = session.broadcast_if_small(right.join(hot_keys, keys, "left_semi"))
+    return rows.join(hot_right, keys, how).unionByName(
+        left.where(~is_hot).join(right, keys, how))

@@ -102,9 +102,9 @@ def test_dense_row_id(spark):
     assert [r["row_id"] for r in sorted(got, key=lambda r: r["x"])] == list(range(1, 501))
 
 
-@pytest.mark.parametrize("heavy, hot", [(1000, 100), (3, 15), (3, 10**6)])
+@pytest.mark.parametrize("heavy, hot", [(1000, 1), (1000, 100), (3, 15), (3, 10**6)])
 def test_repeat_flag_with_a_hot_key(spark, monkeypatch, heavy, hot):
-    """All keys listed, some keys hot, and none hot."""
+    """All keys hot, some hot, some hot in a tiny sketch, and none hot."""
     monkeypatch.setattr(skew, "HEAVY_KEYS", heavy)
     monkeypatch.setattr(skew, "HOT_ROWS", hot)
     rows = [("hot",)] * 300 + [("warm",)] * 20 + [("two",)] * 2 + [(None,)] * 30
