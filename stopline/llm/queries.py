@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stopline.llm import decontaminate
+from stopline.llm import chat, decontaminate, language, quality, resharding, url_filter
 from stopline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,3 +25,28 @@ def query(name: str, sql: str | None = None):
 @query("op5_suffix_decontaminate", decontaminate.SQL)
 def op5(spark, sf_dir):
     return decontaminate.digest_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op4_likelihood_ratio")
+def op4(spark, sf_dir):
+    return quality.report_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op8_schema_fingerprint", chat.SQL)
+def op8(spark, sf_dir):
+    return chat.digest_rows(table(spark, sf_dir, "conversations"))
+
+
+@query("op1_language_mixture")
+def op1(spark, sf_dir):
+    return language.prediction_rows(table(spark, sf_dir, "documents"))
+
+
+@query("op2_segmented_bayes")
+def op2(spark, sf_dir):
+    return url_filter.verdict_rows(table(spark, sf_dir, "pages"))
+
+
+@query("op7_flow_reshard")
+def op7(spark, sf_dir):
+    return resharding.shard_rows(table(spark, sf_dir, "documents"))
