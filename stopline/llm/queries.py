@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stopline.llm import chat, decontaminate, language, quality, resharding, url_filter
+from stopline.llm import (
+    chat, dartminhash, decontaminate, language, mixing, quality, resharding, url_filter,
+)
 from stopline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +52,13 @@ def op2(spark, sf_dir):
 @query("op7_flow_reshard")
 def op7(spark, sf_dir):
     return resharding.shard_rows(table(spark, sf_dir, "documents"))
+
+
+@query("op3_dartminhash")
+def op3(spark, sf_dir):
+    return dartminhash.class_rows(table(spark, sf_dir, "documents"))
+
+
+@query("op9_raking")
+def op9(spark, sf_dir):
+    return mixing.mix_rows(table(spark, sf_dir, "documents"))
