@@ -74,8 +74,8 @@ def byte_class(pattern_bytes) -> np.ndarray:
     return out
 
 
-# Words of `[^\x20\x09-\x0D]+`, in UTF-8.
-SPACED = byte_class(set(range(256)) - {0x20, 9, 10, 11, 12, 13})
+# Words of `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+` once A-Z are a-z.
+WORDS = byte_class([*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)])
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 

@@ -23,7 +23,8 @@ members is copied to groups of about `MEMBERS`, so no task holds more.
 
 Defined results. Texts of fewer than five words are one run; null, empty and
 wordless texts are equal to texts with the same bytes only (null is empty).
-Words are split at `[\\x20\\x09-\\x0D]`, A-Z count as a-z. A class is named by its least
+Words are runs of letters and digits (all non-ASCII characters count as such),
+A-Z count as a-z. A class is named by its least
 doc_id; repeated rows are rows of one class.
 """
 
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stopline.llm.common import (
-    BASE, SPACED, components, mix, shingles, signed, store, string_buffers, text_chunks, text_key, word_hashes,
+    BASE, WORDS, components, mix, shingles, signed, store, string_buffers, text_chunks, text_key, word_hashes,
 )
 
 RUN = 5
@@ -48,7 +49,7 @@ MEMBERS = 500
 
 def text_shingles(data: np.ndarray, offsets: np.ndarray, size: int = RUN) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the runs of `size` words of each row, and the offset of each row's first."""
-    words, rows = word_hashes(data, offsets, SPACED)
+    words, rows = word_hashes(data, offsets, WORDS)
     n = np.diff(rows)
     counts = np.where(n >= size, n - size + 1, (n > 0).astype(n.dtype))
     at = np.concatenate(([0], np.cumsum(counts)))
@@ -251,9 +252,12 @@ def links(texts: DataFrame, docs: DataFrame) -> DataFrame:
         pairs = store(both, "candidates")
         now_tried = pairs.select("lo", "hi").distinct()
         tried = now_tried if tried is None else tried.unionByName(now_tried)
-        found = verify(pairs.select("a", "b"), texts, docs)
-        edges = store(found if edges is None else edges.unionByName(found), "links")
-        roots = components(edges)
+        if pairs.isEmpty():
+            continue
+        found = store(verify(pairs.select("a", "b"), texts, docs), "links")
+        edges = found if edges is None else edges.unionByName(found)
+        if not found.isEmpty():
+            roots = components(edges)
     return roots
 
 

@@ -27,12 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stopline.llm.common import BASE, byte_class, mix, store, string_buffers, text_chunks, word_hashes
+from stopline.llm.common import BASE, WORDS, mix, store, string_buffers, text_chunks, word_hashes
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
-# Words of `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+` once A-Z are a-z, as UTF-8 bytes.
-WORDS = byte_class([*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)])
 _LEAD, _BITS = 3, 1 << 20
 
 REPORT = T.StructType([

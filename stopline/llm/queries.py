@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stopline.llm import (
-    chat, dartminhash, decontaminate, language, mixing, quality, resharding, url_filter,
+    chat, dartminhash, decontaminate, language, mixing, quality, resharding, suffix_groups,
+    url_filter,
 )
 from stopline.llm.common import table
 
@@ -62,3 +63,8 @@ def op3(spark, sf_dir):
 @query("op9_raking")
 def op9(spark, sf_dir):
     return mixing.mix_rows(table(spark, sf_dir, "documents"))
+
+
+@query("op6_lyndon_groups")
+def op6(spark, sf_dir):
+    return suffix_groups.digest_rows(table(spark, sf_dir, "documents"))
