@@ -147,6 +147,38 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+# ---- texts that are to be compared ----
+
+# Texts that meet one centre in a group.
+MEMBERS = 500
+
+
+def row_key(doc_id: Column) -> Column:
+    """A document's id as text, for joins that must match null with null."""
+    return F.coalesce(doc_id.cast("string"), F.lit("")).alias("dk")
+
+
+def meet(pairs: DataFrame, named: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows (centre, group, member, node, info, text), sorted so that each group's centre comes first.
+
+    pairs: (a, b, info), b the centre. named: (node, *keys); source: (*keys, text). A centre with
+    many members is copied to groups of about `MEMBERS`, so no task gathers more.
+    """
+    sizes = pairs.groupBy("b").agg(F.ceil(F.count("*") / MEMBERS).cast("long").alias("groups"))
+    to = lambda group, member, info: F.struct(
+        F.col("b").alias("centre"), group.alias("group"), F.lit(member).alias("member"), info.alias("info"))
+    kind = pairs.schema["info"].dataType
+    members = pairs.join(sizes, "b").select(
+        F.col("a").alias("node"), to(F.pmod(F.xxhash64("a"), "groups"), 1, F.col("info")).alias("to"))
+    centres = sizes.select("b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("g")).select(
+        F.col("b").alias("node"), to(F.col("g"), 0, F.lit(None).cast(kind)).alias("to"))
+    wanted = members.unionByName(centres).groupBy("node").agg(F.collect_list("to").alias("to"))
+    sent = (source.join(wanted.join(named, "node").select("to", F.col("node").alias("_n"), *keys), keys)
+            .select(F.col("_n").alias("node"), "text", F.explode("to").alias("to")).select("to.*", "node", "text"))
+    count = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return sent.repartition(count, "centre", "group").sortWithinPartitions("centre", "group", "member", "node")
+
+
 # ---- connected components ----
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

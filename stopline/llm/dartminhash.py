@@ -36,7 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stopline.llm.common import (
-    BASE, WORDS, components, mix, shingles, signed, store, string_buffers, text_chunks, text_key, word_hashes,
+    BASE, WORDS, components, meet, mix, row_key, shingles, signed, store, string_buffers, text_chunks, text_key,
+    word_hashes,
 )
 
 RUN = 5
@@ -44,7 +45,6 @@ SIMILARITY = (8, 10)
 BANDS, ROWS = 20, 3
 COORDINATES = BANDS * ROWS
 DARTS = COORDINATES * (np.log(COORDINATES) + 2)
-MEMBERS = 500
 
 
 def text_shingles(data: np.ndarray, offsets: np.ndarray, size: int = RUN) -> tuple[np.ndarray, np.ndarray]:
@@ -166,30 +166,10 @@ def similar(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
 
 
 def verify(pairs: DataFrame, texts: DataFrame, docs: DataFrame, least=SIMILARITY) -> DataFrame:
-    """The (a, b) of `pairs` whose texts are similar enough; b is the centre.
-
-    Texts meet in groups of a centre and a share of its members, the centre's text
-    copied to each group.
-    """
-    pairs = store(pairs, "pairs")
-    sizes = pairs.groupBy("b").agg(F.ceil(F.count("*") / MEMBERS).cast("long").alias("groups"))
-    members = pairs.join(sizes, "b").select(
-        F.col("a").alias("node"), F.col("b").alias("centre"),
-        F.pmod(F.xxhash64("a"), "groups").alias("group"), F.lit(1).alias("member"))
-    centres = sizes.select(F.col("b").alias("node"), F.col("b").alias("centre"),
-                           F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("group"),
-                           F.lit(0).alias("member"))
-    wanted = members.unionByName(centres).groupBy("node").agg(
-        F.collect_list(F.struct("centre", "group", "member")).alias("to"))
-    # the row of a node's text: any of its rows with the least doc_id
-    named = wanted.join(texts.select("node", "t1", "t2", "doc"), "node")
-    rows = docs.select(F.col("doc_id").alias("doc"), *text_key(F.col("text")), "text")
-    sent = (rows.join(named, (rows["t1"] == named["t1"]) & (rows["t2"] == named["t2"])
-                      & rows["doc"].eqNullSafe(named["doc"]))
-            .select("node", "text", F.explode("to").alias("to"))
-            .select("to.*", "node", "text"))
-    count = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = sent.repartition(count, "centre", "group").sortWithinPartitions("centre", "group", "member", "node")
+    """The (a, b) of the stored `pairs` whose texts are similar enough; b is the centre."""
+    named = texts.select("node", "t1", "t2", row_key(F.col("doc")))
+    source = docs.select(*text_key(F.col("text")), row_key(F.col("doc_id")), "text")
+    dealt = meet(pairs.withColumn("info", F.lit(0)), named, source, ["t1", "t2", "dk"])
     num, den = least
 
     def run(batches):
@@ -286,9 +266,9 @@ def class_rows(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """One row of each class, the one with the least doc_id, with the columns of `docs`."""
     keep = classes(docs).where("keeper").select(
-        "t1", "t2", F.coalesce(F.col("doc").cast("string"), F.lit("")).alias("dk"))
+        "t1", "t2", row_key(F.col("doc")))
     names = {c: f"_{i}" for i, c in enumerate(docs.columns)}
     rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()], *text_key(F.col("text")),
-                       F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("dk"))
+                       row_key(F.col("doc_id")))
     rows = rows.join(keep, ["t1", "t2", "dk"]).dropDuplicates(["t1", "t2", "dk"])
     return rows.select(*[F.col(n).alias(c) for c, n in names.items()])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stopline.llm import (
-    chat, dartminhash, decontaminate, language, mixing, quality, resharding, suffix_groups,
+    chat, compact_windows, dartminhash, decontaminate, language, mixing, quality, resharding, suffix_groups,
     url_filter,
 )
 from stopline.llm.common import table
@@ -68,3 +68,8 @@ def op9(spark, sf_dir):
 @query("op6_lyndon_groups")
 def op6(spark, sf_dir):
     return suffix_groups.digest_rows(table(spark, sf_dir, "documents"))
+
+
+@query("op10_compact_windows")
+def op10(spark, sf_dir):
+    return compact_windows.passage_rows(table(spark, sf_dir, "documents"))
