@@ -134,7 +134,11 @@ def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     into = "quality_report"
     while into in docs.columns:
         into += "_"
-    return judged(docs, labels, into, **options).where(F.col(f"{into}.kept")).drop(into)
+    # A generator instead of a filter: Spark would push a filter below the projections
+    # and copy their nested expressions into it.
+    once = F.when(F.col(f"{into}.kept"), F.array(F.lit(1)))
+    return judged(docs, labels, into, **options).select(
+        *[F.col(f"`{c}`") for c in docs.columns], F.explode(once).alias(into)).drop(into)
 
 
 def report_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
