@@ -400,15 +400,15 @@ def without_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     """`docs` with the repeated bytes taken out of the text; a cut character is left out whole."""
     into = "_spans"
     done = with_spans(docs, into, text, doc_id)
-    place = docs.columns.index(text)
+    names, place = docs.columns, docs.columns.index(text)
 
     def run(batches):
         for batch in batches:
             texts = [None if x is None else kept_bytes(x.encode(), runs_of(s)).decode(errors="ignore")
                      for x, s in zip(batch.column(text).to_pylist(), batch.column(into).to_pylist())]
-            columns = [batch.column(c) for c in docs.columns]
+            columns = [batch.column(c) for c in names]
             columns[place] = pa.array(texts, columns[place].type)
-            yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return done.mapInArrow(run, docs.schema)
 
