@@ -241,7 +241,7 @@ def lasso(penalty: float | None = None, label: str = "label", features: str = "f
 
 
 def lasso_cv(train: DataFrame, key: str, lambdas: Sequence[float], folds: int = 5,
-             label: str = "label", features: str = "features", parallelism: int = 4) -> LassoPath:
+             label: str = "label", features: str = "features", parallelism: int = 1) -> LassoPath:
     """Mean and spread of the held-out log loss per penalty, folds by key hash."""
     estimator = lasso(label=label, features=features)
     grid = ParamGridBuilder().addGrid(estimator.regParam, list(lambdas)).build()
@@ -259,7 +259,8 @@ def lambda_rule(path: LassoPath, rule: str = "1se") -> float:
     best = min(range(len(path.mean)), key=lambda i: path.mean[i])
     if rule == "min":
         return path.lambdas[best]
-    limit = path.mean[best] + path.std[best] / math.sqrt(path.folds)
+    # the spread is that of a population, so its error divides by folds - 1
+    limit = path.mean[best] + path.std[best] / math.sqrt(path.folds - 1)
     return max(lam for lam, m in zip(path.lambdas, path.mean) if m <= limit)
 
 

@@ -11,16 +11,24 @@ from pyspark.sql import types as T
 from stopline.operators.stats import rate_by_all
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | str,
-               null_value: str = "NA", header: bool = True) -> DataFrame:
-    """CSV with a declared schema, so no pass over the data is spent on guessing types."""
-    return (spark.read.schema(schema).option("header", header)
-            .option("nullValue", null_value).csv(path))
+def read_table(spark: SparkSession, path: str, schema: T.StructType | str, null_value: str = "NA",
+               header: bool = True, multi_line: bool = False, bad_rows: str = "FAILFAST") -> DataFrame:
+    """CSV with a declared schema, so no pass over the data is spent on guessing types.
+
+    Quotes inside quoted text are doubled. The header must name the schema's columns
+    in order. A value that does not fit its column is an error (`bad_rows`, or
+    `PERMISSIVE` for null). `multi_line` reads quoted line breaks; such a file is
+    read by one task, since it cannot be cut safely.
+    """
+    return (spark.read.schema(schema).option("header", header).option("enforceSchema", not header)
+            .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+            .option("mode", bad_rows).option("nullValue", null_value).csv(path))
 
 
 def write_table(df: DataFrame, path: str, header: bool = True, null_value: str = "NA") -> None:
-    """CSV with header. Fails where the path exists, so no input is ever overwritten."""
-    df.write.option("header", header).option("nullValue", null_value).csv(path)
+    """CSV with header, quotes doubled. Fails where the path exists, so no input is ever overwritten."""
+    (df.write.option("header", header).option("quote", '"').option("escape", '"')
+     .option("nullValue", null_value).csv(path))
 
 
 def drop_index(df: DataFrame, name: str = "x") -> DataFrame:
