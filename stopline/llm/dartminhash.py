@@ -11,9 +11,12 @@ empty coordinate throws on.
 
 `BANDS` bands of `ROWS` coordinates make buckets. Equal texts are one node. In a
 bucket, every node is compared with a centre, the node that sits in the largest
-buckets, then with the most central node of another component, and what is still
-apart is compared across components. So a bucket ends when its nodes are of one
-class or every pair across classes has been refuted.
+buckets, then with the most central node of another component. What is still apart
+meets by prefixes: cells are ordered from the rarest on, and of two texts of enough
+similarity the first ninth of the shorter one's cells and the first fifth of the
+longer one's must share a cell. So a bucket ends when its nodes are of one class or every
+pair across classes has been refuted, and copies of one text that differ by rare words
+each are not compared with each other.
 Similarities are computed exactly; links of at least `SIMILARITY` are joined into
 classes. A pair at the threshold is missed with probability
 (1 - 0.8 ** ROWS) ** BANDS = 6e-7.
@@ -32,8 +35,9 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stopline.llm.common import (
     BASE, WORDS, components, meet, mix, row_key, shingles, signed, store, string_buffers, text_chunks, text_key,
@@ -70,18 +74,23 @@ def _arrival(cell: np.ndarray, step: int) -> np.ndarray:
     return -np.log1p(-u / (1 << 53))
 
 
-def signatures(runs: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Earliest dart of each coordinate, one line per row; 0 for rows without runs."""
-    n_rows = len(at) - 1
-    weight = np.diff(at)
-    row = np.repeat(np.arange(n_rows), weight)
+def regions(runs: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The cells (run, occurrence) of each row, and the row of each cell, ascending."""
+    row = np.repeat(np.arange(len(at) - 1), np.diff(at))
     order = np.lexsort((runs, row))
     s, row = runs[order], row[order]
     new = np.ones(len(s), bool)
     new[1:] = (s[1:] != s[:-1]) | (row[1:] != row[:-1])
     first = np.flatnonzero(new)
     times = np.arange(len(s)) - np.repeat(first, np.diff(np.append(first, len(s))))
-    cells = mix(s + mix(times.astype(np.uint64) + np.uint64(1)))
+    return mix(s + mix(times.astype(np.uint64) + np.uint64(1))), row
+
+
+def signatures(runs: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Earliest dart of each coordinate, one line per row; 0 for rows without runs."""
+    n_rows = len(at) - 1
+    weight = np.diff(at)
+    cells, row = regions(runs, at)
     out = np.zeros((n_rows, COORDINATES), np.uint64)
     open_rows = np.flatnonzero(weight)
     limit = DARTS / np.maximum(weight, 1)
@@ -119,30 +128,38 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return keys
 
 
-def sketches(docs: DataFrame) -> DataFrame:
-    """`docs` (with `text`) with `bands` in the place of `text`; no bands without words."""
+def _lists(docs: DataFrame, name: str, lists) -> DataFrame:
+    """`docs` (with `text`) with an array of longs in the place of `text`.
+
+    lists: from the runs of some rows and their offsets, the values and their number in each row.
+    """
     kept = [f for f in docs.schema.fields if f.name != "text"]
 
     def run(batches):
         for batch in batches:
-            values, counts = [], []
-            for first, last, data, offsets in text_chunks(batch.column("text")):
-                runs, at = text_shingles(data, offsets)
-                keys = signed(band_keys(signatures(runs, at)))
-                some = np.diff(at) > 0
-                values.append(keys[some].ravel())
-                counts.append(np.where(some, BANDS, 0))
-            flat = np.concatenate(values) if values else np.zeros(0, np.int64)
-            ends = np.concatenate([[0], *counts]).cumsum().astype(np.int32)
-            bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), bands],
-                                             names=[*(f.name for f in kept), "bands"])
-
-    from pyspark.sql import types as T
-    schema = T.StructType([*kept, T.StructField("bands", T.ArrayType(T.LongType()))])
+            values, counts = [np.zeros(0, np.int64)], [[0]]
+            for _, _, data, offsets in text_chunks(batch.column("text")):
+                some, n = lists(*text_shingles(data, offsets))
+                values.append(signed(some))
+                counts.append(n)
+            ends = np.concatenate(counts).cumsum().astype(np.int32)
+            arrays = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(values)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), arrays],
+                                             names=[*(f.name for f in kept), name])
+
+    schema = T.StructType([*kept, T.StructField(name, T.ArrayType(T.LongType()))])
     return docs.mapInArrow(run, schema)
 
 
+def sketches(docs: DataFrame) -> DataFrame:
+    """`docs` with `bands` in the place of `text`; no bands without words."""
+    def bands(runs, at):
+        some = np.diff(at) > 0
+        return band_keys(signatures(runs, at))[some].ravel(), np.where(some, BANDS, 0)
+
+    return _lists(docs, "bands", bands)
+
+
 def distinct_texts(docs: DataFrame) -> DataFrame:
     """A stored table of the different texts: node, t1, t2, doc (least doc_id), n rows, bands."""
     rows = sketches(docs.select("doc_id", *text_key(F.col("text")), "text"))
@@ -201,6 +218,33 @@ def _cross(now: DataFrame, centre: DataFrame) -> DataFrame:
     return now.join(centre, "key").where("root != root_b").select(F.col("node").alias("a"), "b").distinct()
 
 
+def prefix_pairs(nodes: DataFrame, texts: DataFrame, docs: DataFrame, least=SIMILARITY) -> DataFrame:
+    """(a, b): all pairs of `nodes` (node, root) of different roots that can be similar enough.
+
+    Of an overlap of at least o cells, one is among the first n - o + 1 cells of either text in any
+    common order; o is at least num / den of the longer text, and num / (num + den) of both. Cells
+    that only one text has come first and are counted, not kept.
+    """
+    num, den = least
+    named = texts.select("node", "t1", "t2", row_key(F.col("doc"))).join(nodes, "node")
+    source = docs.select(*text_key(F.col("text")), row_key(F.col("doc_id")), "text")
+    rows = source.join(named, ["t1", "t2", "dk"]).select("node", "root", "text").dropDuplicates(["node"])
+    cells = _lists(rows, "cells", lambda runs, at: (regions(runs, at)[0], np.diff(at)))
+    spread = store(cells.select("node", "root", F.size("cells").alias("size"), F.explode("cells").alias("cell")), "cells")
+    shared = spread.join(spread.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1"), "cell")
+    mine = Window.partitionBy("node")
+    place = F.col("size") - F.count("*").over(mine) + F.row_number().over(mine.orderBy("n", "cell"))
+    first = store(shared.withColumn("place", place)
+                  .where(F.expr(f"place <= size * {den - num} div {den} + 1")).drop("n"), "prefixes")
+    other = first.where(F.expr(f"place <= size * {den - num} div {den + num} + 1")).select(
+        "cell", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("size").alias("size_b"),
+        F.col("place").alias("place_b"))
+    return (first.join(other, "cell").where("root != root_b")
+            .where("size_b < size or (size_b = size and b < node)").where(f"size_b * {den} >= size * {num}")
+            .where(f"(1 + least(size - place, size_b - place_b)) * {num + den} >= {num} * (size + size_b)")
+            .select(F.col("node").alias("a"), "b").distinct())
+
+
 def links(texts: DataFrame, docs: DataFrame) -> DataFrame:
     """(node, root) of every node that is linked to another."""
     spread = texts.select("node", F.explode("bands").alias("key"))
@@ -223,9 +267,7 @@ def links(texts: DataFrame, docs: DataFrame) -> DataFrame:
             others = now.join(first, "key").where("root != root_b").select("key", "node", "rank", "root")
             pairs = _cross(now, others.groupBy("key").agg(most).select(*centre))
         else:  # what two centres have left apart
-            other = now.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"))
-            pairs = (now.join(other, "key").where("root != root_b and node < b")
-                     .select(F.col("node").alias("a"), "b").distinct())
+            pairs = prefix_pairs(now.select("node", "root").distinct(), texts, docs)
         both = pairs.withColumns({"lo": F.least("a", "b"), "hi": F.greatest("a", "b")})
         if tried is not None:
             both = both.join(tried, ["lo", "hi"], "left_anti")

@@ -181,6 +181,30 @@ def test_near_copies_of_one_text_are_one_class(spark):
     assert all(got[i] == 0 for i in range(60)) and all(got[1000 + i] == 1000 + i for i in range(20))
 
 
+def test_prefixes_lose_no_similar_pair(spark):
+    """Copies of a text that is absent itself: each with other edits, some with the same ones."""
+    rng, rows = random.Random(12), []
+    for base in range(3):
+        words = prose(40 + base, 90).split()
+        for copy in range(25):
+            mine = list(words)
+            for k in range(rng.randint(1, 4)):
+                mine[rng.randrange(0, 90, 18) + k] = f"new{rng.randint(1, 3)}"
+            rows.append((len(rows), " ".join(mine[:rng.randint(74, 90)])))
+    rows.append((len(rows), rows[0][1] + " " + rows[0][1]))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    texts = dartminhash.distinct_texts(frame)
+    nodes = texts.select("node", texts.node.alias("root"))
+    name = {r["node"]: r["doc"] for r in texts.collect()}
+    got = {frozenset((name[r["a"]], name[r["b"]])) for r in dartminhash.prefix_pairs(nodes, texts, frame).collect()}
+    bags = {d: dartminhash._counted(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))
+            for d, t in rows if d in name.values()}
+    similar = {frozenset((x, y)) for x in bags for y in bags if x < y
+               for common, union in [dartminhash.similar(bags[x], bags[y])] if 10 * common >= 8 * union}
+    assert len(similar) > 20 and similar <= got
+    assert len(got) < len(bags) * (len(bags) - 1) // 2 // 2
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (5, 4), (9, 9), (10, 3), (7, 6), (6, 8)] + [(20 + i, 21 + i) for i in range(30)]
     got = dict(tuple(r) for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect())
