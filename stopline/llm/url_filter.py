@@ -1,8 +1,8 @@
 """URL filter: host and path rules, then naive Bayes over segmented names.
 
 Host labels are split into words by a unigram Viterbi search over a dictionary
-counted on the pages' own words (the `DICTIONARY` most frequent ones: the bound
-of the model). Host words and path tokens are hashed into `BUCKETS` features of a
+counted on the pages' own words: all whole levels of frequency, from the most
+frequent on, that hold no more than `DICTIONARY` words together (the bound of the model). Host words and path tokens are hashed into `BUCKETS` features of a
 multinomial naive Bayes model. Its training rows are the pages with a segmented host
 word of `BLOCK_WORDS` against all others that no rule blocks. All pages are judged.
 
@@ -58,12 +58,21 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 
 def dictionary(texts: DataFrame, text: str, size: int = DICTIONARY) -> tuple[dict[str, float], float]:
-    """Log probabilities of the most frequent words, and the count of all words."""
+    """Log probabilities of the most frequent words, `size` at most, and the count of all words."""
     plain = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"<[^>]*>", " ")
     words = F.regexp_extract_all(F.translate(plain, _UPPER, _LOWER), F.lit(r"(\p{L}+)"), F.lit(1))
-    counts = texts.select(F.explode(words).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+    counts = store(texts.select(F.explode(words).alias("w")).groupBy("w").agg(F.count("*").alias("n")), "words")
     total = counts.agg(F.sum("n")).first()[0] or 0
-    top = counts.where(F.length("w") <= LONGEST_WORD).orderBy(F.desc("n"), "w").limit(size).collect()
+    # Levels of frequency, 8 to a doubling: some hundred rows, and then only the words of the levels that fit.
+    level = F.floor(F.log2("n") * 8)
+    short = counts.where(F.length("w") <= LONGEST_WORD).withColumn("level", level)
+    held, least = 0, None
+    for row in short.groupBy("level").agg(F.count("*").alias("words")).orderBy(F.desc("level")).collect():
+        held += row.words
+        if held > size:
+            break
+        least = row.level
+    top = short.where(F.col("level") >= least).select("w", "n").collect() if least is not None else []
     return {w: math.log(n / total) for w, n in top}, float(max(total, 1))
 
 
