@@ -11,7 +11,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopline.session import cut_lineage, new_path
+from stopline.session import new_path
 
 # Functions of this package travel with the tasks: executors need no copy of it.
 cloudpickle.register_pickle_by_value(sys.modules["stopline.llm"])
@@ -181,6 +181,11 @@ def meet(pairs: DataFrame, named: DataFrame, source: DataFrame, keys: list[str])
 
 # ---- connected components ----
 
+def _fingerprint(edges: DataFrame):
+    """Number of edges and the sum of their hashes: two longs that tell whether a step changed any."""
+    return edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for every node of an edge, root the least node it is connected to.
 
@@ -188,8 +193,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     least neighbour before its shuffle, and rounds grow with the logarithm of
     a component's size. Nothing but a count reaches the driver.
     """
-    now = cut_lineage(
-        edges.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).where("u < v").distinct())
+    now = store(
+        edges.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).where("u < v").distinct(), "stars")
+    old = _fingerprint(now)
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -201,11 +207,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
                  .select(F.explode(F.array(F.struct(F.col("m").alias("u"), F.col("v")),
                                            F.struct(F.col("m").alias("u"), F.col("u").alias("v")))).alias("e"))
                  .select("e.u", "e.v").where("u < v").distinct())
-        small = cut_lineage(small)
-        old, new = (x.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s"))
-                    .first() for x in (now, small))
-        now = small
+        now = store(small, "stars")
+        new = _fingerprint(now)
         if old == new:
             break
+        old = new
     roots = now.select(F.col("v").alias("node"), F.col("u").alias("root"))
     return roots.unionByName(now.select(F.col("u").alias("node"), F.col("u").alias("root"))).distinct()
