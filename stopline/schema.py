@@ -45,8 +45,8 @@ HIGHWAYS = ["270", "495"]
 MAJOR_ROADS = [
     "270", "495", "OLD GEORGETOWN", "187", "355", "WISCONSIN",
     "200", "29", "190", "191", "188", "410", "185", "390",
-    "97", "193", "586", "VEIRS MILL", "GEORGIA", "112",
-    "28", "27", "320", "650", "500", "UNIVERSITY",
+    "97", "193", "586", "193", "VEIRS MILL", "GEORGIA", "112",
+    "28", "200", "27", "320", "650", "500", "UNIVERSITY",
     "CONNECTICUT", "NEW HAMPSHIRE", "RIVER RD", "BRADLEY BLVD", "WILSON LN",
     "16TH", "QUEENS CHAPEL", "RIDGE RD", "PINEY BRANCH",
 ]
@@ -57,28 +57,28 @@ UNREACHED_ROADS = ["97", "28", "CONNECTICUT", "16TH"]
 # Level groups used by the clustering frame
 CAR_TYPES = ["02 - Automobile", "03 - Station Wagon", "05 - Light Duty Truck"]
 NON_CAR_TYPES = [
-    "01 - Motorcycle", "04 - Limousine", "06 - Heavy Duty Truck",
-    "07 - Truck/Road Tractor", "08 - Recreational Vehicle", "09 - Farm Vehicle",
-    "10 - Transit Bus", "11 - Cross Country Bus", "12 - School Bus",
-    "13 - Ambulance(Emerg)", "14 - Ambulance(Non-Emerg)", "15 - Fire(Emerg)",
-    "17 - Police(Emerg)", "18 - Police(Non-Emerg)", "19 - Moped",
-    "20 - Commercial Rig", "21 - Tandem Trailer", "22 - Mobile Home",
-    "23 - Travel/Home Trailer", "24 - Camper", "25 - Utility Trailer",
-    "26 - Boat Trailer", "27 - Farm Equipment", "28 - Other", "29 - Unknown",
+    "27 - Farm Equipment", "28 - Other", "29 - Unknown", "09 - Farm Vehicle",
+    "08 - Recreational Vehicle", "10 - Transit Bus", "12 - School Bus",
+    "11 - Cross Country Bus", "04 - Limousine", "26 - Boat Trailer",
+    "23 - Travel/Home Trailer", "25 - Utility Trailer", "21 - Tandem Trailer",
+    "07 - Truck/Road Tractor", "24 - Camper", "22 - Mobile Home",
+    "20 - Commercial Rig", "13 - Ambulance(Emerg)", "14 - Ambulance(Non-Emerg)",
+    "17 - Police(Emerg)", "18 - Police(Non-Emerg)", "15 - Fire(Emerg)",
+    "01 - Motorcycle", "19 - Moped", "06 - Heavy Duty Truck",
 ]
 NEUTRAL_COLORS = [
-    "BEIGE", "BLACK", "BRONZE", "BROWN", "COPPER",
-    "CREAM", "GRAY", "SILVER", "TAN", "WHITE",
+    "BEIGE", "BLACK", "BROWN", "WHITE", "TAN",
+    "GRAY", "SILVER", "BRONZE", "CREAM", "COPPER",
 ]
 OTHER_COLORS = [
-    "BLUE", "BLUE, DARK", "BLUE, LIGHT", "CAMOUFLAGE", "CHROME", "GOLD",
-    "GREEN", "GREEN, DK", "GREEN, LGT", "MAROON", "MULTICOLOR", "N/A",
-    "ORANGE", "PINK", "PURPLE", "RED", "YELLOW",
+    "RED", "YELLOW", "ORANGE", "GOLD", "MAROON", "BLUE, LIGHT", "GREEN, LGT",
+    "PINK", "PURPLE", "BLUE, DARK", "BLUE", "GREEN", "GREEN, DK", "CAMOUFLAGE",
+    "CHROME", "MULTICOLOR", "N/A",
 ]
 CLOUDED_CONDITIONS = [
-    "Overcast", "Partially cloudy", "Rain, Clear", "Rain, Overcast", "Rain, Partially cloudy",
+    "Rain, Clear", "Partially cloudy", "Overcast", "Rain, Overcast", "Rain, Partially cloudy",
 ]
-MERGED_RACES = ["ASIAN", "NATIVE AMERICAN", "OTHER"]
+MERGED_RACES = ["OTHER", "NATIVE AMERICAN", "ASIAN"]
 
 # Rare levels removed before the regressions
 RARE_COLORS = ["CAMOUFLAGE", "CHROME"]
