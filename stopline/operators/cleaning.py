@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stopline import schema
 from stopline.functions.calendar import parse_timestamp
 from stopline.functions.text import contains_any, in_set
-from stopline.operators.skew import join_any_size, with_group_count
+from stopline.operators.skew import join_any_size, mark_counted
 
 
 # ---- projections, casts, repairs ----
@@ -182,5 +182,4 @@ def drop_rare_levels(df: DataFrame, col: str, min_count: int) -> DataFrame:
 
     NULL is kept.
     """
-    counted = with_group_count(df, [col], "_n")
-    return counted.where((F.col("_n") >= min_count) | F.col(col).isNull()).drop("_n")
+    return mark_counted(df, [col], min_count, "_kept").where(F.col("_kept") | F.col(col).isNull()).drop("_kept")

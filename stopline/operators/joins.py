@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stopline.functions.calendar import round_hour
-from stopline.operators.skew import join_any_size, key_counts, with_group_count
+from stopline.operators.skew import join_any_size, key_counts, mark_counted
+
 
 def join_common(left: DataFrame, right: DataFrame) -> DataFrame:
     """Join on every column name the two sides share."""
@@ -23,7 +24,7 @@ def join_nearest_hour(left: DataFrame, right: DataFrame, ts: str,
     """Round the left time to its nearest hour and join the hourly right side.
 
     The right side holds one row per hour, so it is broadcast once its size has
-    been counted; were it larger, hot hours would be split off.
+    been measured; were it larger, adaptive execution would split hot hours.
     """
     rounded = left.withColumn(ts, round_hour(F.col(ts)))
     return join_common(rounded, right).drop(*drop)
@@ -32,7 +33,7 @@ def join_nearest_hour(left: DataFrame, right: DataFrame, ts: str,
 def repeat_flag(df: DataFrame, keys: Sequence[str] | str, out: str = "multi_infr") -> DataFrame:
     """True where the key occurs more than once in the frame."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    return with_group_count(df, keys, "_n").withColumn(out, F.col("_n") > 1).drop("_n")
+    return mark_counted(df.drop(out), keys, 2, out)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str] | str, n: str | None = None) -> DataFrame:

@@ -4,7 +4,12 @@ A window without partition keys, or an exact percentile, would bring all rows
 to one task. Here a rank is found by counting rows in a few thousand equal
 value ranges, then again inside the one range that holds the rank, until that
 range is a single value. Every pass is a scan of one column with map-side
-counting, and only the range counts reach the driver.
+counting, and only the range counts reach the driver, about `RANGES` a pass
+whatever the number of ranks.
+
+NaN counts as missing. Infinities are values: a pass sets them apart before the
+finite ones are divided. Passes are bounded by the number format: each divides
+the spread of what is left by the number of ranges.
 """
 
 from __future__ import annotations
@@ -19,7 +24,8 @@ from pyspark.sql import types as T
 
 from stopline.session import cut_lineage, small_table
 
-RANGES = 16_384  # value ranges per pass, and the most values listed one by one
+RANGES = 16_384  # value ranges per pass, and the most values listed one by one, for all spans together
+LEAST_RANGES = 64  # of one span
 
 
 @dataclass(frozen=True)
@@ -45,9 +51,15 @@ def _is_whole(df: DataFrame, col: str) -> bool:
                       (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
 
 
+def known(df: DataFrame, col: str) -> Column:
+    """The column with NaN as NULL."""
+    fraction = isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType))
+    return F.nanvl(col, F.lit(None).cast(df.schema[col].dataType)) if fraction else F.col(col)
+
+
 def extents(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple]:
-    """(min, max, count) of the non-NULL values of each column, in one pass."""
-    parts = [f(c).alias(f"_{i}_{j}") for i, c in enumerate(cols)
+    """(min, max, count) of the values of each column, NULL and NaN left out, in one pass."""
+    parts = [f(known(df, c)).alias(f"_{i}_{j}") for i, c in enumerate(cols)
              for j, f in enumerate((F.min, F.max, F.count))]
     seen = list(df.agg(*parts).first())
     return {c: tuple(seen[3 * i:3 * i + 3]) for i, c in enumerate(cols)}
@@ -102,21 +114,26 @@ def _narrow(data: DataFrame, col: str, by: str | None, whole: bool, spans: list)
     """One counting pass: replace each span by the ranges in it that hold its ranks."""
     x = F.col(col)
     slots, cells, singles = [], [], []
+    ranges = max(LEAST_RANGES, RANGES // len(spans))
     for k, s in enumerate(spans):
         inside = x.between(F.lit(s.lo), F.lit(s.hi))
         if by is not None:
             inside = (F.col(by) == F.lit(s.group)) & inside
         slots.append((inside, F.lit(k)))
-        if s.size <= RANGES:
+        if s.size <= ranges:
             # Few rows are left: count each value by itself.
             singles.append((inside, x))
-            continue
-        if whole:
-            step = max(1, -(-(s.hi - s.lo + 1) // RANGES))
-            at = F.expr(f"(`{col}` - ({s.lo}L)) div {step}L")
+        elif whole:
+            step = -(-(s.hi - s.lo + 1) // ranges)
+            far = f"`{col}`" if s.hi - s.lo < 1 << 63 else f"cast(`{col}` as decimal(20,0))"
+            cells.append((inside, F.expr(f"({far} - ({s.lo}L)) div {step}L")))
+        elif math.isinf(s.lo) or math.isinf(s.hi):
+            cells.append((inside, F.when(x == -math.inf, 0).when(x == math.inf, 2).otherwise(1).cast("long")))
         else:
-            at = F.floor((x - F.lit(s.lo)) / F.lit(s.hi - s.lo) * RANGES).cast("long")
-        cells.append((inside, F.least(at, F.lit(RANGES - 1))))
+            # Halves where the difference would leave the number format.
+            part = 1.0 if math.isfinite(s.hi - s.lo) else 0.5
+            at = (x * part - F.lit(s.lo * part)) / F.lit(s.hi * part - s.lo * part)
+            cells.append((inside, F.least(F.floor(at * ranges).cast("long"), F.lit(ranges - 1))))
 
     def case(arms: list, kind) -> Column:
         out = F.when(F.lit(False), F.lit(None).cast(kind))
@@ -196,7 +213,7 @@ def bucket_ends(n: int, k: int, legacy: bool = False) -> list[int]:
 
 def with_ntile(df: DataFrame, col: str, key: str, k: int, out: str = "bin",
                legacy: bool = False, span: tuple | None = None) -> DataFrame:
-    """Bucket 1..k by rank of `col`, ties in order of the unique `key`; NULL stays NULL.
+    """Bucket 1..k by rank of `col`, ties in order of the unique `key`; NULL and NaN get NULL.
 
     Adds one expression over k-1 literal cuts; the rows are neither moved nor sorted.
     """
@@ -212,7 +229,7 @@ def with_ntile(df: DataFrame, col: str, key: str, k: int, out: str = "bin",
         mid = (low + high) // 2
         return F.when(cuts[mid - 1], bucket(low, mid)).otherwise(bucket(mid + 1, high))
 
-    return df.withColumn(out, F.when(F.col(col).isNotNull(), bucket(1, k)))
+    return df.withColumn(out, F.when(known(df, col).isNotNull(), bucket(1, k)))
 
 
 def key_hash(key: Column) -> Column:
@@ -288,5 +305,9 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
         out[g] = [None] * len(probs)
         for i, h in enumerate(places.get(g, [])):
             a, b = (at[g, r] for r in neighbours(g, h))
-            out[g][i] = a + (h - math.floor(h)) * (b - a)
+            part = h - math.floor(h)
+            if a == b or part == 0:
+                out[g][i] = a
+            else:
+                out[g][i] = a + part * (b - a) if math.isfinite(b - a) else (1 - part) * a + part * b
     return out if by is not None else out[None]

@@ -1,76 +1,50 @@
 """Joins and group counts that hold whatever the key skew.
 
-A mergeable frequent-items sketch over the key hash names the hot keys in one
-scan of the key columns, without a shuffle. Rows of hot keys are pre-aggregated
-or meet a broadcast, and are never shuffled; all other rows are shuffled as
-usual. The sketch finds every key that holds more than a small share of the rows (about
-2 in 10 * HEAVY_KEYS), and it only chooses the path: both paths are exact.
+Counts are partial aggregates, so a hot key sends one row per task. Rows meet a
+per-key side by a plain equi-join on stored sides: a side measured as small is
+broadcast and no row is shuffled; otherwise both sides are shuffled, and
+adaptive execution splits every partition that is too large, however many
+hot keys there are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stopline import session
 
-HEAVY_KEYS = 1000   # hot keys at most, so what is broadcast is bounded
-HOT_ROWS = 100_000  # a key with fewer rows is no burden to one task
-
 
 def key_counts(df: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
 
 
-def hot_hashes(df: DataFrame, keys: Sequence[str]) -> list[int]:
-    """Hashes of the hot keys, at most HEAVY_KEYS of them."""
-    top = F.expr(f"approx_top_k(_h, {HEAVY_KEYS}, {10 * HEAVY_KEYS})")
-    found = df.select(F.xxhash64(*keys).alias("_h")).agg(top).first()[0] or []
-    return [r["item"] for r in found if r["count"] >= HOT_ROWS]
-
-
-def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """NULL-safe equality with the `_`-prefixed keys of the right side."""
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & left[k].eqNullSafe(right[f"_{k}"])
-    return cond
+def mark_counted(df: DataFrame, keys: Sequence[str], least: int, out: str) -> DataFrame:
+    """`out`: whether at least `least` rows share the row's keys; NULL keys count as equal.
 
-
-def with_group_count(df: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
-    """Add the number of rows that share the row's keys; NULL keys count as equal."""
+    Only the keys that reach `least` are stored and joined back.
+    """
     keys = list(keys)
-    hot = hot_hashes(df, keys)
-    counted = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    if not hot:
-        return df.withColumn(out, counted)
-    is_hot = F.xxhash64(*keys).isin(hot)
-    rows = df.where(is_hot)
-    counts = F.broadcast(key_counts(rows, keys, out).select(
-        *[F.col(k).alias(f"_{k}") for k in keys], out))
-    hot_part = rows.join(counts, _same(rows, counts, keys)).select(*df.columns, out)
-    return hot_part.unionByName(df.where(~is_hot).withColumn(out, counted))
+    reached = key_counts(df, keys, "_n").where(F.col("_n") >= least).select(
+        *[F.col(k).alias(f"_{k}") for k in keys], F.lit(True).alias("_reached"))
+    reached = session.broadcast_if_small(session.store(reached, "keys"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & df[k].eqNullSafe(reached[f"_{k}"])
+    return df.join(reached, same, "left").select(
+        *[df[c] for c in df.columns], F.col("_reached").isNotNull().alias(out))
 
 
 def join_any_size(left: DataFrame, right: DataFrame, keys: Sequence[str],
                   how: str = "inner") -> DataFrame:
     """Inner, semi or anti join on `keys`, for a right side of any size.
 
-    A right side counted as small is broadcast. Otherwise the left rows of hot
-    keys meet only the right rows of those keys (broadcast when counted as
-    small, which one row per key always is), and the rest is hash-joined.
+    A right side measured as small is broadcast. A larger one is stored, so that
+    the join reads it through an exchange of its own and adaptive execution can
+    split hot keys.
     """
     keys = list(keys)
-    if right.count() <= session.BROADCAST_ROWS:
-        return left.join(F.broadcast(right), keys, how)
-    hot = hot_hashes(left, keys)
-    if not hot:
-        return left.join(right, keys, how)
-    is_hot = F.xxhash64(*keys).isin(hot)
-    rows = left.where(is_hot)
-    hot_keys = F.broadcast(rows.select(*keys).distinct())
-    hot_right = session.broadcast_if_small(right.join(hot_keys, keys, "left_semi"))
-    return rows.join(hot_right, keys, how).unionByName(
-        left.where(~is_hot).join(right, keys, how))
+    small = session.data_bytes(right) <= session.BROADCAST_BYTES
+    return left.join(F.broadcast(right) if small else session.store(right, "right"), keys, how)

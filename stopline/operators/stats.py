@@ -91,11 +91,12 @@ def numeric_summary(df: DataFrame, cols: Sequence[str], exact: bool = True,
     """(column, min, q1, median, mean, q3, max, n_null), one row per column.
 
     Exact quartiles are found by counting in value ranges; `exact=False` uses
-    one pass of mergeable sketches.
+    one pass of mergeable sketches. NaN counts as NULL.
     """
     spark, probs = df.sparkSession, [0.25, 0.5, 0.75]
     # All columns share the same passes, as (column, x) rows.
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
+    missing = F.lit(None).cast("double")
+    long = df.select(*[F.nanvl(F.col(c).cast("double"), missing).alias(c) for c in cols]).unpivot(
         [], list(cols), "column", "x")
     x = F.col("x")
     parts = [F.min(x), F.max(x), F.avg(x), F.count(x), F.count_if(x.isNull())]

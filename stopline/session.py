@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A lookup side is broadcast only when it has been counted at or below this.
-BROADCAST_ROWS = 200_000
+# A lookup side is broadcast only when it has been measured at or below this.
+BROADCAST_BYTES = 32 << 20
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -43,9 +43,31 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting; larger sides are joined without a hint."""
-    return F.broadcast(df) if df.count() <= max_rows else df
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write `df` under the shared work folder and read it back; removed when the driver's JVM ends."""
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    df.write.parquet(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def data_bytes(df: DataFrame) -> int:
+    """Bytes of the values of `df`, from one aggregate; nested values count as their JSON text."""
+    size = F.lit(16 + 8 * len(df.columns)).cast("long")  # a row, and a word for each fixed-width value
+    for f in df.schema.fields:
+        col = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(col), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(col))), F.lit(0))
+    return df.agg(F.sum(size)).first()[0] or 0
+
+
+def broadcast_if_small(df: DataFrame, most: int | None = None) -> DataFrame:
+    """Hint a broadcast only after measuring; larger sides are joined without a hint."""
+    return F.broadcast(df) if data_bytes(df) <= (BROADCAST_BYTES if most is None else most) else df
 
 
 def small_table(spark: SparkSession, rows: list, ddl: str) -> DataFrame:
@@ -66,4 +88,6 @@ RECOMMENDED_SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Splits hot keys also where the split costs one more shuffle later on.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }

@@ -102,11 +102,10 @@ def test_dense_row_id(spark):
     assert [r["row_id"] for r in sorted(got, key=lambda r: r["x"])] == list(range(1, 501))
 
 
-@pytest.mark.parametrize("heavy, hot", [(1000, 1), (1000, 100), (3, 15), (3, 10**6)])
-def test_repeat_flag_with_a_hot_key(spark, monkeypatch, heavy, hot):
-    """All keys hot, some hot, some hot in a tiny sketch, and none hot."""
-    monkeypatch.setattr(skew, "HEAVY_KEYS", heavy)
-    monkeypatch.setattr(skew, "HOT_ROWS", hot)
+@pytest.mark.parametrize("most", [0, session.BROADCAST_BYTES])
+def test_repeat_flag_with_a_hot_key(spark, monkeypatch, most):
+    """Kept keys joined by shuffle, and by broadcast."""
+    monkeypatch.setattr(session, "BROADCAST_BYTES", most)
     rows = [("hot",)] * 300 + [("warm",)] * 20 + [("two",)] * 2 + [(None,)] * 30
     rows += [(f"k{i}",) for i in range(100)]
     df = spark.createDataFrame(rows, "k string")
@@ -136,15 +135,27 @@ def test_join_beyond_the_broadcast_limit(spark, monkeypatch, how):
     right = right if how == "inner" else right.select("k")
     want = left.join(right, "k", how)
     small = skew.join_any_size(left, right, ["k"], how)
-    monkeypatch.setattr(session, "BROADCAST_ROWS", 5)
-    monkeypatch.setattr(skew, "HEAVY_KEYS", 3)
-    monkeypatch.setattr(skew, "HOT_ROWS", 50)
+    monkeypatch.setattr(session, "BROADCAST_BYTES", 5)
     large = skew.join_any_size(left, right, ["k"], how)
     assert want.count() > 0
     for got in (small, large):
         assert got.exceptAll(want).count() == 0 == want.exceptAll(got).count()
-    plan = large._jdf.queryExecution().executedPlan().toString()
-    assert "Union" in plan
+
+
+def test_five_thousand_keys_of_equal_heat(spark, monkeypatch):
+    """Every key is repeated: no window over rows, and no limit on the number of hot keys."""
+    monkeypatch.setattr(session, "BROADCAST_BYTES", 0)
+    df = spark.range(20_000).select((F.col("id") % 5001).alias("k"), "id")
+    got = joins.repeat_flag(df.where("k < 5000 or id = 5000"), "k")
+    assert {(r[0], r[1]) for r in got.groupBy("multi_infr").count().collect()} == {(True, 19_997), (False, 1)}
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_measured_size_counts_long_text(spark):
+    short = session.data_bytes(spark.range(10).select(F.lit("x").alias("t")))
+    long = session.data_bytes(spark.range(10).select(F.repeat(F.lit("x"), 5000).alias("t")))
+    assert session.data_bytes(spark.range(0).select(F.lit("x").alias("t"))) == 0
+    assert 10 < short < 1000 < 50_000 <= long
 
 
 def test_neighbours_match_brute_force(spark):
@@ -177,3 +188,38 @@ def test_approximate_summary_is_close(spark):
     b = stats.numeric_summary(df, ["x"], exact=False).first()
     assert (a["q1"], a["median"], a["q3"]) == (250.0, 500.0, 750.0)
     assert abs(a["median"] - b["median"]) <= 1
+
+
+def many(spark, first):
+    """The given values, and 40,000 plain ones beside them."""
+    rest = [float(i % 20_011) for i in range(40_000)]
+    return column(spark, first + rest), sorted([v for v in first if not math.isnan(v)] + rest)
+
+
+@pytest.mark.parametrize("first", [
+    [math.inf], [-math.inf, math.inf, math.inf], [math.nan, math.nan],
+    [-1.7e308, 1.7e308], [1e300, 5e-324, -0.0], [math.nan, -math.inf, 1e308, -1e308, math.inf]])
+def test_ranks_of_any_doubles(spark, first):
+    df, values = many(spark, first)
+    n = len(values)
+    ranks = [1, 2, 3, n // 4, n // 2, n - 2, n - 1, n]
+    got = selection.order_statistics(df, "x", ranks)
+    assert [got[r].value for r in ranks] == [values[r - 1] for r in ranks]
+    assert selection.extents(df, ["x"])["x"] == (values[0], values[-1], n)
+    tiles = selection.with_ntile(df, "x", "key", 4).groupBy("bin").count().collect()
+    sizes = {r["bin"]: r["count"] for r in tiles}
+    assert [sizes[b] for b in (1, 2, 3, 4)] == [n // 4 + (b < n % 4) for b in range(4)]
+    assert sizes.get(None, 0) == len(first) + 40_000 - n
+    row = stats.numeric_summary(df, ["x"], digits=12).first()
+    assert (row["min"], row["max"], row["n_null"]) == (values[0], values[-1], len(first) + 40_000 - n)
+    assert row["median"] == np.median(values)
+
+
+def test_ranks_over_all_longs(spark):
+    edges = [-2**63, -2**63 + 1, 2**63 - 2, 2**63 - 1]
+    values = edges + [(i * 0x9E3779B97F4A7C15 + 2**63) % 2**64 - 2**63 for i in range(40_000)]
+    df = column(spark, values, "long")
+    order = sorted(values)
+    ranks = [1, 2, 10_000, 20_000, len(values) - 1, len(values)]
+    got = selection.order_statistics(df, "x", ranks)
+    assert [got[r].value for r in ranks] == [order[r - 1] for r in ranks]
