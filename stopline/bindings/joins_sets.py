@@ -10,20 +10,18 @@ from stopline.models.evaluate import confusion_counts
 from stopline.operators import joins, selection, stats
 
 _HOURLY = """(SELECT date_trunc('hour', ts) AS ts, round(avg(value), 6) AS mean_value,
-  'here' AS address FROM events WHERE event_type = 'view' GROUP BY 1)"""
+  'here' AS address FROM events GROUP BY 1)"""
 
 
 def _hourly(spark, sf):
-    views = table(spark, sf, "events").where("event_type = 'view'")
-    return views.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts")).agg(
+    return table(spark, sf, "events").groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts")).agg(
         F.round(F.avg("value"), 6).alias("mean_value"), F.lit("here").alias("address"))
 
 
 @query(f"""SELECT event_id, user_id, h.ts, mean_value FROM events e JOIN {_HOURLY} h
-  ON date_trunc('hour', e.ts + INTERVAL 30 MINUTE) = h.ts WHERE event_type = 'purchase'""")
+  ON date_trunc('hour', e.ts + INTERVAL 30 MINUTE) = h.ts""")
 def join_nearest_hour(spark, sf):
-    left = table(spark, sf, "events").where("event_type = 'purchase'").select(
-        "event_id", "user_id", "ts")
+    left = table(spark, sf, "events").select("event_id", "user_id", "ts")
     return joins.join_nearest_hour(left, _hourly(spark, sf), "ts")
 
 

@@ -15,14 +15,15 @@ from stopline.operators import quality, stats
 
 # ---- quality ----
 
-_Z = ["l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax"]
+_Z = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+      "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
 @query(" UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS missing FROM {ZERO_TAX_SQL} z"
     for c in _Z))
 def missing_by_column(spark, sf):
-    return quality.missing_by_column(zero_tax(spark, sf), _Z)
+    return quality.missing_by_column(zero_tax(spark, sf))
 
 
 def _range_sql(col, low, high):
@@ -60,8 +61,7 @@ def invalid_category_counts(spark, sf):
         {c: schema.STATE_CODES for c in ("state", "driver_state", "dl_state")})
 
 
-_SCORED = ["seq_id", "latitude", "longitude", "year", "state", "driver_state", "dl_state",
-           "search_reason", "article"]
+_SCORED = ["row_key", *schema.STOPS_RAW_SCHEMA.names]
 _SCORE_SQL = f"""SELECT bad AS bad_cells, cells, round(bad * 100.0e0 / cells, 2) AS percent_bad FROM (
   SELECT cast(count(*) * {len(_SCORED)} AS bigint) AS cells, cast(
     {" + ".join(f"(count(*) - count({c}))" for c in _SCORED)}
@@ -79,15 +79,14 @@ _SCORE_SQL = f"""SELECT bad AS bad_cells, cells, round(bad * 100.0e0 / cells, 2)
 
 @query(_SCORE_SQL)
 def quality_score(spark, sf):
-    return quality.score_stops(_stops_typed(spark, sf).select(*_SCORED))
+    return quality.score_stops(_stops_typed(spark, sf))
 
 
 @query(f"""SELECT missing, cells, round(missing / cast(cells AS double), 6) AS share FROM (SELECT
   cast(count(*) - count(search_type) + count(*) - count(search_reason) AS bigint) AS missing,
-  cast(count(*) * {len(_SCORED) + 1} AS bigint) AS cells FROM ({STOPS_RAW}) s) t""")
+  cast(count(*) * {len(_SCORED)} AS bigint) AS cells FROM ({STOPS_RAW}) s) t""")
 def quality_effective(spark, sf):
-    rows = stops_raw(spark, sf).select(*_SCORED, "search_type")
-    return quality.effective_share(rows, ["search_type", "search_reason"])
+    return quality.effective_share(stops_raw(spark, sf), ["search_type", "search_reason"])
 
 
 # ---- counts and rates ----
