@@ -9,7 +9,7 @@ from stopline import schema
 from stopline.bindings.common import STOPS_RAW, WEATHER_RAW, query, stops_raw, weather_raw
 from stopline.operators import stats
 from stopline.plans import jobs
-from stopline.session import new_path
+from stopline.session import store
 
 _NUMBERS = ", ".join(f"coalesce({c}, 0) AS {c}" for c in schema.WEATHER_NUMBERS)
 MERGED = f"""SELECT s.* EXCLUDE (x, date_of_stop, time_of_stop, dt), w.* EXCLUDE (address)
@@ -67,10 +67,7 @@ def featured(spark, sf) -> DataFrame:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The table between two jobs, written once and read back."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    return store(df, name)
 
 
 def model_table(spark, sf) -> DataFrame:
@@ -218,7 +215,16 @@ def accident_frame(spark, sf):
 
 @query()
 def job_cluster(spark, sf):
-    return jobs.clusters(jobs.accident_frame(stored(featured(spark, sf), "features")))["heat"]
+    """Sizes of the clusters, levels in each with their share, and each level's shares over the clusters."""
+    out = jobs.clusters(jobs.accident_frame(stored(featured(spark, sf), "features")))
+    nothing, share = F.lit(None).cast("string"), F.col("proportion")
+    over = out["shares"].unpivot(["variable", "value"], [c for c in out["shares"].columns if c[0] == "c"],
+                                 "cluster", "proportion")
+    heat = out["heat"].select(F.lit("heat").alias("section"), "cluster", "variable", "value", "count", share)
+    sizes = out["sizes"].select(F.lit("size"), "cluster", nothing, nothing, "n", F.lit(None).cast("double"))
+    return heat.union(sizes).union(over.select(
+        F.lit("share"), F.substring("cluster", 2, 9).cast("int"), "variable", "value",
+        F.lit(None).cast("long"), share))
 
 
 _SMALL = [{"trees": 20, "mtry": 4}, {"trees": 20, "mtry": 2}]

@@ -1,4 +1,4 @@
-"""Clustering of categorical profiles: Gower distance, complete linkage, cuts."""
+"""Clustering of categorical profiles: k-modes for any number, linkage and cuts for few."""
 
 from __future__ import annotations
 
@@ -9,11 +9,12 @@ import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import BisectingKMeans
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stopline.models.encode import as_factors
 from stopline.operators.selection import dense_row_id
+from stopline.operators.stats import profile_level_counts
 from stopline.session import small_table
 
 # Linkage compares every profile with every other, so it is refused beyond
@@ -202,3 +203,52 @@ def bisecting_clusters(profiles: DataFrame, cols: Sequence[str], k: int, out: st
     ]).fit(text)
     keep = [*profiles.columns, out]
     return model.transform(text).select(*keep).withColumn(out, F.col(out) + 1)
+
+
+# ---- k-modes ----
+
+def _differing(cols: Sequence[str], mode: Sequence) -> Column:
+    """In how many columns a row differs from a mode; NULL is a level."""
+    return sum(((~F.col(c).cast("string").eqNullSafe(F.lit(v))).cast("int") for c, v in zip(cols, mode)), F.lit(0))
+
+
+def nearest_mode(cols: Sequence[str], modes: Sequence[Sequence]) -> Column:
+    """Struct (differing, cluster) of the nearest mode, the first of equally near ones."""
+    return F.array_min(F.array(*[
+        F.struct(_differing(cols, m).alias("differing"), F.lit(i + 1).alias("cluster")) for i, m in enumerate(modes)]))
+
+
+def k_modes(profiles: DataFrame, cols: Sequence[str], k: int, weight: str = "weight", rounds: int = 100) -> list[tuple]:
+    """At most `k` modes of weighted profiles: a level for every column, as text.
+
+    Starts with the heaviest profile and then each time the one with the largest
+    weight times distance from its nearest mode. A round assigns every profile by one
+    expression and takes the most frequent level of each (cluster, column), the least of
+    equally frequent ones, from a grouped count. Ends when the modes repeat, or after
+    `rounds`. Only k rows of modes, and k rows a column, reach the driver. Fewer
+    distinct profiles than `k` give fewer modes.
+    """
+    values = F.struct(*[F.col(c).cast("string").alias(f"_{i}") for i, c in enumerate(cols)])
+    modes: list[tuple] = []
+    while len(modes) < k:
+        far = nearest_mode(cols, modes)["differing"] if modes else F.lit(1)
+        best = profiles.agg(F.max(F.struct((F.col(weight) * far).alias("far"), values.alias("v"))).alias("m")).first()["m"]
+        if best is None or best["far"] == 0:
+            break
+        modes.append(tuple(best["v"]))
+    seen = set()
+    while modes and tuple(modes) not in seen and len(seen) < rounds:
+        seen.add(tuple(modes))
+        near = profiles.withColumn("cluster", nearest_mode(cols, modes)["cluster"])
+        most = F.min(F.struct((-F.col("count")).alias("n"), "value"))
+        found = profile_level_counts(near, weight, "cluster", cols).groupBy("cluster", "variable").agg(most.alias("m"))
+        levels = {(r["cluster"], r["variable"]): r["m"]["value"] for r in found.collect()}
+        # a cluster without members keeps its mode
+        modes = [tuple(levels.get((i + 1, c), m[j]) for j, c in enumerate(cols)) for i, m in enumerate(modes)]
+    return modes
+
+
+def assign(df: DataFrame, cols: Sequence[str], modes: Sequence[Sequence], out: str = "cluster") -> DataFrame:
+    """Rows with the number of their nearest mode: one expression, no join."""
+    number = nearest_mode(cols, modes)["cluster"] if modes else F.lit(None).cast("int")
+    return df.withColumn(out, number)

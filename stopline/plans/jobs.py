@@ -358,17 +358,16 @@ def accident_frame(df: DataFrame) -> DataFrame:
 
 def clusters(df: DataFrame, k: int = 5,
              cols: Sequence[str] = tuple(schema.CLUSTER_COLUMNS)) -> dict[str, DataFrame]:
-    """Complete-linkage clusters of the accident frame and their profiles.
+    """Clusters of the accident frame by k-modes, and their profiles.
 
     The rows are read once to count the distinct profiles, and once more only
     if the labelled rows are asked for.
     """
     profiles = cluster.distinct_profiles(df, cols)
-    merges = cluster.complete_linkage(profiles, cols)
-    labelled = cluster.cut_tree(profiles, merges, k)
-    rows = cluster.label_rows(df, labelled, cols)
+    modes = cluster.k_modes(profiles, cols, k)
+    labelled = cluster.assign(profiles, cols, modes)
     return {
-        "merges": merges, "profiles": labelled, "rows": rows,
+        "profiles": labelled, "rows": cluster.assign(df, cols, modes),
         "sizes": stats.cluster_sizes(labelled, "cluster", "weight"),
         "heat": stats.cluster_profile(
             stats.profile_level_counts(labelled, "weight", "cluster", cols), "cluster"),

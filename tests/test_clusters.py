@@ -111,3 +111,44 @@ def test_profiles_and_shares(spark):
     two = stats.level_share_by_cluster(labelled, "cluster", COLS, [1, 2, 3], weight="weight")
     assert one.exceptAll(two).count() == 0
     assert stats.cluster_sizes(labelled, "cluster", "weight").agg(F.sum("n")).first()[0] == 300
+
+
+def plain_k_modes(rows, k):
+    """The same rules, one profile after another."""
+    differ = lambda p, m: sum(x != y for x, y in zip(p[1:5], m))
+    near = lambda p, modes: min((differ(p, m), i) for i, m in enumerate(modes))
+    modes = []
+    while len(modes) < k:
+        far, mode = max((p[5] * (near(p, modes)[0] if modes else 1), p[1:5]) for p in rows)
+        if far == 0:
+            break
+        modes.append(mode)
+    seen = set()
+    while tuple(modes) not in seen:
+        seen.add(tuple(modes))
+        parts = {i: [p for p in rows if near(p, modes)[1] == i] for i in range(len(modes))}
+        for i, part in parts.items():
+            if part:
+                counts = [{} for _ in COLS]
+                for p in part:
+                    for j in range(4):
+                        counts[j][p[j + 1]] = counts[j].get(p[j + 1], 0) + p[5]
+                modes[i] = tuple(min(c, key=lambda v: (-c[v], v)) for c in counts)
+    return modes, {p[0]: near(p, modes)[1] + 1 for p in rows}
+
+
+@pytest.mark.parametrize("seed, k", [(1, 3), (5, 5)])
+def test_k_modes(spark, seed, k):
+    df, rows = table_of(spark, seed)
+    modes = cluster.k_modes(df, COLS, k)
+    want, labels = plain_k_modes(rows, k)
+    assert modes == want
+    assert {r["id"]: r["cluster"] for r in cluster.assign(df, COLS, modes).collect()} == labels
+
+
+def test_k_modes_of_few_profiles_nulls_and_none(spark):
+    df = spark.createDataFrame([(None, "x", 3), ("b", None, 1)], "a string, b string, weight long")
+    modes = cluster.k_modes(df, ["a", "b"], 5)
+    assert sorted(modes, key=str) == sorted([(None, "x"), ("b", None)], key=str)
+    assert cluster.k_modes(df.limit(0), ["a", "b"], 5) == []
+    assert cluster.assign(df, ["a", "b"], []).where("cluster is null").count() == 2

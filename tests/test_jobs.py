@@ -115,8 +115,10 @@ def test_clusters(spark, features):
     shares = out["shares"].collect()
     for r in shares:
         assert abs(sum(r[f"c{k}"] for k in range(1, 6)) - 1) <= 0.03
-    heights = [r["height"] for r in out["merges"].orderBy("step").collect()]
-    assert heights == sorted(heights) and 0 < heights[0] and heights[-1] <= 1
+    counts = {r["cluster"]: r["n"] for r in out["sizes"].collect()}
+    assert counts == {r["cluster"]: r["count"] for r in out["rows"].groupBy("cluster").count().collect()}
+    for r in out["heat"].groupBy("cluster", "variable").agg(F.sum("count").alias("n")).collect():
+        assert r["n"] == counts[r["cluster"]]
 
 
 def test_factor_files(spark, frame, tmp_path):
