@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from stopline import schema
@@ -19,7 +20,7 @@ from stopline.bindings.prepare import RULE_METRICS_SQL, rule_predictions
 from stopline.models import cluster, encode, evaluate, linear, trees
 from stopline.operators import cleaning, stats
 from stopline.plans import jobs
-from stopline.session import new_path
+from stopline.session import discard_at_exit, new_path
 from stopline.sources import tables
 
 KEY = jobs.KEY
@@ -46,6 +47,13 @@ def confusion_metrics(spark, sf):
         rule_predictions(spark, sf), "predicted", "outcome", "Citation"))
 
 
+@query()
+def confusion_report(spark, sf):
+    """All metrics with the accuracy's interval, P[acc > NIR] and McNemar's test."""
+    return evaluate.confusion_report(spark, evaluate.confusion_counts(
+        rule_predictions(spark, sf), "predicted", "outcome", "Citation"), "rule")
+
+
 @query(f"""SELECT l_orderkey, l_linenumber,
   CASE WHEN l_quantity / 50.0e0 < 0.5 THEN 'Citation' ELSE 'Warning' END AS predicted
   FROM {CODED_SQL} l""")
@@ -88,8 +96,13 @@ def fitted_forest(spark, sf):
 
 def _nodes(spark, sf):
     model, *_, names = fitted_forest(spark, sf)
+    return _nodes_of(spark, model, names)
+
+
+def _nodes_of(spark, model, names):
     path = new_path(spark, "forest")
     tables.save_model(model, path)
+    discard_at_exit(spark, path)
     return trees.tree_nodes(spark, path, names)
 
 
@@ -118,14 +131,18 @@ def impurity_importance(spark, sf):
     return trees.impurity_importance(spark, model, names)
 
 
-@query()
-def permutation_importance(spark, sf):
-    model, _, test, encoder, _ = fitted_forest(spark, sf)
+def _permuted(model, test, encoder):
     inputs = [c for c in test.columns if c not in (KEY, "violation_type", "label", "features")]
     scorer = PipelineModel([encoder.stages[-1], model])
     return trees.permutation_importance(scorer, test.drop("features"), inputs, KEY)
 
 
+@query()
+def permutation_importance(spark, sf):
+    model, _, test, encoder, _ = fitted_forest(spark, sf)
+    return _permuted(model, test, encoder)
+
+
 @query()
 def importance_chart_data(spark, sf):
     model, *_, names = fitted_forest(spark, sf)
@@ -150,14 +167,16 @@ def min_depth_distribution(spark, sf):
 
 @query()
 def forest_measures(spark, sf):
-    return trees.forest_measures(_nodes(spark, sf), DEPTH)
+    model, _, test, encoder, names = fitted_forest(spark, sf)
+    return trees.forest_measures(_nodes_of(spark, model, names), DEPTH, _permuted(model, test, encoder))
 
 
 @query()
 def predict(spark, sf):
     model, _, test, _, _ = fitted_forest(spark, sf)
     scored = jobs.class_names(model.transform(test))
-    return scored.select(KEY, "violation_type", "predicted", "prediction")
+    return scored.select(KEY, "violation_type", "predicted", "prediction",
+                         F.round(vector_to_array("probability")[1], 9).alias("probability"))
 
 
 @query()
@@ -166,6 +185,7 @@ def model_store(spark, sf):
     model, _, test, _, _ = fitted_forest(spark, sf)
     path = new_path(spark, "stored-forest")
     tables.save_model(model, path)
+    discard_at_exit(spark, path)
     again = RandomForestClassificationModel.load(path)
     both = again.setPredictionCol("again").setRawPredictionCol("raw2").setProbabilityCol("prob2")
     scored = both.transform(model.transform(test))

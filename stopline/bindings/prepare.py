@@ -12,7 +12,7 @@ from stopline.bindings.common import (
 from stopline.functions import calendar, text
 from stopline.models.evaluate import confusion_counts, confusion_metrics, metrics_long
 from stopline.operators import cleaning, quality, stats
-from stopline.session import new_path, small_table
+from stopline.session import discard_at_exit, new_path, small_table
 from stopline.sources import tables
 
 # ---- sources and sinks ----
@@ -29,6 +29,7 @@ def _orders_csv(spark, sf, null_value="NA"):
         F.col("o_orderdate").cast("string").alias("o_orderdate"), "o_orderpriority")
     path = new_path(spark, "orders-csv")
     tables.write_table(orders, path, null_value=null_value)
+    discard_at_exit(spark, path)
     return path
 
 
@@ -87,6 +88,7 @@ def sink_report(spark, sf):
     counts = confusion_counts(rule_predictions(spark, sf), "predicted", "outcome", "Citation")
     path = new_path(spark, "report")
     tables.write_report(metrics_long(confusion_metrics(counts), run="rule"), path)
+    discard_at_exit(spark, path)
     return spark.read.parquet(path)
 
 
@@ -107,6 +109,7 @@ def _rates_sql(frame, factors, response="outcome"):
 def sink_factor_tables(spark, sf):
     path = new_path(spark, "factor-tables")
     tables.factor_rate_tables(cases(spark, sf), RATE_FACTORS, "outcome", "Citation", path)
+    discard_at_exit(spark, path)
     back = (spark.read.option("header", True).option("nullValue", "NA")
             .schema("level string, outcome string, n long, rate double, factor string").csv(path))
     return back.select("factor", "level", "outcome", "n", "rate")

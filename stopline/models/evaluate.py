@@ -86,7 +86,8 @@ def _beta_cdf(x: float, a: float, b: float) -> float:
                      + a * math.log(x) + b * math.log1p(-x)) / a
     tiny = 1e-300
     f, c, d = 1.0, 1.0, 0.0
-    for i in range(100_000):
+    # terms needed grow with the square root of the counts
+    for i in range(1_000 + int(100 * math.sqrt(a + b))):
         m = i // 2
         if i == 0:
             step = 1.0
@@ -98,8 +99,8 @@ def _beta_cdf(x: float, a: float, b: float) -> float:
         c = (1 + step / c) or tiny
         f *= c * d
         if abs(1 - c * d) < 1e-14:
-            break
-    return front * (f - 1)
+            return front * (f - 1)
+    raise ArithmeticError(f"the beta function of {x}, {a}, {b} did not converge")
 
 
 def _beta_quantile(p: float, a: float, b: float) -> float:

@@ -48,9 +48,14 @@ def store(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
+    discard_at_exit(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard_at_exit(spark: SparkSession, path: str) -> None:
+    """Have a written path removed when the driver's JVM ends."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
 
 
 def data_bytes(df: DataFrame) -> int:
