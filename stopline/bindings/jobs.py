@@ -103,6 +103,15 @@ def _bucket(section, col, k):
     return _rate(section, "b", inner + " q")
 
 
+def _hist(col, width, keep="true"):
+    return f"""SELECT '{col}_hist' AS section, cast(cast(greatest(ceil((x - w / 2) / w - 1e-8),
+      floor((low - w / 2) / w) + 1) AS bigint) AS string) || ' ' || violation_type AS level,
+      count(*) AS n, cast(NULL AS double) AS rate
+    FROM (SELECT *, CASE WHEN span = 0 THEN 0.1e0 ELSE {width} END AS w FROM (
+      SELECT violation_type, {col} AS x, max({col}) OVER () - min({col}) OVER () AS span, min({col}) OVER () AS low
+      FROM e WHERE {keep} AND {col} IS NOT NULL) v) z GROUP BY 1, 2"""
+
+
 _FACTORS = [f for f in schema.RATE_FACTORS if f != "commercial_license"]
 _EDA = f"""WITH f AS ({FEATURED}), e AS (SELECT *,
   CASE WHEN state IN ('MD', 'DC', 'VA') THEN 'DMV' ELSE 'Other' END AS veh_state_group,
@@ -111,9 +120,12 @@ _EDA = f"""WITH f AS ({FEATURED}), e AS (SELECT *,
   FROM f WHERE violation_type IN ('Warning', 'Citation'))
 """ + " UNION ALL ".join(
     [_rate(f, f) for f in _FACTORS]
-    + [_rate("dow", "dayname(date_time)"), _rate("hour", "strftime(date_time, '%H')"),
+    + [_rate("dow", "dayname(date_time)"), _rate("dom", "strftime(date_time, '%dd')"),
+       _rate("hour", "strftime(date_time, '%H')"),
        _bucket("temperature", "temperature", 10), _bucket("precipitation", "precipitation", 5),
-       _bucket("wind_speed", "wind_speed", 10)])
+       _bucket("wind_speed", "wind_speed", 10),
+       _hist("temperature", "5.0e0"), _hist("precipitation", "span / 9", "precipitation <> 0"),
+       _hist("wind_speed", "span / 9"), _hist("year", "span / 49.0e0")])
 
 
 @query(_EDA)
@@ -121,13 +133,19 @@ def job_eda(spark, sf):
     frame = stored(jobs.exploration_frame(featured(spark, sf)), "exploration")
     found = jobs.explore(frame)
     parts = [found["factors"].select(F.col("factor").alias("section"), "level", "n", "rate")]
-    for section in ("dow", "hour"):
+    for section in ("dow", "dom", "hour"):
         parts.append(found[section].where("violation_type = 'Citation'").select(
             F.lit(section).alias("section"), "level", "n", "rate"))
     for section in ("temperature", "precipitation", "wind_speed"):
         parts.append(found[f"{section}_buckets"].select(
             F.lit(section).alias("section"), F.col("bin").cast("string").alias("level"),
             "n", "rate"))
+    for col in ("temperature", "precipitation", "wind", "year"):
+        section = "wind_speed" if col == "wind" else col
+        parts.append(found[f"{col}_hist"].select(
+            F.lit(f"{section}_hist").alias("section"),
+            F.concat_ws(" ", F.col("bin").cast("string"), "violation_type").alias("level"),
+            "n", F.lit(None).cast("double").alias("rate")))
     return stats.union_reports(*parts)
 
 
@@ -136,6 +154,16 @@ def _top(section, col, where="true", k=5):
     WHERE {where} AND {col} IS NOT NULL GROUP BY 2 ORDER BY n DESC, level LIMIT {k}) z"""
 
 
+_LEVELS = ["sub_agency", "conditions", "accident", "personal_injury", "property_damage", "fatal",
+           "alcohol", "search_conducted", "race", "gender", "arrest_reason"]
+_COUNTED = ["search_disposition", "search_type", "state", "driver_city"]
+_BY_RACE = ["location", "description", "search_disposition", "search_reason"]
+
+
+def _all_levels(section, level):
+    return f"SELECT '{section}' AS section, {level} AS level, count(*) AS n FROM f GROUP BY 2"
+
+
 _FLAGS = {"accident": "accident = 'Yes'", "personal_injury": "personal_injury = 'Yes'",
           "property_damage": "property_damage = 'Yes'", "fatal": "fatal = 'Yes'",
           "alcohol": "alcohol = 'Yes'", "search_conducted": "search_conducted = 'Yes'",
@@ -144,11 +172,10 @@ _FLAGS = {"accident": "accident = 'Yes'", "personal_injury": "personal_injury =
 _STATS = f"WITH f AS ({FEATURED}) " + " UNION ALL ".join(
     [_top("top", c) for c in ("description", "location", "search_reason", "color", "vehicle_type")]
     + [_top(name, c, cond) for c in ("location", "description") for name, cond in _FLAGS.items()]
-    + [_top(r, c, f"race = '{r}'") for c in ("location", "search_reason")
+    + [_top(r, c, f"race = '{r}'") for c in _BY_RACE
        for r in ("WHITE", "BLACK", "HISPANIC", "ASIAN", "OTHER", "NATIVE AMERICAN")]
-    + ["SELECT 'sub_agency', sub_agency, count(*) FROM f GROUP BY 2",
-       "SELECT 'race', race, count(*) FROM f GROUP BY 2",
-       "SELECT 'driver_city', driver_city, count(*) FROM f GROUP BY 2"])
+    + [_all_levels(c, f"coalesce({c}, '{stats.MISSING.replace("'", "''")}')") for c in _LEVELS]
+    + [_all_levels(f"frequency_{c}", c) for c in _COUNTED] + [_all_levels("arrest", "cast(arrest AS string)")])
 
 
 @query(_STATS)
@@ -162,11 +189,12 @@ def job_stats(spark, sf):
     parts += [
         found[f"top_{c}_by_race"].select(F.col("race").alias("section"),
                                          F.col(c).alias("level"), "n")
-        for c in ("location", "search_reason")]
-    parts += [found[f"levels_{c}"].select(F.lit(c).alias("section"), "level", "n")
-              for c in ("sub_agency", "race")]
-    parts.append(found["frequency_driver_city"].select(
-        F.lit("driver_city").alias("section"), F.col("driver_city").alias("level"), "n"))
+        for c in _BY_RACE]
+    parts += [found[f"levels_{c}"].select(F.lit(c).alias("section"), "level", "n") for c in _LEVELS]
+    parts += [found[f"frequency_{c}"].select(F.lit(f"frequency_{c}").alias("section"), F.col(c).alias("level"), "n")
+              for c in _COUNTED]
+    parts.append(found["arrest"].select(
+        F.lit("arrest").alias("section"), F.col("value").cast("string").alias("level"), "n"))
     return stats.union_reports(*parts)
 
 
