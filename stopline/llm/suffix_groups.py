@@ -210,10 +210,13 @@ def least_in_windows(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(data: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Owners of the text's windows: position, first and last window, key, and hash of what they cover."""
+    """Owners of the text's windows: position, first and last window, key, and hash of what they cover.
+
+    A segment's last owner may have windows in the next one, which therefore starts at that owner's first.
+    """
     found = []
-    last = len(data) - LENGTH
-    for base in range(0, last + 1, SEGMENT):
+    base, last = 0, len(data) - LENGTH
+    while base <= last:
         part = data[base:base + SEGMENT + LENGTH - 1]
         n = len(part)
         hashes = Hashes(part)
@@ -226,7 +229,10 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, ...]:
         final = np.append(first[1:], len(owner)) - 1
         at = owner[first]
         cover = mix(hashes.strong(first, final + LENGTH) + (at - first).astype(np.uint64))
-        found.append((at + base, first + base, final + base, hashes.strong(at, at + GRAM), cover))
+        whole = len(first) - (base + SEGMENT <= last)
+        found.append(tuple(x[:whole] for x in (
+            at + base, first + base, final + base, hashes.strong(at, at + GRAM), cover)))
+        base = base + int(first[-1]) if whole < len(first) else last + 1
     return tuple(np.concatenate(x) for x in zip(*found))
 
 

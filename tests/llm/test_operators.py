@@ -94,6 +94,19 @@ def test_repeats_of_wide_groups(spark, monkeypatch):
     assert collected(suffix_groups.digest_rows(frame)) == want
 
 
+def test_repeats_across_segments(spark, monkeypatch):
+    """An owner cut by the end of a segment is one owner: its bytes are not repeated by that."""
+    passage = prose(30, 70)
+    rows = [(1, prose(31, 3000)), (2, prose(32, 900) + " " + passage + " " + prose(33, 900)),
+            (3, prose(34, 200) + " " + passage), (4, None)]
+    data = np.frombuffer(rows[0][1].encode(), np.uint8)
+    whole = suffix_groups.anchors(data)
+    monkeypatch.setattr(suffix_groups, "SEGMENT", 1 << 11)
+    assert all((x == y).all() for x, y in zip(whole, suffix_groups.anchors(data), strict=True))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert collected(suffix_groups.digest_rows(frame)) == brute_repeats(rows)
+
+
 def test_text_without_repeats(docs):
     left = {r["doc_id"]: r["text"] for r in suffix_groups.without_repeats(docs.drop("spans")).collect()}
     assert left[1] == "" and left[5] is None and left[4] == prose(3, 120)
