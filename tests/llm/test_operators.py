@@ -247,6 +247,37 @@ def test_passages(docs, empty):
     assert compact_windows.passage_rows(empty).count() == 0
 
 
+def test_passages_of_edited_families_and_stock_phrases(spark):
+    """Every pair of whole texts compared: the same words are in passages."""
+    rows = []
+    for family in range(2):  # copies of one text, each with edits of its own and of its neighbours
+        words = prose(600 + family, 130).split()
+        for copy in range(8):
+            mine = list(words)
+            for k in range(copy // 2, copy // 2 + 4):
+                mine[(k * 13 + copy % 2) % 130] = f"new{k}"
+            rows.append((len(rows), " ".join(mine)))
+    stock = prose(650, 49).split()
+    for k in range(120):  # a phrase of all these texts, in a passage of two of them; one has a word more
+        phrase = stock[:25] + [f"more{k}"] * (k % 2) + stock[25:]
+        parts = [prose(1000 + k, 30), prose(2000 + k // 2, 21), *phrase, prose(3000 + k // 2, 22), prose(4000 + k, 30)]
+        rows.append((len(rows), " ".join(parts)))
+    runs = {d: compact_windows.text_shingles(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))[0]
+            for d, t in rows}
+    want = {d: set() for d in runs}
+    for d in runs:
+        for e in runs:
+            if d != e:
+                for a, b, p, q, _ in compact_windows.passages(runs[d], runs[e], (0, len(runs[d]), 0, len(runs[e]))):
+                    want[d] |= set(range(a, b + compact_windows.RUN - 1))
+                    want[e] |= set(range(p, q + compact_windows.RUN - 1))
+    got = {d: set() for d in runs}
+    for r in compact_windows.passage_rows(spark.createDataFrame(rows, "doc_id bigint, text string")).collect():
+        got[r["doc_id"]] |= set(range(r["first_word"], r["end_word"]))
+    lacking = {d: len(want[d] - got[d]) for d in want if want[d] - got[d]}
+    assert sum(map(bool, want.values())) > 100 and lacking == {}
+
+
 # ---- 4: quality ----
 
 def test_quality_counts(spark, docs, empty):
