@@ -8,9 +8,9 @@ goes. Target probabilities are smoothed with `SMOOTHING` pseudo-counts in the
 raw proportions, so without trusted documents every score is 0 and only the base
 rules decide.
 
-At most `TRUSTED` labelled documents, in hash order of their ids, make the
-target; everything else counts and judges all rows. The text is never shuffled:
-the ids of the target are broadcast (their number is bounded), counts are
+All documents labelled good make the target; everything counts and judges all
+rows. The ids of the target are broadcast where they measure few bytes, and the text
+is not shuffled; more ids are joined to the rows' word hashes. Counts are
 pre-aggregated per bucket, and the score is an expression on the row. Repeated
 windows are found inside the row: only documents with a repeated window hash,
 which a hash set shows, have their windows sorted.
@@ -27,8 +27,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stopline.session import broadcast_if_small
+
 BUCKETS = 8192
-TRUSTED = 20_000
 SMOOTHING = 8192.0
 THRESHOLD = -0.09
 WINDOW = 8
@@ -93,11 +94,10 @@ def log_ratios(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: s
                label: str = "quality") -> list[float]:
     """log(p_target / p_raw) per bucket, counted over all documents."""
     good = (labels.where(F.col(label) == 1).where(F.col(doc_id).isNotNull())
-            .select(F.col(doc_id).alias("good")).distinct()
-            .orderBy(F.xxhash64("good"), "good").limit(TRUSTED))
+            .select(F.col(doc_id).alias("good")).distinct())
     hashed = docs.select(F.col(doc_id).alias("d"),
                          F.transform(words_of(F.col(text)), lambda w: F.xxhash64(w)).alias("h"))
-    rows = hashed.join(F.broadcast(good), F.col("d") == F.col("good"), "left").select(
+    rows = hashed.join(broadcast_if_small(good), F.col("d") == F.col("good"), "left").select(
         F.col("good").isNotNull().cast("long").alias("t"), F.explode(grams(F.col("h"))).alias("b"))
     counts = rows.groupBy("b").agg(F.count("*").alias("raw"), F.sum("t").alias("target")).collect()  # BUCKETS rows
     raw = [1] * BUCKETS

@@ -316,6 +316,16 @@ def test_log_ratios_are_the_two_multinomials(spark):
     assert abs(got[bucket] - want) < 1e-5
 
 
+def test_every_trusted_document_makes_the_target(spark):
+    """More labels than the 20,000 that were once taken."""
+    docs = spark.range(20_600).selectExpr("id as doc_id", "'all of them' as text")
+    labels = spark.range(20_600).selectExpr("id as doc_id", "1 as quality")
+    counted = docs.unionByName(spark.createDataFrame([(-1, "other")], "doc_id bigint, text string"))
+    n_raw, n = quality.BUCKETS + 5 * 20_600 + 1, 20_600
+    want = np.log((n + quality.SMOOTHING * (n + 1) / n_raw) / (5 * n + quality.SMOOTHING) * n_raw / (n + 1))
+    assert sum(abs(x - want) < 1e-5 for x in quality.log_ratios(counted, labels)) == 5
+
+
 # ---- 8: chat ----
 
 def test_layouts_and_round_trip(spark):
