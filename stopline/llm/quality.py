@@ -112,7 +112,11 @@ def log_ratios(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: s
 
 def judged(docs: DataFrame, labels: DataFrame, into: str = "q", text: str = "text",
            doc_id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
-    """`docs` with a struct `into`: base counts, base_failed, score and kept."""
+    """`docs` with a struct `into`: base counts, base_failed, score and kept.
+
+    The struct comes out of a generator of one row: Spark would push a filter on it
+    below the projections and copy their nested expressions into the filter.
+    """
     ratios = log_ratios(docs, labels, text, doc_id)
     # one constant array; folded once, looked up per n-gram
     weights = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")
@@ -124,9 +128,9 @@ def judged(docs: DataFrame, labels: DataFrame, into: str = "q", text: str = "tex
     step = step.select(*names, q, F.coalesce(F.when(F.size("_g") > 0, score), F.lit(0.0)).alias("_s"))
     counts = [q[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                                       "base_failed")]
-    return step.select(*names, F.struct(
+    return step.select(*names, F.explode(F.array(F.struct(
         *counts, F.col("_s").alias("score"),
-        (~q["base_failed"] & (F.col("_s") >= threshold)).alias("kept")).alias(into))
+        (~q["base_failed"] & (F.col("_s") >= threshold)).alias("kept")))).alias(into))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
@@ -134,11 +138,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     into = "quality_report"
     while into in docs.columns:
         into += "_"
-    # A generator instead of a filter: Spark would push a filter below the projections
-    # and copy their nested expressions into it.
-    once = F.when(F.col(f"{into}.kept"), F.array(F.lit(1)))
-    return judged(docs, labels, into, **options).select(
-        *[F.col(f"`{c}`") for c in docs.columns], F.explode(once).alias(into)).drop(into)
+    return judged(docs, labels, into, **options).where(F.col(f"`{into}`.kept")).drop(into)
 
 
 def report_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
