@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stopline.llm import (
-    chat, compact_windows, dartminhash, decontaminate, language, mixing, quality, resharding, suffix_groups,
-    url_filter,
+    chat, compact_windows, dartminhash, decontaminate, language, mixing, quality, resharding, spelling,
+    suffix_groups, url_filter,
 )
 from stopline.llm.common import table
 
@@ -73,3 +73,8 @@ def op6(spark, sf_dir):
 @query("op10_compact_windows")
 def op10(spark, sf_dir):
     return compact_windows.passage_rows(table(spark, sf_dir, "documents"))
+
+
+@query("op11_fm_variants")
+def op11(spark, sf_dir):
+    return spelling.variant_rows(table(spark, sf_dir, "documents"))
