@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stopline.llm import (
-    chat, compact_windows, dartminhash, decontaminate, language, mixing, quality, resharding, spelling,
-    suffix_groups, url_filter,
+    chat, collocations, compact_windows, dartminhash, decontaminate, language, mixing, quality, resharding,
+    spelling, suffix_groups, url_filter,
 )
 from stopline.llm.common import table
 
@@ -78,3 +78,8 @@ def op10(spark, sf_dir):
 @query("op11_fm_variants")
 def op11(spark, sf_dir):
     return spelling.variant_rows(table(spark, sf_dir, "documents"))
+
+
+@query("op12_multikey_phrases", collocations.SQL)
+def op12(spark, sf_dir):
+    return collocations.collocation_rows(table(spark, sf_dir, "documents"))
