@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stopline.llm import (
     chat, collocations, compact_windows, dartminhash, decontaminate, language, mixing, quality, resharding,
-    spelling, suffix_groups, url_filter,
+    spelling, suffix_groups, url_filter, wrappers,
 )
 from stopline.llm.common import table
 
@@ -83,3 +83,8 @@ def op11(spark, sf_dir):
 @query("op12_multikey_phrases", collocations.SQL)
 def op12(spark, sf_dir):
     return collocations.collocation_rows(table(spark, sf_dir, "documents"))
+
+
+@query("op13_wrapper_text")
+def op13(spark, sf_dir):
+    return wrappers.text_rows(table(spark, sf_dir, "pages"))
