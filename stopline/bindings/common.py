@@ -32,6 +32,17 @@ def query(sql: str | None = None, name: str | None = None):
     return add
 
 
+_KEPT: dict = {}
+
+
+def kept(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], object]):
+    """What several queries start from (a stored frame, a fitted forest), made once a session and table folder."""
+    key = spark.sparkContext.applicationId, sf_dir, name
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stopline import schema
-from stopline.bindings.common import STOPS_RAW, WEATHER_RAW, query, stops_raw, weather_raw
+from stopline.bindings.common import STOPS_RAW, WEATHER_RAW, kept, query, stops_raw, weather_raw
 from stopline.operators import stats
 from stopline.plans import jobs
 from stopline.session import store
@@ -72,7 +72,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def model_table(spark, sf) -> DataFrame:
     """The stored modelling frame all model queries start from."""
-    return stored(jobs.model_frame(jobs.exploration_frame(featured(spark, sf))), "model-frame")
+    return kept(spark, sf, "model-frame", lambda: stored(
+        jobs.model_frame(jobs.exploration_frame(featured(spark, sf))), "model-frame"))
 
 
 @query(MERGED)
@@ -253,28 +254,3 @@ def job_cluster(spark, sf):
     return heat.union(sizes).union(over.select(
         F.lit("share"), F.substring("cluster", 2, 9).cast("int"), "variable", "value",
         F.lit(None).cast("long"), share))
-
-
-_SMALL = [{"trees": 20, "mtry": 4}, {"trees": 20, "mtry": 2}]
-
-
-@query()
-def job_forest(spark, sf):
-    return jobs.forest(model_table(spark, sf), grid=_SMALL, max_depth=8)["confusion"]
-
-
-@query()
-def job_gbt(spark, sf):
-    out = jobs.boosted(model_table(spark, sf), trees_grid=(5, 10), depths=(1, 3),
-                       shrinkages=(0.1,), folds=3)
-    return out["confusion"]
-
-
-@query()
-def job_lasso(spark, sf):
-    return jobs.lasso(model_table(spark, sf), n_lambda=6, folds=3, ratio=0.02)["largest"]
-
-
-@query()
-def job_subset(spark, sf):
-    return jobs.subset(model_table(spark, sf), trees_count=20, max_depth=8)["errors"]

@@ -1,30 +1,29 @@
 """Registered queries: coding, splits, models, metrics, tree tables, selection, clusters.
 
-The model queries start from the stored modelling frame and use all its rows.
+The model queries start from the stored modelling frame and use all its rows. A session makes the
+frame, the forests, the boosted grid, the lasso paths and the subset job once; the queries read them.
 Fits have no SQL form; their properties are tested in `tests/`.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from stopline import schema
 from stopline.bindings.common import (
-    CASES_SQL, CODED_SQL, cases, coded_lineitem, query, table, with_order,
+    CASES_SQL, CODED_SQL, cases, coded_lineitem, kept, query, table, with_order,
 )
 from stopline.bindings.jobs import model_table
 from stopline.bindings.prepare import RULE_METRICS_SQL, rule_predictions
 from stopline.models import cluster, encode, evaluate, linear, trees
 from stopline.operators import cleaning, stats
 from stopline.plans import jobs
-from stopline.session import discard_at_exit, new_path
-from stopline.sources import tables
 
 KEY = jobs.KEY
-DEPTH, TREES = 6, 20
+DEPTH = 20
+FORESTS = [{"trees": t, "mtry": m} for t, m in ((50, 4), (100, 4), (150, 4), (50, 2), (50, 6))]
 
 
 # ---- coding and metrics, checked by SQL ----
@@ -82,99 +81,80 @@ def gram_matrix(spark, sf):
 
 # ---- forests ----
 
-def prepared(spark, sf, dummies=False, fraction=0.7):
+def prepared(spark, sf, dummies=False, fraction=0.7, chosen=None):
     """(train, test, encoder, names) of the stored modelling frame without weak flags."""
-    frame = cleaning.drop_columns(model_table(spark, sf), schema.WEAK_FLAGS)
-    return jobs._prepare(frame, KEY, fraction, dummies)
+    def make():
+        frame = cleaning.drop_columns(model_table(spark, sf), schema.WEAK_FLAGS)
+        if chosen:
+            frame = frame.select(KEY, "violation_type", "label", *chosen)
+        return jobs._prepare(frame, KEY, fraction, dummies)
+    return kept(spark, sf, f"prepared {dummies} {fraction} {chosen and len(chosen)}", make)
 
 
-def fitted_forest(spark, sf):
-    train, test, encoder, names = prepared(spark, sf)
-    model = trees.random_forest(encode.max_levels(encoder), TREES, 4, DEPTH).fit(train)
-    return model, train, test, encoder, names
-
-
-def _nodes(spark, sf):
-    model, *_, names = fitted_forest(spark, sf)
-    return _nodes_of(spark, model, names)
-
-
-def _nodes_of(spark, model, names):
-    path = new_path(spark, "forest")
-    tables.save_model(model, path)
-    discard_at_exit(spark, path)
-    return trees.tree_nodes(spark, path, names)
+def forests(spark, sf):
+    """All five forests and their tables, fitted once for the queries below and the job."""
+    return kept(spark, sf, "forests", lambda: jobs.forest_results(
+        *prepared(spark, sf), KEY, FORESTS, DEPTH))
 
 
 @query()
 def random_forest(spark, sf):
-    train, test, encoder, _ = prepared(spark, sf)
-    grid = [{"trees": t, "mtry": m, "max_depth": DEPTH} for t, m in ((10, 4), (20, 4), (10, 2))]
-    return trees.fit_forest_grid(train, test, encode.max_levels(encoder), grid)[1]
+    """Out-of-bag error and held-out results of the five forests."""
+    return forests(spark, sf)["scores"]
 
 
 @query()
 def oob_replacement(spark, sf):
-    """Held-out error per class of one forest, in place of the out-of-bag table."""
-    model, _, test, _, _ = fitted_forest(spark, sf)
-    scored = jobs.class_names(model.transform(test))
-    return scored.groupBy("violation_type").agg(
-        F.count_if(F.col("predicted") == "Citation").alias("citation"),
-        F.count_if(F.col("predicted") == "Warning").alias("warning"),
-        F.avg((F.col("predicted") != F.col("violation_type")).cast("double")).alias(
-            "holdout_class_error"))
+    """Out-of-bag class tables of the five forests."""
+    return forests(spark, sf)["out_of_bag"]
 
 
 @query()
 def impurity_importance(spark, sf):
-    model, *_, names = fitted_forest(spark, sf)
-    return trees.impurity_importance(spark, model, names)
+    return forests(spark, sf)["importance"]
 
 
-def _permuted(model, test, encoder):
-    inputs = [c for c in test.columns if c not in (KEY, "violation_type", "label", "features")]
-    scorer = PipelineModel([encoder.stages[-1], model])
-    return trees.permutation_importance(scorer, test.drop("features"), inputs, KEY)
+@query()
+def permutation_importance(spark, sf):
+    """Mean share of a row's out-of-bag votes lost without a variable, overall and by class."""
+    return forests(spark, sf)["permutation"]
 
 
 @query()
-def permutation_importance(spark, sf):
-    model, _, test, encoder, _ = fitted_forest(spark, sf)
-    return _permuted(model, test, encoder)
+def local_importance(spark, sf):
+    """The same for every row and variable."""
+    return forests(spark, sf)["local"]
 
 
 @query()
 def importance_chart_data(spark, sf):
-    model, *_, names = fitted_forest(spark, sf)
-    return trees.rank_importance(trees.impurity_importance(spark, model, names), k=10)
+    return trees.rank_importance(forests(spark, sf)["importance"], k=10)
 
 
 @query()
 def rank_importance(spark, sf):
-    model, *_, names = fitted_forest(spark, sf)
-    return trees.rank_importance(trees.impurity_importance(spark, model, names))
+    return trees.rank_importance(forests(spark, sf)["importance"])
 
 
 @query()
 def tree_nodes(spark, sf):
-    return _nodes(spark, sf)
+    return forests(spark, sf)["nodes"]
 
 
 @query()
 def min_depth_distribution(spark, sf):
-    return trees.min_depth_distribution(_nodes(spark, sf), DEPTH)
+    return forests(spark, sf)["min_depth"]
 
 
 @query()
 def forest_measures(spark, sf):
-    model, _, test, encoder, names = fitted_forest(spark, sf)
-    return trees.forest_measures(_nodes_of(spark, model, names), DEPTH, _permuted(model, test, encoder))
+    return forests(spark, sf)["measures"]
 
 
 @query()
 def predict(spark, sf):
-    model, _, test, _, _ = fitted_forest(spark, sf)
-    scored = jobs.class_names(model.transform(test))
+    out = forests(spark, sf)
+    scored = jobs.class_names(out["model"].transform(out["test"]))
     return scored.select(KEY, "violation_type", "predicted", "prediction",
                          F.round(vector_to_array("probability")[1], 9).alias("probability"))
 
@@ -182,125 +162,154 @@ def predict(spark, sf):
 @query()
 def model_store(spark, sf):
     """Predictions of a saved and reloaded forest, with the number that differ."""
-    model, _, test, _, _ = fitted_forest(spark, sf)
-    path = new_path(spark, "stored-forest")
-    tables.save_model(model, path)
-    discard_at_exit(spark, path)
-    again = RandomForestClassificationModel.load(path)
+    out = forests(spark, sf)
+    again = RandomForestClassificationModel.load(out["path"])
     both = again.setPredictionCol("again").setRawPredictionCol("raw2").setProbabilityCol("prob2")
-    scored = both.transform(model.transform(test))
+    scored = both.transform(out["model"].transform(out["test"]))
     return scored.agg(F.count(F.lit(1)).alias("n"),
                       F.count_if(F.col("again") != F.col("prediction")).alias("different"))
 
 
+@query()
+def job_forest(spark, sf):
+    """All result tables of the forest sweep."""
+    return jobs.forest_report(forests(spark, sf))
+
+
 # ---- boosted trees ----
 
-def _boosted(spark, sf):
-    train, test, encoder, names = prepared(spark, sf, fraction=0.6)
-    fit = trees.fit_gbt_grid(train, KEY, encode.max_levels(encoder), trees=(3, 6), depths=(1, 2),
-                             shrinkages=(0.1,), folds=2, parallelism=4)
-    return (*fit, names)
+def boosted(spark, sf):
+    """The whole grid of 18 points by 5 folds, fitted once for the queries below and the job."""
+    return kept(spark, sf, "boosted", lambda: jobs.boosted_results(*prepared(spark, sf, fraction=0.6), KEY))
 
 
 @query()
 def gbt_grid_cv(spark, sf):
-    return _boosted(spark, sf)[2]
+    return boosted(spark, sf)["cv"].drop("best")
 
 
 @query()
 def cv_results_table(spark, sf):
-    _, best, table, _ = _boosted(spark, sf)
-    is_best = ((F.col("shrinkage") == best[0]) & (F.col("depth") == best[1])
-               & (F.col("trees") == best[2]))
-    return table.withColumn("best", is_best)
+    return boosted(spark, sf)["cv"]
 
 
 @query()
 def scaled_importance(spark, sf):
-    model, _, _, names = _boosted(spark, sf)
-    return trees.scaled_importance(trees.impurity_importance(spark, model, names)).limit(20)
+    return boosted(spark, sf)["importance"].limit(20)
+
+
+@query()
+def job_gbt(spark, sf):
+    """All result tables of the boosted grid."""
+    return jobs.boosted_report(boosted(spark, sf))
 
 
 # ---- logistic models ----
 
-def _linear_parts(spark, sf, chosen=None):
-    frame = cleaning.drop_columns(model_table(spark, sf), schema.WEAK_FLAGS)
-    if chosen:
-        frame = frame.select(KEY, "violation_type", "label", *chosen)
-    train, test, _, names = jobs._prepare(frame, KEY, 0.8, True)
-    return train, test, names, linear.gram(train, "features", "label", names)
+def linear_parts(spark, sf, chosen=None):
+    """(train, test, names, Gram) of the dummy-coded frame."""
+    train, test, _, names = prepared(spark, sf, True, 0.8, chosen)
+    return kept(spark, sf, f"gram {chosen and len(chosen)}", lambda: (
+        train, test, names, linear.gram(train, "features", "label", names)))
+
+
+def _logistic(spark, sf, chosen=None):
+    """Coefficients and fit statistics (estimate holds their value) of one logistic model."""
+    out = jobs.logistic(*linear_parts(spark, sf, chosen))
+    fit = out["fit"].select(F.lit("fit").alias("section"), F.col("metric").alias("term"), F.col("value").alias("estimate"))
+    return stats.union_reports(
+        out["coefficients"].select(F.lit("coefficient").alias("section"), "*"), fit)
 
 
 @query()
 def logistic_glm(spark, sf):
-    return jobs.logistic(*_linear_parts(spark, sf))["coefficients"]
+    return _logistic(spark, sf)
 
 
-def _lasso(spark, sf, drop_extra=()):
-    frame = cleaning.drop_columns(model_table(spark, sf), [*schema.WEAK_FLAGS, *drop_extra])
-    train, _, _, names = jobs._prepare(frame, KEY, 0.7, True)
-    g = linear.gram(train, "features", "label", names)
-    path = linear.lasso_cv(train, KEY, linear.lambda_grid(g, 5, 0.05), folds=2)
-    return train, names, path
+def lasso_results(spark, sf, rule="1se", drop_extra=()):
+    """The whole path of 100 penalties by 5 folds, fitted once for the queries below and the job."""
+    return kept(spark, sf, f"lasso {rule} {len(drop_extra)}", lambda: jobs.lasso(
+        model_table(spark, sf), rule=rule, drop_extra=drop_extra))
 
 
 @query()
 def lasso_cv(spark, sf):
-    return linear.lasso_path_table(spark, _lasso(spark, sf)[2])
+    return lasso_results(spark, sf)["path"].drop("is_min", "is_1se")
 
 
 @query()
 def lambda_rule(spark, sf):
-    path = _lasso(spark, sf)[2]
-    table = linear.lasso_path_table(spark, path)
-    return table.withColumns({
-        "is_min": F.col("lambda") == linear.lambda_rule(path, "min"),
-        "is_1se": F.col("lambda") == linear.lambda_rule(path, "1se")})
-
-
-def _lasso_coefficients(spark, sf, rule, drop_extra=()):
-    train, names, path = _lasso(spark, sf, drop_extra)
-    model = linear.lasso(linear.lambda_rule(path, rule)).fit(train)
-    return linear.coefficients(spark, model, names)
+    return lasso_results(spark, sf)["path"]
 
 
 @query()
 def nonzero_coefficients(spark, sf):
-    return _lasso_coefficients(spark, sf, "1se")
+    return lasso_results(spark, sf)["coefficients"]
 
 
 @query()
 def rank_coefficients(spark, sf):
-    return linear.rank_coefficients(_lasso_coefficients(spark, sf, "min"), 12, largest=False)
+    """The 12 largest and smallest at the chosen penalty, and the 50 smallest of the forward subset of 128 terms."""
+    out = lasso_results(spark, sf)
+    forward = subset_results(spark, sf)["smallest_forward"]
+    return stats.union_reports(*[out[t].select(F.lit(f"lasso {t}").alias("section"), "*") for t in ("largest", "smallest")],
+                               forward.select(F.lit("forward smallest").alias("section"), "*"))
 
 
 @query()
 def refit_reduced(spark, sf):
-    return _lasso_coefficients(spark, sf, "min", schema.LASSO_SECOND_DROP)
+    return lasso_results(spark, sf, "min", tuple(schema.LASSO_SECOND_DROP))["coefficients"]
+
+
+@query()
+def job_lasso(spark, sf):
+    """All result tables of the lasso and of its reduced refit."""
+    second = jobs.lasso_report(lasso_results(spark, sf, "min", tuple(schema.LASSO_SECOND_DROP)))
+    return stats.union_reports(
+        jobs.lasso_report(lasso_results(spark, sf)),
+        second.withColumn("section", F.concat(F.lit("reduced "), "section")))
 
 
 # ---- stepwise selection ----
 
+def subset_results(spark, sf):
+    return kept(spark, sf, "subset", lambda: jobs.subset(model_table(spark, sf)))
+
+
 @query()
 def forward_selection(spark, sf):
-    return linear.stepwise(spark, _linear_parts(spark, sf)[3], "forward")
+    return linear.stepwise(spark, linear_parts(spark, sf)[3], "forward")
 
 
 @query()
 def backward_selection(spark, sf):
-    return linear.stepwise(spark, _linear_parts(spark, sf)[3], "backward")
+    return linear.stepwise(spark, linear_parts(spark, sf)[3], "backward")
 
 
 @query()
 def selection_criteria(spark, sf):
-    g = _linear_parts(spark, sf)[3]
+    g = linear_parts(spark, sf)[3]
     return linear.selection_sizes(stats.union_reports(
         linear.stepwise(spark, g, "forward"), linear.stepwise(spark, g, "backward")))
 
 
 @query()
 def subset_refit(spark, sf):
-    return jobs.logistic(*_linear_parts(spark, sf, schema.SUBSET_FEATURES))["coefficients"]
+    """Both models on the 14 chosen features: the logistic one, the forest's importances, and their errors."""
+    out = subset_results(spark, sf)
+    errors = out["errors"].where("run like '% subset'")
+    return stats.union_reports(
+        out["coefficients_subset"].select(F.lit("coefficient").alias("section"), "*"),
+        out["fit_subset"].select(F.lit("fit").alias("section"), F.col("metric").alias("term"), F.col("value").alias("estimate")),
+        out["importance_subset"].select(F.lit("forest importance").alias("section"), F.col("variable").alias("term"),
+                                        F.col("importance").alias("estimate")),
+        errors.select(F.lit("test error").alias("section"), F.col("run").alias("term"), F.col("test_error").alias("estimate")))
+
+
+@query()
+def job_subset(spark, sf):
+    """All result tables of the subset job."""
+    return jobs.subset_report(subset_results(spark, sf))
 
 
 # ---- clusters ----

@@ -74,6 +74,14 @@ def metrics_long(metrics: DataFrame, ids: Sequence[str] = (), section: str = "co
     return long.select(name.alias("run"), F.lit(section).alias("section"), "metric", "value")
 
 
+def long_form(df: DataFrame, section: str, ids: Sequence[str]) -> DataFrame:
+    """(section, item, metric, value): every number of a result table, its rows named by `ids`."""
+    values = [c for c in df.columns if c not in ids]
+    cells = [F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in values]
+    item = F.concat_ws(", ", *[F.col(c).cast("string") for c in ids])
+    return df.select(F.lit(section).alias("section"), item.alias("item"), F.inline(F.array(*cells)))
+
+
 # ---- exact tests on four counts, on the driver ----
 
 def _beta_cdf(x: float, a: float, b: float) -> float:

@@ -1,4 +1,4 @@
-"""Logistic models, the lasso path, the Gram matrix and stepwise selection."""
+"""The logistic model, the Gram matrix and stepwise selection."""
 
 from __future__ import annotations
 
@@ -8,17 +8,13 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.regression import GeneralizedLinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopline.models.trees import with_fold
 from stopline.session import small_table
 
 
@@ -208,77 +204,6 @@ def glm_fit_statistics(spark: SparkSession, model: PipelineModel) -> DataFrame:
                                  "metric string, value double")
 
 
-@dataclass
-class LassoPath:
-    lambdas: list[float]
-    mean: list[float]
-    std: list[float]
-    folds: int
-
-
-def lambda_grid(g: Gram, count: int = 100, ratio: float = 1e-4) -> list[float]:
-    """Log-spaced penalties from the smallest that empties the model, downwards.
-
-    The start comes from the cross-products: the largest standardised
-    covariance of a feature with the label.
-    """
-    a, n = g.matrix, g.n
-    mean = a[0, 1:] / n
-    cov = a[1:, 1:] / n - np.outer(mean, mean)
-    sd = np.sqrt(np.maximum(np.diag(cov)[:-1], 0))
-    use = sd > 0
-    top = float(np.max(np.abs(cov[:-1, -1][use]) / sd[use]))
-    if count == 1:
-        return [top]
-    return [top * ratio ** (i / (count - 1)) for i in range(count)]
-
-
-def lasso(penalty: float | None = None, label: str = "label", features: str = "features",
-          max_iter: int = 100) -> LogisticRegression:
-    model = LogisticRegression(labelCol=label, featuresCol=features, elasticNetParam=1.0,
-                               maxIter=max_iter, standardization=True, family="binomial")
-    return model if penalty is None else model.setRegParam(penalty)
-
-
-def lasso_cv(train: DataFrame, key: str, lambdas: Sequence[float], folds: int = 5,
-             label: str = "label", features: str = "features", parallelism: int = 1) -> LassoPath:
-    """Mean and spread of the held-out log loss per penalty, folds by key hash."""
-    estimator = lasso(label=label, features=features)
-    grid = ParamGridBuilder().addGrid(estimator.regParam, list(lambdas)).build()
-    cv = CrossValidator(
-        estimator=estimator, estimatorParamMaps=grid, numFolds=folds, foldCol="fold",
-        evaluator=MulticlassClassificationEvaluator(
-            labelCol=label, metricName="logLoss", probabilityCol="probability"),
-        parallelism=parallelism)
-    fit = cv.fit(with_fold(train.select(key, features, label), key, folds))
-    return LassoPath(list(lambdas), list(fit.avgMetrics), list(fit.stdMetrics), folds)
-
-
-def lambda_rule(path: LassoPath, rule: str = "1se") -> float:
-    """`min`: the penalty with the least loss. `1se`: the largest within one standard error."""
-    best = min(range(len(path.mean)), key=lambda i: path.mean[i])
-    if rule == "min":
-        return path.lambdas[best]
-    # the spread is that of a population, so its error divides by folds - 1
-    limit = path.mean[best] + path.std[best] / math.sqrt(path.folds - 1)
-    return max(lam for lam, m in zip(path.lambdas, path.mean) if m <= limit)
-
-
-def lasso_path_table(spark: SparkSession, path: LassoPath) -> DataFrame:
-    rows = [(float(a), float(b), float(c))
-            for a, b, c in zip(path.lambdas, path.mean, path.std)]
-    return small_table(spark, rows, "lambda double, mean_loss double, sd_loss double")
-
-
-def coefficients(spark: SparkSession, model, names: Sequence[str],
-                 nonzero: bool = True) -> DataFrame:
-    """(term, estimate) of a fitted logistic model, the intercept included."""
-    rows = [("(Intercept)", float(model.intercept)),
-            *[(t, float(b)) for t, b in zip(names, model.coefficients.toArray())]]
-    table = small_table(spark, rows, "term string, estimate double")
-    return table.where("estimate != 0") if nonzero else table
-
-
 def rank_coefficients(coefs: DataFrame, k: int = 12, largest: bool = True) -> DataFrame:
     order = F.desc("estimate") if largest else F.asc("estimate")
     return coefs.orderBy(order, "term").limit(k)

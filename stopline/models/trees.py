@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
@@ -33,82 +34,77 @@ def boosted_trees(bins: int, trees: int, depth: int, shrinkage: float, min_rows:
         stepSize=shrinkage, minInstancesPerNode=min_rows, maxBins=max(32, bins), seed=seed)
 
 
-def _score(model, test: DataFrame, label: str) -> dict:
+def score_counts(model, test: DataFrame, label: str) -> dict:
+    """Counts and metrics of a model's predictions."""
     scored = model.transform(test).select(
         F.col("prediction").cast("string").alias("p"), F.col(label).cast("string").alias("a"))
     return confusion_metrics(confusion_counts(scored, "p", "a", "1.0")).first().asDict()
 
 
-def _in_parallel(spark: SparkSession, tasks, parallelism: int) -> list:
+def in_parallel(spark: SparkSession, tasks, parallelism: int) -> list:
     with ThreadPoolExecutor(parallelism) as pool:
         return list(pool.map(lambda task: inheritable_thread_target(spark)(task)(), tasks))
 
 
-def fit_forest_grid(train: DataFrame, test: DataFrame, bins: int, grid: Sequence[Mapping],
-                    label: str = "label", parallelism: int = 2) -> tuple[dict, DataFrame]:
-    """Fit one forest per grid entry and score each on the held-out rows.
-
-    The hold-out error stands in for the out-of-bag error, which Spark ML does
-    not report. Returns the models and a (trees, mtry, test_error, ...) table.
-    """
-    grid = [dict(g) for g in grid]
-
-    def task(params):
-        def run():
-            model = random_forest(bins, label=label, **params).fit(train)
-            return model, _score(model, test, label)
-        return run
-
-    done = _in_parallel(train.sparkSession, [task(g) for g in grid], parallelism)
-    rows = [
-        (g["trees"], g["mtry"], 1 - s["accuracy"], s["accuracy"], s["kappa"],
-         s["tp"], s["fp"], s["fn"], s["tn"])
-        for g, (_, s) in zip(grid, done)
-    ]
-    table = small_table(
-        train.sparkSession, rows,
-        "trees int, mtry int, holdout_error double, accuracy double, kappa double, "
-        "tp long, fp long, fn long, tn long")
-    return {(g["trees"], g["mtry"]): m for g, (m, _) in zip(grid, done)}, table
-
-
 def with_fold(df: DataFrame, key: str, folds: int, out: str = "fold") -> DataFrame:
     """Fold 0..folds-1 from a hash of the key: the same on every evaluation."""
     return df.withColumn(out, F.pmod(F.xxhash64(key), F.lit(folds)).cast("int"))
 
 
+def stage_scores(stages: Sequence, test: DataFrame, label: str) -> list[dict]:
+    """Metrics of every prefix of one boosted ensemble, from one pass over the rows."""
+    scored = test.select("features", label)
+    for i, model in enumerate(stages):
+        scored = model.setPredictionCol(f"p{i}").setRawPredictionCol(f"raw{i}").setProbabilityCol(
+            f"prob{i}").transform(scored)
+    long = scored.select(F.col(label).cast("string").alias("a"), F.inline(F.array(*[
+        F.struct(F.lit(i).alias("stage"), F.col(f"p{i}").cast("string").alias("p")) for i in range(len(stages))])))
+    counts = confusion_metrics(confusion_counts(long, "p", "a", "1.0", run=["stage"]))
+    found = {r["stage"]: r.asDict() for r in counts.collect()}  # a row per stage
+    return [found[i] for i in range(len(stages))]
+
+
 def fit_gbt_grid(train: DataFrame, key: str, bins: int, trees: Sequence[int] = (10, 50, 100),
                  depths: Sequence[int] = (1, 2, 3), shrinkages: Sequence[float] = (0.01, 0.1),
                  min_rows: int = 20, folds: int = 5, label: str = "label",
-                 parallelism: int = 2):
+                 parallelism: int = 4):
     """k-fold accuracy and kappa per grid point; the best point is refitted on all rows.
 
-    Returns (model, best point, table of (shrinkage, depth, trees, accuracy, kappa)).
+    One ensemble of the most trees is fitted per (shrinkage, depth, fold); boosting adds
+    trees one by one, so its prefixes are the smaller models, and all are scored in one pass.
+    Returns (model, best point, table of (shrinkage, depth, trees, accuracy, kappa and their spreads)).
     """
+    from stopline.models.bagging import boosted_prefix
+
+    spark = train.sparkSession
     folded = with_fold(train.select(key, "features", label), key, folds).persist()
-    points = [(s, d, t) for s in shrinkages for d in depths for t in trees]
+    points = [(s, d) for s in shrinkages for d in depths]
 
     def task(point, fold):
         def run():
-            s, d, t = point
-            fit = boosted_trees(bins, t, d, s, min_rows, label).fit(
+            fit = boosted_trees(bins, max(trees), point[1], point[0], min_rows, label).fit(
                 folded.where(F.col("fold") != fold))
-            return _score(fit, folded.where(F.col("fold") == fold), label)
+            stages = [boosted_prefix(spark, fit, t) for t in trees]
+            return stage_scores(stages, folded.where(F.col("fold") == fold), label)
         return run
 
     jobs = [(p, f) for p in points for f in range(folds)]
-    scores = _in_parallel(train.sparkSession, [task(p, f) for p, f in jobs], parallelism)
-    sums: dict = {}
-    for (p, _), s in zip(jobs, scores):
-        a, k = sums.get(p, (0.0, 0.0))
-        sums[p] = (a + s["accuracy"], k + (s["kappa"] or 0.0))
-    rows = [(*p, sums[p][0] / folds, sums[p][1] / folds) for p in points]
+    scores = in_parallel(spark, [task(p, f) for p, f in jobs], parallelism)
+    found: dict = {}
+    for (p, _), per_stage in zip(jobs, scores):
+        for t, s in zip(trees, per_stage):
+            found.setdefault((*p, t), []).append((s["accuracy"], s["kappa"] or 0.0))
+    rows = []
+    for point, values in sorted(found.items()):
+        mean = [sum(v[i] for v in values) / folds for i in (0, 1)]
+        spread = [(sum((v[i] - mean[i]) ** 2 for v in values) / max(folds - 1, 1)) ** 0.5 for i in (0, 1)]
+        rows.append((*point, *mean, *spread))
     best = max(rows, key=lambda r: r[3])[:3]
     model = boosted_trees(bins, best[2], best[1], best[0], min_rows, label).fit(folded)
     folded.unpersist()
     table = small_table(
-        train.sparkSession, rows,
-        "shrinkage double, depth int, trees int, accuracy double, kappa double")
+        spark, rows, "shrinkage double, depth int, trees int, accuracy double, kappa double, "
+                     "accuracy_sd double, kappa_sd double")
     return model, best, table
 
 
@@ -130,22 +126,28 @@ def tree_nodes(spark: SparkSession, model_path: str, names: Sequence[str]) -> Da
     return flat.join(F.broadcast(lookup), "feature", "left")
 
 
-def node_depths(nodes: DataFrame, max_depth: int) -> DataFrame:
-    """Add the depth of each node, following children level by level."""
-    level = nodes.where("node = 0").select("tree", "node", F.lit(0).alias("depth"))
-    found = level
-    for _ in range(max_depth):
-        parents = nodes.where("left is not null").join(level, ["tree", "node"])
-        level = parents.select(
-            "tree", F.explode(F.array("left", "right")).alias("node"),
-            (F.col("depth") + 1).alias("depth"))
-        found = found.unionByName(level)
+def node_depths(nodes: DataFrame) -> DataFrame:
+    """Add the depth of each node: one grouped pass, a tree's nodes in one task, whatever the depth."""
+    def depths(tree: pa.Table) -> pa.Table:
+        at = {n: i for i, n in enumerate(tree["node"].to_pylist())}
+        left, right = (tree[c].to_pylist() for c in ("left", "right"))
+        depth, todo = [None] * len(at), [(0, 0)]
+        while todo:
+            node, d = todo.pop()
+            i = at[node]
+            depth[i] = d
+            todo += [(child, d + 1) for child in (left[i], right[i]) if child is not None]
+        return pa.table({"tree": tree["tree"], "node": tree["node"], "depth": pa.array(depth, pa.int32())})
+
+    kinds = dict(nodes.dtypes)
+    found = nodes.select("tree", "node", "left", "right").groupBy("tree").applyInArrow(
+        depths, f"tree {kinds['tree']}, node {kinds['node']}, depth int")
     return nodes.join(found, ["tree", "node"])
 
 
-def min_depth_distribution(nodes: DataFrame, max_depth: int) -> DataFrame:
+def min_depth_distribution(nodes: DataFrame) -> DataFrame:
     """(tree, variable, minimal_depth): the first depth at which each tree uses a variable."""
-    deep = node_depths(nodes, max_depth).where("variable is not null")
+    deep = node_depths(nodes).where("variable is not null")
     return deep.groupBy("tree", "variable").agg(F.min("depth").alias("minimal_depth"))
 
 
@@ -212,15 +214,14 @@ def permutation_importance(model: PipelineModel, df: DataFrame, cols: Sequence[s
     return drops.where("variable != ''")
 
 
-def forest_measures(nodes: DataFrame, max_depth: int,
-                    permuted: DataFrame | None = None) -> DataFrame:
+def forest_measures(nodes: DataFrame, permuted: DataFrame | None = None) -> DataFrame:
     """Per variable: mean minimal depth, nodes, trees, times a root, gini decrease.
 
     The mean depth is over the trees that use the variable. With the result of
-    `permutation_importance`, its accuracy decrease is joined on.
+    `permutation_importance` or `accuracy_importance`, its accuracy decrease is joined on.
     """
     trees = nodes.agg(F.count_distinct("tree")).first()[0]
-    deep = node_depths(nodes, max_depth).where("variable is not null")
+    deep = node_depths(nodes).where("variable is not null")
     per_tree = deep.groupBy("tree", "variable").agg(
         F.min("depth").alias("d"), F.count(F.lit(1)).alias("nodes"),
         F.count_if(F.col("depth") == 0).alias("roots"),

@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 
 from stopline import schema
 from stopline.functions import calendar, geo, text
-from stopline.models import cluster, encode, evaluate, linear, trees
+from stopline.models import bagging, cluster, encode, evaluate, linear, trees
+from stopline.models import lasso as lasso_models
 from stopline.operators import cleaning, joins, quality, selection, stats
-from stopline.session import new_path
+from stopline.session import store
 from stopline.sources import tables
 
 KEY = "row_key"
@@ -168,7 +169,7 @@ def predictor_kinds(df: DataFrame, key: str = KEY) -> tuple[list[str], list[str]
 def _prepare(frame: DataFrame, key: str, fraction: float, dummies: bool):
     """(train, test, encoder, feature names); trees take the hour as a number.
 
-    Both parts are filters of one encoded frame, kept in memory or on disk.
+    Both parts are filters of one encoded frame, which is stored.
     """
     if not dummies and "hour" in frame.columns:
         frame = frame.withColumn("hour", F.col("hour").cast("int"))
@@ -178,9 +179,9 @@ def _prepare(frame: DataFrame, key: str, fraction: float, dummies: bool):
     coded = encoder.transform(encode.as_factors(frame, cats))
     names = encode.feature_names(coded) if dummies else [*cats, *nums]
     inputs = [] if dummies else [*[f"{c}_ix" for c in cats], *nums]
-    slim = coded.select(key, "violation_type", "label", "features", *inputs)
+    slim = store(coded.select(key, "violation_type", "label", "features", *inputs), "coded")
     train, test = selection.split_exact(slim, key, fraction)
-    return train.persist(), test.persist(), encoder, names
+    return train, test, encoder, names
 
 
 def class_names(df: DataFrame) -> DataFrame:
@@ -194,87 +195,143 @@ def forest(frame: DataFrame, key: str = KEY, fraction: float = 0.7,
                                    {"trees": 150, "mtry": 4}, {"trees": 50, "mtry": 2},
                                    {"trees": 50, "mtry": 6}),
            max_depth: int = 20, model_path: str | None = None) -> dict:
-    """Forest sweep: scores, the chosen model's report, importances and tree measures."""
-    spark = frame.sparkSession
+    """Forest sweep: out-of-bag and test results of all, importances and tree measures of the first."""
     df = cleaning.drop_columns(frame, schema.WEAK_FLAGS)
-    train, test, encoder, names = _prepare(df, key, fraction, dummies=False)
-    bins = encode.max_levels(encoder)
-    models, scores = trees.fit_forest_grid(
-        train, test, bins, [{**g, "max_depth": max_depth} for g in grid])
-    train.unpersist()
+    return forest_results(*_prepare(df, key, fraction, dummies=False), key, grid, max_depth, model_path)
+
+
+def forest_results(train: DataFrame, test: DataFrame, encoder: PipelineModel, names: Sequence[str], key: str,
+                   grid: Sequence[dict], max_depth: int, model_path: str | None = None) -> dict:
+    """The tables of `forest` from prepared rows; votes, nodes and the first model are stored."""
+    spark = train.sparkSession
+    train = train.persist()
+    models = bagging.fit_forests(train, key, encode.max_levels(encoder), [{**g, "max_depth": max_depth} for g in grid])
+    votes: dict = {}
+    for mtry in sorted({m for _, m in models}):
+        sizes = sorted(t for t, m in models if m == mtry)
+        largest = bagging.read_trees(spark, bagging.saved(spark, models[sizes[-1], mtry]))
+        found = store(bagging.out_of_bag(train, key, largest, len(names), sizes), "votes")
+        votes.update({(t, mtry): (found, i) for i, t in enumerate(sizes)})
     best = models[grid[0]["trees"], grid[0]["mtry"]]
-    path = model_path or new_path(spark, "forest")
-    tables.save_model(best, path)
-    nodes = trees.tree_nodes(spark, path, names)
-    inputs = [c for c in test.columns if c not in (key, "violation_type", "label", "features")]
-    scorer = PipelineModel([encoder.stages[-1], best])
-    permuted = trees.permutation_importance(
-        scorer, test.drop("features"), inputs, key).withColumn(
-            "variable", F.regexp_replace("variable", "_ix$", ""))
-    counts = evaluate.confusion_counts(
-        class_names(best.transform(test)), "predicted", "violation_type", "Citation")
-    out = {
-        "scores": scores,
-        "confusion": evaluate.confusion_report(spark, counts, f"{grid[0]['trees']} trees"),
+    if model_path:
+        tables.save_model(best, model_path)
+    path = model_path or bagging.saved(spark, best)
+    nodes = store(trees.tree_nodes(spark, path, names), "nodes")
+    local = store(bagging.out_of_bag(train, key, bagging.read_trees(spark, path), len(names), importance=True), "votes")
+    train.unpersist()
+    permuted = bagging.accuracy_importance(local, names)
+    run = {g: f"{g[0]} trees, mtry {g[1]}" for g in models}
+    confusions = [evaluate.confusion_report(spark, evaluate.confusion_counts(
+        class_names(m.transform(test)), "predicted", "violation_type", "Citation"), run[g]) for g, m in models.items()]
+    classes = stats.union_reports(*[
+        bagging.oob_class_table(v, at).select(
+            F.lit(g[0]).alias("trees"), F.lit(g[1]).alias("mtry"),
+            F.when(F.col("label") == 1, "Citation").otherwise("Warning").alias("violation_type"),
+            F.col("votes_1").alias("citation"), F.col("votes_0").alias("warning"), "class_error")
+        for g, (v, at) in votes.items()])
+    return {
+        "scores": bagging.forest_scores(spark, models, votes, test),
+        "out_of_bag": classes,
+        "confusion": stats.union_reports(*confusions),
         "importance": trees.rank_importance(trees.impurity_importance(spark, best, names)),
         "permutation": permuted,
+        "local": bagging.local_importance(local, key, names),
         "nodes": nodes,
-        "min_depth": trees.min_depth_distribution(nodes, max_depth),
-        "measures": trees.forest_measures(nodes, max_depth, permuted),
+        "min_depth": trees.min_depth_distribution(nodes),
+        "measures": trees.forest_measures(nodes, permuted),
+        "model": best, "path": path, "models": models, "test": test,
     }
-    return {**out, "model": best, "path": path}
+
+
+def forest_report(out: dict) -> DataFrame:
+    """All result tables of a forest sweep as (section, item, metric, value); the distribution of depths is counted."""
+    depths = out["min_depth"].groupBy("variable", "minimal_depth").agg(F.count(F.lit(1)).alias("trees"))
+    long = evaluate.long_form
+    return stats.union_reports(
+        long(out["scores"], "scores", ["trees", "mtry"]),
+        long(out["out_of_bag"], "out_of_bag", ["trees", "mtry", "violation_type"]),
+        out["confusion"].select("section", F.col("run").alias("item"), "metric", "value"),
+        long(out["importance"], "importance", ["variable"]),
+        long(out["permutation"], "permutation", ["variable"]),
+        long(depths, "min_depth", ["variable", "minimal_depth"]),
+        long(out["measures"], "measures", ["variable"]))
 
 
 def boosted(frame: DataFrame, key: str = KEY, fraction: float = 0.6,
             trees_grid: Sequence[int] = (10, 50, 100), depths: Sequence[int] = (1, 2, 3),
             shrinkages: Sequence[float] = (0.01, 0.1), folds: int = 5) -> dict:
     """Boosted trees: cross-validated grid, best model, importances and test report."""
-    spark = frame.sparkSession
     df = cleaning.drop_columns(frame, schema.WEAK_FLAGS)
-    train, test, encoder, names = _prepare(df, key, fraction, dummies=False)
+    return boosted_results(*_prepare(df, key, fraction, dummies=False), key, trees_grid, depths, shrinkages, folds)
+
+
+def boosted_results(train: DataFrame, test: DataFrame, encoder: PipelineModel, names: Sequence[str], key: str,
+                    trees_grid: Sequence[int] = (10, 50, 100), depths: Sequence[int] = (1, 2, 3),
+                    shrinkages: Sequence[float] = (0.01, 0.1), folds: int = 5) -> dict:
+    spark = train.sparkSession
     model, best, table = trees.fit_gbt_grid(
         train, key, encode.max_levels(encoder), trees_grid, depths, shrinkages, folds=folds)
-    train.unpersist()
+    is_best = ((F.col("shrinkage") == best[0]) & (F.col("depth") == best[1]) & (F.col("trees") == best[2]))
     counts = evaluate.confusion_counts(
         class_names(model.transform(test)), "predicted", "violation_type", "Citation")
     importance = trees.impurity_importance(spark, model, names)
     return {
-        "cv": table, "best": best, "model": model,
+        "cv": table.withColumn("best", is_best), "best": best, "model": model,
         "importance": trees.scaled_importance(importance),
         "confusion": evaluate.confusion_report(spark, counts, "boosted"),
     }
 
 
-def lasso(frame: DataFrame, key: str = KEY, fraction: float = 0.7, n_lambda: int = 100,
-          folds: int = 5, rule: str = "1se", drop_extra: Sequence[str] = (),
-          ratio: float = 1e-4) -> dict:
-    """Cross-validated L1 logistic model; `drop_extra` gives the reduced refit."""
-    spark = frame.sparkSession
+def boosted_report(out: dict) -> DataFrame:
+    """All result tables of the boosted grid as (section, item, metric, value)."""
+    return stats.union_reports(
+        evaluate.long_form(out["cv"].withColumn("best", F.col("best").cast("int")), "cv", ["shrinkage", "depth", "trees"]),
+        evaluate.long_form(out["importance"], "importance", ["variable"]),
+        out["confusion"].select("section", F.col("run").alias("item"), "metric", "value"))
+
+
+def lasso_frame(frame: DataFrame, drop_extra: Sequence[str] = ()) -> DataFrame:
+    """The modelling frame without weak flags, rare levels and the columns dropped for the reduced fit."""
     df = cleaning.drop_columns(frame, [*schema.WEAK_FLAGS, *drop_extra])
-    df = cleaning.filter_not_in(df, {
+    return cleaning.filter_not_in(df, {
         c: v for c, v in {"color": schema.RARE_COLORS, "asset_type": schema.RARE_ASSETS,
                           "short_charge": schema.RARE_CHARGES,
                           "vehicle_type": schema.RARE_VEHICLES}.items() if c in df.columns})
-    train, test, _, names = _prepare(df, key, fraction, dummies=True)
-    g = linear.gram(train, "features", "label", names)
-    path = linear.lasso_cv(train, key, linear.lambda_grid(g, n_lambda, ratio), folds)
-    chosen = linear.lambda_rule(path, rule)
-    model = linear.lasso(chosen).fit(train)
-    train.unpersist()
-    coefs = linear.coefficients(spark, model, names)
+
+
+def lasso(frame: DataFrame, key: str = KEY, fraction: float = 0.7, n_lambda: int = 100,
+          folds: int = 5, rule: str = "1se", drop_extra: Sequence[str] = (),
+          ratio: float = 1e-4) -> dict:
+    """Cross-validated L1 logistic path; `drop_extra` gives the reduced refit."""
+    spark = frame.sparkSession
+    train, test, _, names = _prepare(lasso_frame(frame, drop_extra), key, fraction, dummies=True)
+    path = lasso_models.lasso_path(train, key, names, n_lambda, ratio, folds)
+    chosen = lasso_models.lambda_rule(path, rule)
+    coefs = lasso_models.path_coefficients(spark, path, chosen)
+    every = lasso_models.path_coefficients(spark, path, chosen, nonzero=False)
     counts = evaluate.confusion_counts(
-        class_names(model.transform(test)), "predicted", "violation_type", "Citation")
+        class_names(lasso_models.predict(test, path, chosen)), "predicted", "violation_type", "Citation")
+    ends = {name: linear.rank_coefficients(every, 12, largest).withColumn(
+        "probability", text.inv_logit(F.round("estimate", 4)))
+        for name, largest in (("largest", True), ("smallest", False))}
     return {
-        "path": linear.lasso_path_table(spark, path), "lambda": chosen, "model": model,
-        "coefficients": coefs,
-        "largest": linear.rank_coefficients(coefs, 12).withColumn(
-            "probability", text.inv_logit(F.col("estimate"))),
-        "smallest": linear.rank_coefficients(coefs, 12, largest=False).withColumn(
-            "probability", text.inv_logit(F.col("estimate"))),
+        "path": lasso_models.path_table(spark, path).withColumns({
+            "is_min": F.col("lambda") == lasso_models.lambda_rule(path, "min"),
+            "is_1se": F.col("lambda") == lasso_models.lambda_rule(path, "1se")}),
+        "lambda": chosen, "model": path, "coefficients": coefs, **ends,
         "confusion": evaluate.confusion_report(spark, counts, f"lasso {rule}"),
     }
 
 
+def lasso_report(out: dict) -> DataFrame:
+    """All result tables of a lasso path as (section, item, metric, value)."""
+    path = out["path"].withColumns({c: F.col(c).cast("int") for c in ("is_min", "is_1se")})
+    return stats.union_reports(
+        evaluate.long_form(path, "path", ["lambda"]),
+        *[evaluate.long_form(out[t], t, ["term"]) for t in ("coefficients", "largest", "smallest")],
+        out["confusion"].select("section", F.col("run").alias("item"), "metric", "value"))
+
+
 def logistic(train: DataFrame, test: DataFrame, names: Sequence[str], g: linear.Gram) -> dict:
     """Plain logistic model of the second class (Warning), scored at 0.5."""
     spark = train.sparkSession
@@ -286,39 +343,68 @@ def logistic(train: DataFrame, test: DataFrame, names: Sequence[str], g: linear.
     return {
         "model": model,
         "error": evaluate.test_error(scored, "predicted", "violation_type"),
+        "table": evaluate.confusion_table(scored, "predicted", "violation_type"),
         "coefficients": linear.glm_coefficients(spark, model, names, terms),
         "fit": linear.glm_fit_statistics(spark, model),
     }
 
 
 def subset(frame: DataFrame, key: str = KEY, fraction: float = 0.8, trees_count: int = 50,
-           mtry: int = 4, max_depth: int = 20, max_terms: int = 300,
+           mtry: int = 4, max_depth: int = 20, max_terms: int = 300, quick_look: tuple[int, int] = (128, 50),
            chosen: Sequence[str] = tuple(schema.SUBSET_FEATURES)) -> dict:
-    """Full and reduced logistic and forest errors, and both stepwise selections."""
+    """Full and reduced logistic and forest results, both stepwise selections, and a look at the forward one.
+
+    `quick_look`: the size of the forward subset (or the largest below) and how many of its least coefficients.
+    """
     spark = frame.sparkSession
     df = cleaning.drop_columns(frame, schema.WEAK_FLAGS)
-    out, errors = {}, []
+    out, errors, confusions = {}, [], []
     reduced = df.select(key, "violation_type", "label", *[c for c in chosen if c in df.columns])
     for name, data in (("full", df), ("subset", reduced)):
         train, test, _, names = _prepare(data, key, fraction, dummies=True)
+        train = train.persist()
         g = linear.gram(train, "features", "label", names)
         plain = logistic(train, test, names, g)
         errors.append(plain["error"].select(F.lit(f"logistic {name}").alias("run"), "test_error"))
         out[f"coefficients_{name}"], out[f"fit_{name}"] = plain["coefficients"], plain["fit"]
+        confusions.append(plain["table"].withColumn("run", F.lit(f"logistic {name}")))
+        train.unpersist()
         if name == "full":
-            steps = stats.union_reports(*[
-                linear.stepwise(spark, g, d, max_terms) for d in ("forward", "backward")])
+            forward, backward = (linear.stepwise(spark, g, d, max_terms) for d in ("forward", "backward"))
+            steps = stats.union_reports(forward, backward)
             out["steps"], out["sizes"] = steps, linear.selection_sizes(steps)
-        train, test, encoder, _ = _prepare(data, key, fraction, dummies=False)
-        fit = trees.random_forest(
-            encode.max_levels(encoder), trees_count, mtry, max_depth).fit(train)
+            terms = [r["term"] for r in forward.where(F.col("size") <= quick_look[0]).orderBy("size").collect()]
+            out["smallest_forward"] = linear.rank_coefficients(
+                linear.subset_coefficients(spark, g, terms), quick_look[1], largest=False)
+        train, test, encoder, names = _prepare(data, key, fraction, dummies=False)
+        train = train.persist()
+        fit = bagging.fit_forests(train, key, encode.max_levels(encoder), [
+            {"trees": trees_count, "mtry": mtry, "max_depth": max_depth}])[trees_count, mtry]
+        train.unpersist()
         scored = class_names(fit.transform(test))
         errors.append(evaluate.test_error(scored, "predicted", "violation_type").select(
             F.lit(f"forest {name}").alias("run"), "test_error"))
+        confusions.append(evaluate.confusion_table(scored, "predicted", "violation_type").withColumn(
+            "run", F.lit(f"forest {name}")))
+        out[f"importance_{name}"] = trees.impurity_importance(spark, fit, names)
     out["errors"] = stats.union_reports(*errors)
+    out["tables"] = stats.union_reports(*confusions)
     return out
 
 
+def subset_report(out: dict) -> DataFrame:
+    """All result tables of the subset job as (section, item, metric, value)."""
+    long = evaluate.long_form
+    return stats.union_reports(
+        long(out["errors"], "errors", ["run"]),
+        long(out["tables"], "tables", ["run", "prediction", "reference"]),
+        *[long(out[f"{t}_{n}"], f"{t} {n}", [i]) for n in ("full", "subset")
+          for t, i in (("coefficients", "term"), ("fit", "metric"), ("importance", "variable"))],
+        long(out["steps"], "steps", ["method", "size", "term"]),
+        long(out["sizes"], "sizes", ["method"]),
+        long(out["smallest_forward"], "smallest_forward", ["term"]))
+
+
 # ---- clusters ----
 
 def accident_frame(df: DataFrame) -> DataFrame:

@@ -82,6 +82,10 @@ def test_forest(spark, model_rows):
     total = model_rows.count()
     assert n == total - int(0.7 * total + 1e-9)
     assert out["scores"].first()["accuracy"] == report["accuracy"]
+    seen = out["out_of_bag"].agg(F.sum(F.col("citation") + F.col("warning"))).first()[0]
+    assert 0.9 * 0.7 * total < seen <= 0.7 * total
+    sections = {r[0] for r in jobs.forest_report(out).select("section").distinct().collect()}
+    assert sections == {"scores", "out_of_bag", "confusion", "importance", "permutation", "min_depth", "measures"}
     assert report["accuracy_low"] <= report["accuracy"] <= report["accuracy_high"]
     measures = out["measures"].collect()
     assert sum(m["times_a_root"] for m in measures) == 10
@@ -95,6 +99,9 @@ def test_lasso_and_refit(spark, model_rows):
     assert not any(t.startswith(("color=", "conditions=")) for t in terms)
     assert out["largest"].where("probability not between 0 and 1").count() == 0
     assert out["path"].count() == 3
+    report = jobs.lasso_report(out)
+    assert {r[0] for r in report.select("section").distinct().collect()} == {
+        "path", "coefficients", "largest", "smallest", "confusion"}
 
 
 def test_subset(spark, model_rows):
@@ -105,6 +112,14 @@ def test_subset(spark, model_rows):
     sizes = {r["method"]: r for r in out["sizes"].collect()}
     assert set(sizes) == {"forward", "backward"}
     assert sizes["forward"]["bic"] <= sizes["forward"]["rss"]
+    look = [r["estimate"] for r in out["smallest_forward"].collect()]
+    assert look == sorted(look) and len(look) == 50
+    rows = jobs.subset_report(out).collect()
+    assert {r["section"] for r in rows} >= {"errors", "tables", "fit full", "fit subset", "steps", "smallest_forward"}
+    for run, e in errors.items():
+        cells = {r["item"]: r["value"] for r in rows if r["section"] == "tables" and r["item"].startswith(run + ",")}
+        right = sum(v for k, v in cells.items() if k.split(", ")[1] == k.split(", ")[2])
+        assert abs(1 - right / sum(cells.values()) - e) < 1e-6
 
 
 def test_clusters(spark, features):

@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from stopline.models import encode, evaluate, linear, trees
+from stopline.models import bagging, encode, evaluate, lasso, linear, trees
 from stopline.sources import tables
 
 # Published counts (tp, fp, fn, tn) with accuracy, kappa, sensitivity, specificity, balanced
@@ -209,22 +209,22 @@ def test_logistic_matches_newton(coded, spark):
 
 def test_lasso_path(coded, spark):
     df, names = coded
-    g = linear.gram(df, "features", "label", names)
-    lambdas = linear.lambda_grid(g, 4, 0.05)
+    path = lasso.lasso_path(df, "key", names, penalties=4, ratio=0.05, folds=3)
+    lambdas = path.lambdas
     assert lambdas == sorted(lambdas, reverse=True)
-    empty = linear.lasso(lambdas[0] * 1.01).fit(df)
-    assert np.allclose(empty.coefficients.toArray(), 0)
-    some = linear.lasso(lambdas[0] * 0.9).fit(df)
-    assert linear.coefficients(spark, some, names).count() == 2  # intercept and one term
-    path = linear.lasso_cv(df, "key", lambdas, folds=3)
+    assert lasso.path_coefficients(spark, path, lambdas[0]).count() == 1  # the intercept
+    some = lasso.lasso_path(df, "key", names, penalties=2, ratio=0.9, folds=3)
+    assert lasso.path_coefficients(spark, some, some.lambdas[1]).count() == 2  # and one term
     assert len(path.mean) == 4 and path.mean[0] == max(path.mean)
-    assert linear.lambda_rule(path, "1se") >= linear.lambda_rule(path, "min")
+    assert lasso.lambda_rule(path, "1se") >= lasso.lambda_rule(path, "min")
 
 
 def test_lambda_rules():
-    path = linear.LassoPath([1.0, 0.1, 0.01], [0.60, 0.51, 0.50], [0.0, 0.0, 0.04], 4)
-    assert linear.lambda_rule(path, "min") == 0.01
-    assert linear.lambda_rule(path, "1se") == 0.1
+    held = np.array([[0.60, 0.51, 0.50 + d] for d in (-0.04, 0.04, -0.04, 0.04)])
+    path = lasso.Path([], [1.0, 0.1, 0.01], None, None, held, None, 0.0, None, 0)
+    assert path.mean == pytest.approx([0.60, 0.51, 0.50]) and path.std == pytest.approx([0, 0, 0.04])
+    assert lasso.lambda_rule(path, "min") == 0.01
+    assert lasso.lambda_rule(path, "1se") == 0.1
 
 
 @pytest.fixture(scope="module")
@@ -245,7 +245,7 @@ def test_tree_table(forest):
     roots = nodes.where("node = 0")
     assert roots.count() == 7
     assert nodes.where("variable is null and left is not null").count() == 0
-    deep = trees.node_depths(nodes, 4)
+    deep = trees.node_depths(nodes)
     assert deep.count() == nodes.count()
     assert deep.agg(F.max("depth")).first()[0] == max(t.depth for t in model.trees)
 
@@ -263,10 +263,10 @@ def test_minimal_depths(forest):
         return seen
 
     want = {(t, v, d) for t in range(7) for v, d in walk(t, 0, 0, {}).items()}
-    got = {tuple(r) for r in trees.min_depth_distribution(nodes, 4).select(
+    got = {tuple(r) for r in trees.min_depth_distribution(nodes).select(
         "tree", "variable", "minimal_depth").collect()}
     assert got == want
-    measures = trees.forest_measures(nodes, 4).collect()
+    measures = trees.forest_measures(nodes).collect()
     assert sum(m["times_a_root"] for m in measures) == 7
     assert sum(m["no_of_nodes"] for m in measures) == nodes.where("left is not null").count()
 
@@ -295,11 +295,14 @@ def test_forest_grid_and_store(spark, forest, tmp_path):
     model, df, _, _, _ = forest
     train, test = df.where("key % 3 > 0"), df.where("key % 3 = 0")
     grid = [{"trees": 5, "mtry": 2, "max_depth": 4}, {"trees": 9, "mtry": 1, "max_depth": 4}]
-    models, scores = trees.fit_forest_grid(train, test, 3, grid)
+    models = bagging.fit_forests(train, "key", 3, grid)
+    votes = {g: (bagging.out_of_bag(train, "key", bagging.read_trees(spark, bagging.saved(spark, m)), 3), 0)
+             for g, m in models.items()}
+    scores = bagging.forest_scores(spark, models, votes, test)
     assert set(models) == {(5, 2), (9, 1)}
     for r in scores.collect():
         assert r["tp"] + r["fp"] + r["fn"] + r["tn"] == test.count()
-        assert r["accuracy"] > 0.6
+        assert r["accuracy"] > 0.6 and abs(r["oob_error"] - r["holdout_error"]) < 0.12
     path = str(tmp_path / "m")
     tables.save_model(models[5, 2], path)
     again = RandomForestClassificationModel.load(path)
