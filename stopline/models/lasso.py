@@ -177,38 +177,46 @@ def pass_over(rows: DataFrame, centre, scale, models: np.ndarray, folds: int, kn
 
 
 def descend(beta: np.ndarray, gradient: np.ndarray, cross: np.ndarray, pick: np.ndarray, limit: np.ndarray,
-            damp: np.ndarray, sweeps: int = 400) -> np.ndarray:
-    """Minimise each model's penalised quadratic by coordinate descent: (models, q) steps.
+            damp: np.ndarray, share: float = 0.02, rounds: int = 100) -> np.ndarray:
+    """Minimise each model's penalised quadratic: (models, q) steps.
 
-    `cross[pick]` is a model's matrix, `limit` (models, q) its penalties by coordinate. All coordinates are swept first,
-    then those that moved, or are not zero, until they rest, and again all.
+    `cross[pick]` is a model's matrix, `limit` (models, q) its penalties by coordinate. Two sweeps of coordinate descent
+    over all models settle which coordinates are not zero; on those each model then solves its linear
+    system, and stops on the way where one reaches zero. A model is done at `share` of its first gap.
     """
     models, q = beta.shape
-    step = np.zeros_like(beta)
-    slope = gradient.copy()   # gradient of the quadratic at beta + step
-    diagonal = cross[:, np.arange(q), np.arange(q)][pick] * (1 + damp)[:, None] + 1e-12
-
-    def sweep(columns) -> float:
-        most = 0.0
-        for j in columns:
-            old = beta[:, j] + step[:, j]
-            want = old - slope[:, j] / diagonal[:, j]
-            new = np.sign(want) * np.maximum(np.abs(want) - limit[:, j] / diagonal[:, j], 0)
-            move = new - old
-            if not move.any():
-                continue
-            step[:, j] += move
-            slope[:] += (move * (1 + damp))[:, None] * cross[pick, j, :]
-            most = max(most, float(np.max(np.abs(move) * np.sqrt(diagonal[:, j]))))
-        return most
-
-    for _ in range(sweeps):
-        if sweep(range(q)) < 1e-9:
+    step, slope = np.zeros_like(beta), gradient.copy()  # slope: gradient of the quadratic at beta + step
+    goal = share * optimality_gap(beta, gradient, limit)
+    left = np.arange(models)
+    for _ in range(rounds):
+        if not len(left):
             break
-        active = np.flatnonzero(((beta + step) != 0).any(0))
-        for _ in range(sweeps):
-            if sweep(active) < 1e-9:
-                break
+        matrix, more = pick[left], 1 + damp[left]
+        now, pull, most = beta[left] + step[left], slope[left], limit[left]
+        for j in [*range(q), *range(q)]:
+            curve = cross[matrix, j, j] * more + 1e-12
+            want = now[:, j] - pull[:, j] / curve
+            new = np.sign(want) * np.maximum(np.abs(want) - most[:, j] / curve, 0)
+            move = new - now[:, j]
+            if move.any():
+                now[:, j] = new
+                pull += (move * more)[:, None] * cross[matrix, j, :]
+        for i in range(len(left)):
+            on = np.flatnonzero((now[i] != 0) | (most[i] == 0))
+            part = cross[matrix[i]][np.ix_(on, on)] * more[i]
+            part[np.diag_indices(len(on))] += 1e-12 + 1e-10 * part.diagonal()
+            way = np.linalg.solve(part, -(pull[i, on] + most[i, on] * np.sign(now[i, on])))
+            crossing = np.full(len(on), np.inf)
+            ends = (most[i, on] > 0) & (now[i, on] * (now[i, on] + way) < 0)
+            crossing[ends] = -now[i, on][ends] / way[ends]
+            far = min(1.0, crossing.min(initial=np.inf))
+            now[i, on] += far * way
+            if far < 1:
+                now[i, on[crossing.argmin()]] = 0.0
+        step[left] = now - beta[left]
+        slope[left] = gradient[left] + (1 + damp[left])[:, None] * np.einsum("mj,mjk->mk", step[left], cross[pick[left]])
+        gap = optimality_gap(now, slope[left], most)
+        left = left[gap > goal[left]]
     return step
 
 

@@ -67,7 +67,7 @@ def stage_scores(stages: Sequence, test: DataFrame, label: str) -> list[dict]:
 def fit_gbt_grid(train: DataFrame, key: str, bins: int, trees: Sequence[int] = (10, 50, 100),
                  depths: Sequence[int] = (1, 2, 3), shrinkages: Sequence[float] = (0.01, 0.1),
                  min_rows: int = 20, folds: int = 5, label: str = "label",
-                 parallelism: int = 4):
+                 parallelism: int = 8):
     """k-fold accuracy and kappa per grid point; the best point is refitted on all rows.
 
     One ensemble of the most trees is fitted per (shrinkage, depth, fold); boosting adds
