@@ -179,24 +179,32 @@ _STATS = f"WITH f AS ({FEATURED}) " + " UNION ALL ".join(
     + [_all_levels(f"frequency_{c}", c) for c in _COUNTED] + [_all_levels("arrest", "cast(arrest AS string)")])
 
 
-@query(_STATS)
+_METRICS = {"min": "min(x)", "q1": "quantile_cont(x, 0.25)", "median": "quantile_cont(x, 0.5)", "mean": "avg(x)",
+            "q3": "quantile_cont(x, 0.75)", "max": "max(x)", "n_null": "count(*) - count(x)"}
+_NESTED = """SELECT 'at ' || location AS section, description AS level, n FROM (SELECT location, description, count(*) AS n,
+    row_number() OVER (PARTITION BY location ORDER BY count(*) DESC, description) AS rn FROM f
+    WHERE description IS NOT NULL AND location IN (SELECT level FROM (""" + _top("top", "location") + """) t)
+    GROUP BY 1, 2) z WHERE rn <= 3"""
+
+
+def _most(section, where="true"):
+    return f"""SELECT * FROM (SELECT '{section}' AS section, sub_agency AS level, count(*) AS n FROM f
+    WHERE {where} AND sub_agency IS NOT NULL GROUP BY 2 ORDER BY n DESC, level DESC LIMIT 1) z"""
+
+
+_STATS_ALL = _STATS + " UNION ALL " + " UNION ALL ".join(
+    [_most("top_sub_agency"), _most("top_injury_sub_agency", "personal_injury = 'Yes'"), _NESTED])
+_STATS_ALL = f"SELECT section, level, n, cast(NULL AS double) AS value FROM ({_STATS_ALL}) s" + "".join(
+    f""" UNION ALL SELECT 'extent_{name}', strftime({end}(date_time), '%Y-%m-%d %H:%M:%S'), NULL, NULL FROM ({FEATURED}) f"""
+    for name, end in (("first", "min"), ("last", "max"))) + "".join(
+    f""" UNION ALL SELECT 'summary_{c}', '{m}', NULL, round(cast({e} AS double), 6) FROM (
+    SELECT cast({c} AS double) AS x FROM ({FEATURED}) f) g""" for c in jobs.WEATHER_SUMMARY for m, e in _METRICS.items())
+
+
+@query(_STATS_ALL)
 def job_stats(spark, sf):
-    found = jobs.descriptive(stored(featured(spark, sf), "features"))
-    parts = [
-        found[f"top_{c}"].select(F.lit("top").alias("section"), F.col(c).alias("level"), "n")
-        for c in ("description", "location", "search_reason", "color", "vehicle_type")]
-    parts += [found[f"top_{c}_by_flag"].select(F.col("flag").alias("section"), "level", "n")
-              for c in ("location", "description")]
-    parts += [
-        found[f"top_{c}_by_race"].select(F.col("race").alias("section"),
-                                         F.col(c).alias("level"), "n")
-        for c in _BY_RACE]
-    parts += [found[f"levels_{c}"].select(F.lit(c).alias("section"), "level", "n") for c in _LEVELS]
-    parts += [found[f"frequency_{c}"].select(F.lit(f"frequency_{c}").alias("section"), F.col(c).alias("level"), "n")
-              for c in _COUNTED]
-    parts.append(found["arrest"].select(
-        F.lit("arrest").alias("section"), F.col("value").cast("string").alias("level"), "n"))
-    return stats.union_reports(*parts)
+    """All lists, extents and summaries; one scan of the input gives every list."""
+    return jobs.descriptive_report(jobs.descriptive(stored(featured(spark, sf), "features")))
 
 
 _MERGE = {

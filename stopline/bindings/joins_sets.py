@@ -90,7 +90,37 @@ def repeat_key_flag(spark, sf):
 @query("SELECT o_orderkey, o_custkey, row_number() OVER (ORDER BY o_orderkey) AS row_id FROM orders")
 def dense_row_id(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    return selection.dense_row_id(orders, ["o_orderkey"])
+    return selection.dense_row_id(orders, ["o_orderkey"], unique=True)
+
+
+@query("""SELECT l_quantity, count(*) AS n, min(row_id) AS first, max(row_id) AS last FROM (
+  SELECT l_quantity, row_number() OVER (ORDER BY l_quantity) AS row_id FROM lineitem) r GROUP BY 1""")
+def dense_row_id_ties(spark, sf):
+    """Numbers of rows in 50 runs of equal order values: each run's are one gapless stretch."""
+    rows = selection.dense_row_id(table(spark, sf, "lineitem").select("l_quantity", "l_orderkey"), ["l_quantity"])
+    return rows.groupBy("l_quantity").agg(
+        F.count_distinct("row_id").alias("n"), F.min("row_id").alias("first"), F.max("row_id").alias("last"))
+
+
+_CLASS_SQL = " UNION ALL ".join(
+    f"""SELECT p_brand, p_type, p_size, '{c}' AS differs, count(*) OVER w - 1 AS links,
+    min((p_brand, p_type, p_size)) OVER w AS lead
+    FROM p WINDOW w AS (PARTITION BY {', '.join(o for o in _PAIR_COLS if o != c)})""" for c in _PAIR_COLS)
+
+
+@query(f"""WITH p AS (SELECT DISTINCT p_brand, p_type, p_size FROM part)
+  SELECT p_brand, p_type, p_size, differs, links, lead[1] AS lead_brand, lead[2] AS lead_type, lead[3] AS lead_size
+  FROM ({_CLASS_SQL}) x WHERE links > 0""")
+def join_classes(spark, sf):
+    """The same links as classes: members, the number of their links, and the first member."""
+    from stopline.models.cluster import distinct_profiles
+
+    profiles = distinct_profiles(table(spark, sf, "part"), _PAIR_COLS)
+    lead = profiles.select(F.col("id").alias("class"), *[
+        F.col(c).alias(f"lead_{c[2:]}") for c in _PAIR_COLS])
+    found = joins.neighbour_classes(profiles, _PAIR_COLS)
+    return found.join(profiles, "id").join(lead, "class").select(
+        *_PAIR_COLS, "differs", "links", "lead_brand", "lead_type", "lead_size")
 
 
 @query("SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(*) > 1")

@@ -40,6 +40,20 @@ def design_matrix(spark, sf):
                                 ["l_orderkey", "l_quantity"])
 
 
+@query("""WITH long AS (SELECT l_orderkey * 8 + l_linenumber AS row_key, 1 AS place, cast(l_partkey AS string) AS level
+      FROM lineitem UNION ALL SELECT l_orderkey * 8 + l_linenumber, 2, l_returnflag FROM lineitem),
+    levels AS (SELECT *, row_number() OVER (PARTITION BY place ORDER BY level) AS k FROM (
+      SELECT DISTINCT place, level FROM long) d),
+    slots AS (SELECT place, level, 1 + row_number() OVER (ORDER BY place, level) AS slot FROM levels WHERE k > 1)
+  SELECT row_key, slot, 1.0e0 AS value FROM long JOIN slots USING (place, level)
+  UNION ALL SELECT l_orderkey * 8 + l_linenumber, 0, cast(l_quantity AS double) FROM lineitem WHERE l_quantity <> 0
+  UNION ALL SELECT l_orderkey * 8 + l_linenumber, 1, cast(l_discount AS double) FROM lineitem WHERE l_discount <> 0""")
+def design_triplets(spark, sf):
+    """The design matrix without its zeros: a factor of all part keys, one of return flags, two numbers."""
+    rows = table(spark, sf, "lineitem").withColumn("row_key", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+    return encode.design_triplets(rows, "row_key", ["l_partkey", "l_returnflag"], ["l_quantity", "l_discount"])
+
+
 @query(RULE_METRICS_SQL)
 def confusion_metrics(spark, sf):
     return evaluate.confusion_metrics(evaluate.confusion_counts(

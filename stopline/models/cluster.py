@@ -30,7 +30,7 @@ def distinct_profiles(df: DataFrame, cols: Sequence[str], id_col: str = "id") ->
     number is bounded by the level dictionaries, not by the rows.
     """
     counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("weight"))
-    return dense_row_id(counted, cols, id_col)
+    return dense_row_id(counted, cols, id_col, unique=True)
 
 
 def gower(left: Sequence, right: Sequence):

@@ -9,6 +9,10 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stopline.operators.selection import dense_row_id
+from stopline.operators.skew import join_any_size
+from stopline.session import store
+
 
 def as_factors(df: DataFrame, cats: Sequence[str]) -> DataFrame:
     """Factor columns as text, so that booleans and numbers index alike."""
@@ -69,3 +73,34 @@ def dummy_columns(df: DataFrame, cats: Sequence[str], nums: Sequence[str] = ())
 def max_levels(model: PipelineModel) -> int:
     """Size of the largest level dictionary; a forest needs that many bins."""
     return max((len(labels) for labels in model.stages[0].labelsArray), default=0)
+
+
+def level_slots(df: DataFrame, cats: Sequence[str], first: int = 0) -> DataFrame:
+    """(factor, level, slot): the stored dictionary of dummy coding against each factor's first level.
+
+    Slots go by factor in the order of `cats`, then by level, from `first` up. The levels are numbered by ranges, and
+    none reaches the driver.
+    """
+    text = as_factors(df, cats).select(*cats).unpivot([], list(cats), "factor", "level")
+    place = F.array_position(F.array(*[F.lit(c) for c in cats]), F.col("factor")).cast("int")
+    levels = store(text.where("level is not null").distinct().withColumn("place", place), "levels")
+    base = levels.groupBy("factor").agg(F.min("level").alias("base"))  # a row per factor
+    coded = levels.join(F.broadcast(base), "factor").where("level > base").drop("base")
+    numbered = dense_row_id(coded, ["place", "level"], "slot", unique=True)
+    return store(numbered.select("factor", "level", (F.col("slot") - 1 + first).alias("slot")), "slots")
+
+
+def design_triplets(df: DataFrame, key: str, cats: Sequence[str], nums: Sequence[str] = (),
+                    slots: DataFrame | None = None) -> DataFrame:
+    """(key, slot, value): the design matrix without its zeros, whatever the number of levels.
+
+    Numbers take the first slots, in order; then the levels by `level_slots`, whose result may be given. A
+    missing number or level, and a factor's first level, has no entry.
+    """
+    slots = level_slots(df, cats, len(nums)) if slots is None else slots
+    numbers = [F.struct(F.lit(i).cast("long").alias("slot"), F.col(c).cast("double").alias("value")) for i, c in enumerate(nums)]
+    long = as_factors(df, cats).select(key, *cats).unpivot([key], list(cats), "factor", "level").where("level is not null")
+    coded = join_any_size(long, slots, ["factor", "level"]).select(key, "slot", F.lit(1.0).alias("value"))
+    if not nums:
+        return coded
+    return df.select(key, F.inline(F.array(*numbers))).where("value <> 0").unionByName(coded)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stopline.functions.calendar import round_hour
 from stopline.operators.skew import join_any_size, key_counts, mark_counted
+from stopline.session import store
 
 
 def join_common(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -72,3 +73,21 @@ def profile_neighbours(profiles: DataFrame, cols: Sequence[str], key: str = "id"
     left = masked.select(F.col(key).alias("i"), "differs", "rest")
     right = masked.select(F.col(key).alias("j"), "differs", "rest")
     return left.join(right, ["differs", "rest"]).where("i < j").select("i", "j", "differs")
+
+
+def neighbour_classes(profiles: DataFrame, cols: Sequence[str], key: str = "id") -> DataFrame:
+    """Profiles one column apart as classes: (key, differs, class, links), one row per profile and hidden column.
+
+    Profiles that agree in all columns but `differs` are one class, named by its least
+    key; `links` is the number of other members, each of which is one column away. Profiles that are alone
+    under a column have no row there. So a class writes as many rows as it has members,
+    where the pairs would grow with their square.
+    """
+    views = [F.struct(F.lit(c).alias("differs"), F.xxhash64(F.lit(i), *[F.col(o) for o in cols if o != c]).alias("h"),
+                      F.to_json(F.struct(*[F.col(o) for o in cols if o != c])).alias("rest"))
+             for i, c in enumerate(cols)]
+    masked = profiles.select(key, F.inline(F.array(*views)))
+    classes = masked.groupBy("differs", "h", "rest").agg(
+        F.min(key).alias("class"), (F.count(F.lit(1)) - 1).alias("links")).where("links > 0")
+    return join_any_size(masked, store(classes, "classes"), ["differs", "h", "rest"]).select(
+        key, "differs", "class", "links")

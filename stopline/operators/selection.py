@@ -256,15 +256,20 @@ def split_exact(df: DataFrame, key: str, fraction: float) -> tuple[DataFrame, Da
 
 
 def dense_row_id(df: DataFrame, order: Sequence[str], out: str = "row_id",
-                 partitions: int | None = None) -> DataFrame:
-    """Row numbers 1..n in `order`, by one range shuffle.
+                 partitions: int | None = None, unique: bool = False) -> DataFrame:
+    """Row numbers 1..n in `order`, by one range shuffle; equal order values are numbered in any order.
 
-    Sorted ranges are written to the shared folder, so that range membership
+    Unless `order` is `unique`, the input is first written with a hash of each
+    row's place, and ranges are cut by order value and hash: a run of equal values, or of equal rows,
+    however long, falls into as many ranges as its share of the rows. Sorted ranges are written to the shared folder, so that range membership
     is fixed; each row's place inside its range is the low part of Spark's row
     id, and the rows before a range come from the counts per range.
     """
+    if not unique:
+        df = cut_lineage(df.withColumn("_salt", F.xxhash64(F.monotonically_increasing_id())))
+        order = [*order, "_salt"]
     ranged = df.repartitionByRange(*([partitions] if partitions else []), *order)
-    ranged = ranged.sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    ranged = ranged.sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()).drop("_salt")
     fixed = cut_lineage(ranged)
     part = F.shiftright("_id", 33)
     sizes = fixed.groupBy(part.alias("p")).count().orderBy("p").collect()

@@ -127,8 +127,12 @@ def factor_summary(df: DataFrame, col: str, maxsum: int = 100) -> DataFrame:
     "(Other)". Only `maxsum` rows are ever ranked together: a distributed top-k
     names them, and all other levels are summed in partial aggregates.
     """
-    counts = df.groupBy(F.col(col).cast("string").alias("level")).agg(
-        F.count(F.lit(1)).alias("n"))
+    return fold_levels(df.groupBy(F.col(col).cast("string").alias("level")).agg(
+        F.count(F.lit(1)).alias("n")), maxsum)
+
+
+def fold_levels(counts: DataFrame, maxsum: int = 100) -> DataFrame:
+    """`factor_summary` of levels that are counted already: (level, n)."""
     order = [F.desc("n"), F.asc("level")]
     top = (
         counts.where(F.col("level").isNotNull()).orderBy(*order).limit(maxsum)
@@ -252,6 +256,56 @@ def topk_by_flags(df: DataFrame, col: str, flags: Mapping[str, Column], k: int)
     return topk(rows, "level", k, by="flag")
 
 
+# ---- one count for many lists ----
+
+def level_cube(df: DataFrame, cols: Sequence[str], flags: Mapping[str, Column] | None = None,
+               flagged: Sequence[str] = (), by: str | None = None, split: Sequence[str] = (),
+               nested: Sequence[tuple[str, str]] = ()) -> DataFrame:
+    """(column, outer, level, by, mask, n): the level counts of many columns from one scan.
+
+    Each row counts once per column. The columns in `flagged` are also counted by which of the flags hold (bit i of `mask`
+    for flag i), those in `split` by the value of `by`; a pair in `nested` is a column named `outer>inner`
+    whose `outer` is the first one's level. Map-side counts, one shuffle; store it, and derive the lists.
+    """
+    text = lambda c: F.col(c).cast("string")
+    mask = F.lit(0)
+    for i, cond in enumerate((flags or {}).values()):
+        mask = mask + F.when(cond, 1 << i).otherwise(0)
+    nothing = F.lit(None).cast("string")
+
+    def cell(name, outer, level, within, which):
+        return F.struct(F.lit(name).alias("column"), outer.alias("outer"), level.alias("level"),
+                        within.alias("by"), which.cast("int").alias("mask"))
+
+    cells = [cell(c, nothing, text(c), text(by) if c in split else nothing, mask if c in flagged else F.lit(0))
+             for c in cols] + [cell(f"{a}>{b}", text(a), text(b), nothing, F.lit(0)) for a, b in nested]
+    return df.select(F.inline(F.array(*cells))).groupBy("column", "outer", "level", "by", "mask").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+def cube_levels(cube: DataFrame, column: str) -> DataFrame:
+    """(level, n) of one column."""
+    return cube.where(F.col("column") == column).groupBy("level").agg(F.sum("n").alias("n"))
+
+
+def _first_of(counts: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
+    order = Window.partitionBy(*keys).orderBy(F.desc("n"), F.asc("level"))
+    return counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def cube_topk(cube: DataFrame, k: int, keys: Sequence[str] = ("column",)) -> DataFrame:
+    """(*keys, level, n, rank): the `k` most frequent levels by column, and by what else `keys` names."""
+    counts = cube.where(F.col("level").isNotNull()).groupBy(*keys, "level").agg(F.sum("n").alias("n"))
+    return _first_of(counts, keys, k)
+
+
+def cube_flags(cube: DataFrame, flags: Sequence[str]) -> DataFrame:
+    """The cube's flagged counts once for every flag that holds, named in `flag`."""
+    names = F.filter(F.array(*[F.when(F.col("mask").bitwiseAND(F.lit(1 << i)) != 0, F.lit(f))
+                               for i, f in enumerate(flags)]), lambda x: x.isNotNull())
+    return cube.withColumn("flag", F.explode(names))
+
+
 def arg_max_level(df: DataFrame, col: str) -> DataFrame:
     """The single most frequent level (level, n); the last name wins a tie."""
     best = F.max(F.struct(F.col("n"), F.col(col).alias("level")))

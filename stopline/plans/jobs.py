@@ -114,8 +114,21 @@ def explore(frame: DataFrame, key: str = KEY) -> dict[str, DataFrame]:
     return out
 
 
-def descriptive(df: DataFrame, k: int = 5) -> dict[str, DataFrame]:
-    """Time extent, level counts, numeric summaries and the top-k lists."""
+LEVEL_LISTS = ("sub_agency", "conditions", "accident", "personal_injury", "property_damage",
+               "fatal", "alcohol", "search_conducted", "race", "gender", "arrest_reason")
+FREQUENCY_LISTS = ("search_disposition", "search_type", "state", "driver_city")
+TOP_LISTS = ("description", "location", "search_reason", "color", "vehicle_type")
+RACE_LISTS = ("location", "description", "search_disposition", "search_reason")
+WEATHER_SUMMARY = ("temperature", "wind_chill", "heat_index", "precipitation", "snow_depth", "wind_speed",
+                   "cloud_cover")
+
+
+def descriptive(df: DataFrame, k: int = 5, nested_k: int = 3) -> dict[str, DataFrame]:
+    """Time extent, level counts, numeric summaries and the top-k lists.
+
+    One stored cube of level counts, from one scan, gives all lists; the extent is one scan,
+    the quartiles are a few scans common to all columns.
+    """
     def is_yes(c: str):
         return F.col(c) == "Yes"
 
@@ -124,30 +137,64 @@ def descriptive(df: DataFrame, k: int = 5) -> dict[str, DataFrame]:
     flags["arrest"] = F.col("arrest")
     flags["arrest_reason=Stop"] = F.col("arrest_reason") == "Stop"
     flags["gender=F"] = F.col("gender") == "F"
-    out = {"extent": stats.time_extent(df, "date_time")}
-    for c in ("sub_agency", "conditions", "accident", "personal_injury", "property_damage",
-              "fatal", "alcohol", "search_conducted", "race", "gender", "arrest_reason"):
-        out[f"levels_{c}"] = stats.factor_summary(df, c)
-    out["numbers"] = stats.numeric_summary(
-        df, ["temperature", "wind_chill", "heat_index", "precipitation", "snow_depth",
-             "wind_speed", "cloud_cover"])
-    out["arrest"] = stats.logical_summary(df, "arrest")
-    out["top_sub_agency"] = stats.arg_max_level(df, "sub_agency")
-    out["top_injury_sub_agency"] = stats.arg_max_level(df.where(is_yes("personal_injury")),
-                                                       "sub_agency")
-    for c in ("search_disposition", "search_type", "state", "driver_city"):
-        out[f"frequency_{c}"] = stats.frequency(df, c)
-    for c in ("description", "location", "search_reason", "color", "vehicle_type"):
-        out[f"top_{c}"] = stats.topk(df, c, k)
+    cols = sorted({*LEVEL_LISTS, *FREQUENCY_LISTS, *TOP_LISTS, *RACE_LISTS, "arrest"})
+    cube = store(stats.level_cube(
+        df, cols, flags, ["location", "description", "sub_agency"], "race", RACE_LISTS,
+        [("location", "description")]), "cube")
+    out = {"extent": stats.time_extent(df, "date_time"), "cube": cube}
+    for c in LEVEL_LISTS:
+        out[f"levels_{c}"] = stats.fold_levels(stats.cube_levels(cube, c))
+    out["numbers"] = stats.numeric_summary(df, WEATHER_SUMMARY)
+    out["arrest"] = stats.cube_levels(cube, "arrest").select(F.col("level").cast("boolean").alias("value"), "n")
+    agencies = cube.where("column = 'sub_agency' and level is not null")
+    for name, rows in (("top_sub_agency", agencies), ("top_injury_sub_agency", stats.cube_flags(agencies, list(flags)).where(
+            "flag = 'personal_injury'"))):
+        best = F.max(F.struct("n", "level"))  # the last name wins a tie
+        out[name] = rows.groupBy("level").agg(F.sum("n").alias("n")).agg(best.alias("b")).select("b.level", "b.n")
+    for c in FREQUENCY_LISTS:
+        out[f"frequency_{c}"] = stats.cube_levels(cube, c).withColumnRenamed("level", c).orderBy(F.desc("n"), c)
+    first = store(stats.cube_topk(cube.where(F.col("column").isin(*TOP_LISTS)), k), "top")
+    for c in TOP_LISTS:
+        out[f"top_{c}"] = first.where(F.col("column") == c).select(F.col("level").alias(c), "n").orderBy(F.desc("n"), c)
+    flagged = stats.cube_topk(stats.cube_flags(
+        cube.where("column in ('location', 'description')"), list(flags)), k, ["column", "flag"])
     for c in ("location", "description"):
-        out[f"top_{c}_by_flag"] = stats.topk_by_flags(df, c, flags, k)
-    for c in ("location", "description", "search_disposition", "search_reason"):
-        out[f"top_{c}_by_race"] = stats.topk(df, c, k, by="race")
-    places = joins.semi_lookup(df, out["top_location"], "location")
-    out["top_description_at_top_locations"] = stats.topk(places, "description", 3, by="location")
+        out[f"top_{c}_by_flag"] = flagged.where(F.col("column") == c).drop("column")
+    races = stats.cube_topk(cube.where(F.col("column").isin(*RACE_LISTS)), k, ["column", "by"])
+    for c in RACE_LISTS:
+        out[f"top_{c}_by_race"] = races.where(F.col("column") == c).select(
+            F.col("by").alias("race"), F.col("level").alias(c), "n", "rank")
+    pairs = cube.where("column = 'location>description'").join(
+        F.broadcast(first.where("column = 'location'").select(F.col("level").alias("outer"))), "outer")  # k rows
+    out["top_description_at_top_locations"] = stats.cube_topk(pairs, nested_k, ["outer"]).select(
+        F.col("outer").alias("location"), F.col("level").alias("description"), "n", "rank")
     return out
 
 
+def descriptive_report(found: dict[str, DataFrame]) -> DataFrame:
+    """All lists of `descriptive` as (section, level, n, value)."""
+    def part(df, section, level, n="n", value=None):
+        section = section if not isinstance(section, str) else F.lit(section)
+        return df.select(section.alias("section"), level.cast("string").alias("level"),
+                         (F.col(n) if n else F.lit(None)).cast("long").alias("n"),
+                         (F.lit(None) if value is None else value).cast("double").alias("value"))
+
+    parts = [part(found[f"top_{c}"], "top", F.col(c)) for c in TOP_LISTS]
+    parts += [part(found[f"top_{c}_by_flag"], F.col("flag"), F.col("level")) for c in ("location", "description")]
+    parts += [part(found[f"top_{c}_by_race"].where("race is not null"), F.col("race"), F.col(c)) for c in RACE_LISTS]
+    parts += [part(found[f"levels_{c}"], c, F.col("level")) for c in LEVEL_LISTS]
+    parts += [part(found[f"frequency_{c}"], f"frequency_{c}", F.col(c)) for c in FREQUENCY_LISTS]
+    parts.append(part(found["arrest"], "arrest", F.col("value")))
+    parts += [part(found["extent"], f"extent_{end}", F.date_format(end, "yyyy-MM-dd HH:mm:ss"), None)
+              for end in ("first", "last")]
+    parts += [part(found[name], name, F.col("level")) for name in ("top_sub_agency", "top_injury_sub_agency")]
+    parts.append(part(found["top_description_at_top_locations"], F.concat(F.lit("at "), "location"), F.col("description")))
+    cells = F.inline(F.array(*[F.struct(F.lit(m).alias("m"), F.col(m).cast("double").alias("v"))
+                               for m in ("min", "q1", "median", "mean", "q3", "max", "n_null")]))
+    parts.append(part(found["numbers"].select("column", cells), F.concat(F.lit("summary_"), "column"), F.col("m"), None, F.col("v")))
+    return stats.union_reports(*parts)
+
+
 # ---- models ----
 
 def model_frame(frame: DataFrame, key: str = KEY) -> DataFrame:
