@@ -5,9 +5,10 @@ factors of sources, languages and topics are set in turn so that the weighted
 tokens meet each marginal, until all three hold. A document is kept with the
 probability that its cell's weight asks for, by a hash of its id.
 
-The table of cells is bounded, whatever the rows: at most `LEVELS` levels of each
-marginal by tokens, the rest in one level `(other)`. Raking runs on those cells;
-documents meet their cell's probability by a broadcast and are never shuffled.
+Every level that is found is raked to its own marginal, however many there are. The
+cells that occur are a stored table. Up to `CELLS` of them are raked as arrays on the driver;
+more are raked in Spark, by grouped sums per axis. Documents meet their cell's probability by a broadcast if the
+cells measure few bytes, else by a join.
 
 Targets are given as shares, or made from the counts: shares proportional to
 tokens ** `temperature`. There is no topic in the tables, so the form of the text
@@ -15,8 +16,9 @@ tokens ** `temperature`. There is no topic in the tables, so the form of the tex
 
 Defined results. Null levels are a level of their own, `(null)`. Documents without
 tokens have weight like any of their cell. Repeated rows share one id and so are
-kept or dropped together. An empty table gives no rows. Target levels without
-tokens are left out and the others scaled up.
+kept or dropped together; a document without id is drawn by its text. An empty table gives no rows. Target levels without
+tokens are left out and the others scaled up; levels without a target, where the axis has targets, get weight 0. Texts of
+any length are read whole. ValueError if the documents have the column `into`.
 """
 
 from __future__ import annotations
@@ -27,13 +29,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stopline.llm.common import store
+from stopline.session import broadcast_if_small
 
-LEVELS = 64
+CELLS = 1_000_000   # cells that the driver rakes: some 100 MB of arrays
 TEMPERATURES = {"source": 0.7, "lang": 0.8, "topic": 1.0}
 BUDGET = 0.7
 ROUNDS = 500
 TOLERANCE = 1e-9
-OTHER, NULL = "(other)", "(null)"
+NULL = "(null)"
 AXES = ("source", "lang", "topic")
 
 
@@ -51,24 +54,28 @@ def form(text: Column) -> Column:
 
 
 def rake(cells: np.ndarray, targets: list[np.ndarray], rounds: int = ROUNDS) -> np.ndarray:
-    """Weights of the cells whose weighted marginals are the targets (shares of one total)."""
-    weighted = cells.astype(float)
+    """Weights of a dense table of cells whose weighted marginals are the targets (shares of one total)."""
+    codes = [c.ravel() for c in np.indices(cells.shape)]
+    return rake_cells(cells.ravel(), codes, targets, rounds).reshape(cells.shape)
+
+
+def rake_cells(tokens: np.ndarray, codes: list[np.ndarray], targets: list[np.ndarray],
+               rounds: int = ROUNDS) -> np.ndarray:
+    """The same for the cells that occur: `codes` has each cell's level on every axis."""
+    weighted = tokens.astype(float)
     if not weighted.sum():
         return np.ones_like(weighted)
     goal = [t / t.sum() * weighted.sum() for t in targets]
     for _ in range(rounds):
         worst = 0.0
-        for axis, want in enumerate(goal):
-            others = tuple(k for k in range(weighted.ndim) if k != axis)
-            have = weighted.sum(axis=others)
+        for code, want in zip(codes, goal):
+            have = np.bincount(code, weighted, len(want))
             factor = np.divide(want, have, out=np.ones_like(want), where=have > 0)
             worst = max(worst, float(np.abs(factor[have > 0] - 1).max(initial=0)))
-            shape = [1] * weighted.ndim
-            shape[axis] = -1
-            weighted = weighted * factor.reshape(shape)
+            weighted = weighted * factor[code]
         if worst < TOLERANCE:
             break
-    return np.divide(weighted, cells, out=np.zeros_like(weighted), where=cells > 0)
+    return np.divide(weighted, tokens, out=np.zeros_like(weighted), where=tokens > 0)
 
 
 def calibrate(weights: np.ndarray, cells: np.ndarray, budget: float) -> np.ndarray:
@@ -87,9 +94,69 @@ def _named(col: Column) -> Column:
     return F.coalesce(col.cast("string"), F.lit(NULL))
 
 
-def _levels(rows: DataFrame, axis: str) -> list[str]:
-    top = rows.groupBy(axis).agg(F.sum("tokens").alias("t")).orderBy(F.desc("t"), axis).limit(LEVELS).collect()
-    return sorted(r[0] for r in top)
+def goal_of(axis: str, levels: list[str], have: np.ndarray, targets) -> np.ndarray:
+    """Target shares of the levels of one axis, made from their tokens where none are given."""
+    if targets and axis in targets:
+        goal = np.array([targets[axis].get(x, 0.0) for x in levels]) * (have > 0)
+    else:
+        goal = np.where(have > 0, np.power(np.maximum(have, 1), TEMPERATURES[axis]), 0)
+    return goal if goal.sum() else have
+
+
+def raked_here(cells: DataFrame, targets, budget: float) -> DataFrame:
+    """(source, lang, topic, w, p) of at most `CELLS` cells, by arrays."""
+    found = cells.toArrow()
+    tokens = found["tokens"].to_numpy().astype(float)
+    names, codes, goals = [], [], []
+    for a in AXES:
+        levels, code = np.unique(np.array(found[a].to_pylist(), object).astype(str), return_inverse=True)
+        names.append(levels.tolist())
+        codes.append(code)
+        goals.append(goal_of(a, names[-1], np.bincount(code, tokens, len(levels)), targets))
+    weights = rake_cells(tokens, codes, goals) if tokens.sum() else np.ones_like(tokens)
+    chances = calibrate(weights, tokens, budget) if tokens.sum() else weights
+    return cells.sparkSession.createDataFrame(pa.table(
+        [*[found[a] for a in AXES], pa.array(np.round(weights, 9)), pa.array(np.round(chances, 9))],
+        names=[*AXES, "w", "p"]))
+
+
+def raked_in_spark(cells: DataFrame, targets, budget: float, rounds: int = ROUNDS, enough: float = 1e-6) -> DataFrame:
+    """The same for any number of cells: factors of an axis come from grouped sums and are joined back."""
+    total = cells.agg(F.sum("tokens")).first()[0] or 0
+    now = cells.select(*AXES, F.col("tokens").cast("double").alias("tokens"),
+                       F.col("tokens").cast("double").alias("x"))
+    goals = {}
+    for a in AXES:
+        have = now.groupBy(a).agg(F.sum("x").alias("have"))
+        if targets and a in targets:
+            given = list(targets[a].items())
+            wanted = cells.sparkSession.createDataFrame(given or [("", 0.0)], f"{a} string, goal double")
+            goal = have.join(F.broadcast(wanted), a, "left").select(
+                a, "have", F.when(F.col("have") > 0, F.coalesce("goal", F.lit(0.0))).otherwise(0.0).alias("goal"))
+        else:
+            goal = have.select(a, "have", F.when(F.col("have") > 0, F.pow("have", F.lit(TEMPERATURES[a]))).otherwise(0.0).alias("goal"))
+        goal = store(goal, "goals")
+        whole = goal.agg(F.sum("goal")).first()[0] or 0.0
+        goals[a] = goal.select(a, (F.col("goal") * (total / whole) if whole else F.col("have")).alias("goal"))
+    for _ in range(rounds if total else 0):
+        worst = 0.0
+        for a in AXES:
+            sums = now.groupBy(a).agg(F.sum("x").alias("have")).join(goals[a], a).where("have > 0")
+            factors = store(sums.select(a, (F.col("goal") / F.col("have")).alias("f")), "factors")
+            worst = max(worst, factors.agg(F.max(F.abs(F.col("f") - 1))).first()[0] or 0.0)
+            now = store(now.join(broadcast_if_small(factors), a, "left").select(
+                *AXES, "tokens", (F.col("x") * F.coalesce("f", F.lit(1.0))).alias("x")), "cells")
+        if worst < enough:
+            break
+    weight = F.when(F.col("tokens") > 0, F.col("x") / F.col("tokens")).otherwise(0.0) if total else F.lit(1.0)
+    now = store(now.select(*AXES, "tokens", weight.alias("w")), "cells")
+    low, high = 0.0, 1.0
+    for step in range(8 if total else 0):  # 32 scales a pass narrow the one that meets the budget
+        tries = [high * 2.0 ** i for i in range(32)] if step == 0 else [low + (high - low) * i / 32 for i in range(1, 33)]
+        sums = now.agg(*[F.sum(F.least(F.lit(1.0), F.col("w") * c) * F.col("tokens")) for c in tries]).first()
+        first = next((i for i, s in enumerate(sums) if s >= budget * total), len(tries) - 1)
+        low, high = (tries[first - 1] if first else low), tries[first]
+    return now.select(*AXES, F.round("w", 9).alias("w"), F.round(F.least(F.lit(1.0), F.col("w") * high), 9).alias("p"))
 
 
 def mixed(docs: DataFrame, topic: Column | None = None, targets: dict[str, dict[str, float]] | None = None,
@@ -101,39 +168,17 @@ def mixed(docs: DataFrame, topic: Column | None = None, targets: dict[str, dict[
     facts = F.struct(_named(F.col("source")).alias("source"), _named(F.col("lang")).alias("lang"),
                      _named(topic).alias("topic"), n_tokens(F.col(text)).alias("n_tokens"))
     marked = docs.select(*[F.col(f"`{c}`") for c in docs.columns], facts.alias(into))
-    # one row per combination of levels found; sources may be many, so levels are named first
     counts = marked.groupBy(*[F.col(f"{into}.{a}").alias(a) for a in AXES]).agg(
-        F.sum(f"{into}.n_tokens").alias("tokens"), F.count("*").alias("n"))
-    counts = store(counts, "cells")
-    levels = {a: _levels(counts, a) for a in AXES}
-    level = lambda a, col: F.when(col.isin(levels[a]), col).otherwise(OTHER)
-    found = counts.groupBy(*[level(a, F.col(a)).alias(a) for a in AXES]).agg(
-        F.sum("tokens").alias("tokens")).collect()  # (LEVELS + 1) ** 3 rows at most
-    names = {a: [*levels[a], OTHER] for a in AXES}
-    cells = np.zeros([len(names[a]) for a in AXES])
-    for r in found:
-        cells[tuple(names[a].index(r[a]) for a in AXES)] += r["tokens"]
-    goals = []
-    for k, a in enumerate(AXES):
-        have = cells.sum(axis=tuple(i for i in range(3) if i != k))
-        if targets and a in targets:
-            goal = np.array([targets[a].get(x, 0.0) for x in names[a]]) * (have > 0)
-        else:
-            goal = np.where(have > 0, np.power(np.maximum(have, 1), TEMPERATURES[a]), 0)
-        goals.append(goal if goal.sum() else have)
-    weights = rake(cells, goals) if cells.sum() else np.ones_like(cells)
-    chances = calibrate(weights, cells, budget) if cells.sum() else weights
-    table = []
-    for r in found:
-        at = tuple(names[a].index(r[a]) for a in AXES)
-        table.append((*(r[a] for a in AXES), round(float(weights[at]), 9), round(float(chances[at]), 9)))
-    columns = list(zip(*table)) or [()] * 5
-    kinds = [pa.string()] * 3 + [pa.float64()] * 2
-    probabilities = docs.sparkSession.createDataFrame(pa.table(
-        [pa.array(c, t) for c, t in zip(columns, kinds)], names=["_s", "_l", "_t", "_w", "_p"]))
-    on = [level(a, F.col(f"{into}.{a}")).eqNullSafe(F.col(c)) for a, c in zip(AXES, ("_s", "_l", "_t"))]
-    uniform = F.pmod(F.xxhash64(F.lit("mix"), F.col("doc_id")), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    done = marked.join(F.broadcast(probabilities), on[0] & on[1] & on[2], "left")
+        F.sum(f"{into}.n_tokens").alias("tokens"))
+    cells = store(counts, "cells")  # one row per combination of levels found
+    few = cells.limit(CELLS + 1).count() <= CELLS
+    raked = raked_here(cells, targets, budget) if few else store(raked_in_spark(cells, targets, budget), "raked")
+    probabilities = broadcast_if_small(raked.toDF("_s", "_l", "_t", "_w", "_p"))
+    on = [F.col(f"{into}.{a}") == F.col(c) for a, c in zip(AXES, ("_s", "_l", "_t"))]
+    drawn = F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit("mix"), F.col(text))).otherwise(
+        F.xxhash64(F.lit("mix"), F.col("doc_id")))
+    uniform = F.pmod(drawn, F.lit(1 << 40)) / F.lit(float(1 << 40))
+    done = marked.join(probabilities, on[0] & on[1] & on[2], "left")
     return done.select(*[F.col(f"`{c}`") for c in docs.columns], F.struct(
         *[F.col(f"{into}.{a}").alias(a) for a in AXES], F.col(f"{into}.n_tokens").alias("n_tokens"),
         F.col("_w").alias("weight"), F.col("_p").alias("probability"),
