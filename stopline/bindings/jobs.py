@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from stopline import schema
 from stopline.bindings.common import STOPS_RAW, WEATHER_RAW, kept, query, stops_raw, weather_raw
-from stopline.operators import stats
+from stopline.operators import cleaning, stats
 from stopline.plans import jobs
-from stopline.session import store
+from stopline.session import discard_at_exit, new_path, store
+from stopline.sources import tables
 
 _NUMBERS = ", ".join(f"coalesce({c}, 0) AS {c}" for c in schema.WEATHER_NUMBERS)
 MERGED = f"""SELECT s.* EXCLUDE (x, date_of_stop, time_of_stop, dt), w.* EXCLUDE (address)
@@ -91,6 +92,50 @@ def job_features(spark, sf):
     return featured(spark, sf)
 
 
+def _score_sql(stage, frame):
+    """Missing and wrong cells of a frame, whatever its columns."""
+    def outside(c, low, high):
+        return (f"count(*) FILTER (WHERE {c} < {low}) + count(*) FILTER (WHERE {c} > {high}) "
+                f"- count(*) FILTER (WHERE {c} = 0)")
+    wrong = " + ".join(
+        [outside("latitude", "38.90e0", "39.50e0"), outside("longitude", "-77.52e0", "-76.88e0"),
+         outside("year", 1929, 2020), "count(*) FILTER (WHERE latitude = 0) + count(*) FILTER (WHERE longitude = 0)"]
+        + [f"count(*) - count(*) FILTER (WHERE {c} IN ({_CODES}))" for c in ("state", "driver_state", "dl_state")])
+    return f"""SELECT '{stage}' AS stage, cast(missing + wrong AS bigint) AS bad_cells, cast(n * width AS bigint) AS cells,
+      round((missing + wrong) * 100.0e0 / (n * width), 2) AS percent_bad
+    FROM (SELECT list_sum(list_value(*COLUMNS(*))) AS missing, len(list_value(*COLUMNS(*))) AS width
+      FROM (SELECT count(*) - count(COLUMNS(*)) FROM ({frame}) f) m) a, (SELECT count(*) AS n, {wrong} AS wrong FROM ({frame}) f) b"""
+
+
+@query(_score_sql("merged", f"SELECT * REPLACE (try_cast(year AS int) AS year) FROM ({MERGED}) r")
+       + " UNION ALL " + _score_sql("cleaned", CLEANED))
+def job_clean_score(spark, sf):
+    """The quality score before and after cleaning."""
+    before = stored(cleaning.cast_types(merged(spark, sf), {"year": "int"}), "merged")
+    return stats.union_reports(*[
+        jobs.score(df).select(F.lit(stage).alias("stage"), "*")
+        for stage, df in (("merged", before), ("cleaned", stored(jobs.clean(before), "cleaned")))])
+
+
+@query(f"SELECT short_charge, count(*) AS n FROM ({FEATURED}) f GROUP BY 1")
+def job_features_frequency(spark, sf):
+    """How often each short charge code occurs."""
+    return stats.frequency(featured(spark, sf), "short_charge")
+
+
+@query(MERGED)
+def job_merge_weather_csv(spark, sf):
+    """The merge from CSV files to a CSV file: both inputs and the result are written and read again."""
+    def through_csv(df, name):
+        path = new_path(spark, name)
+        tables.write_table(df, path)
+        discard_at_exit(spark, path)
+        return tables.read_table(spark, path, df.schema)
+
+    stops, weather = through_csv(stops_raw(spark, sf), "stops-csv"), through_csv(weather_raw(spark, sf), "weather-csv")
+    return through_csv(jobs.merge_weather(stops, weather), "merged-csv")
+
+
 def _rate(section, level, frame="e", key=None):
     return f"""SELECT '{section}' AS section, cast({key or level} AS string) AS level,
     count(*) FILTER (WHERE violation_type = 'Citation') AS n,
