@@ -463,12 +463,3 @@ def test_segmentation_is_the_likeliest_split():
     assert url_filter.segment("therapist", log_p, 1e4) == ["therapist"]
     assert url_filter.segment("thea", log_p, 1e4) == ["the", "a"]
     assert "".join(url_filter.segment("q" * 60, log_p, 1e4)) == "q" * 60
-
-
-def test_dictionary_holds_whole_levels(spark):
-    texts = spark.createDataFrame([("<p>a a a a B b</p>",), ("a a a a b b c d",), (None,), ("",)], "html string")
-    for size, want in ((4, "abcd"), (3, "ab"), (1, "a"), (0, "")):
-        log_p, total = url_filter.dictionary(texts, "html", size)
-        assert (set(log_p), total) == (set(want), 14.0)
-    assert log_p == {} and url_filter.dictionary(texts, "html", 1)[0]["a"] == pytest.approx(np.log(8 / 14))
-    assert url_filter.dictionary(texts.limit(0), "html") == ({}, 1.0)
