@@ -287,12 +287,18 @@ def forest_scores(spark: SparkSession, models: Mapping, votes: Mapping, test: Da
 
     `votes`: (trees, mtry) -> (out-of-bag votes, place of the forest's size in them).
     """
-    rows = []
-    for (count, mtry), model in models.items():
-        oob, at = votes[count, mtry]
-        e = oob.where(F.get("seen", F.lit(at)) > 0).agg(F.avg((
-            (2 * F.get("positive", F.lit(at)) > F.get("seen", F.lit(at))).cast("double") != F.col("label")).cast("double"))).first()[0]
-        s = score_counts(model, test, label)
-        rows.append((count, mtry, e, 1 - s["accuracy"], s["accuracy"], s["kappa"], s["tp"], s["fp"], s["fn"], s["tn"]))
+    return scores_table(spark, [(*g, oob_error(*votes[g]), score_counts(model, test, label)) for g, model in models.items()])
+
+
+def oob_error(votes: DataFrame, at: int = 0) -> float:
+    """Share of the rows whose out-of-bag class is wrong, of those that some tree has not seen."""
+    return votes.where(F.get("seen", F.lit(at)) > 0).agg(F.avg((
+        (2 * F.get("positive", F.lit(at)) > F.get("seen", F.lit(at))).cast("double") != F.col("label")).cast("double"))).first()[0]
+
+
+def scores_table(spark: SparkSession, found: Sequence[tuple]) -> DataFrame:
+    """The rows of `forest_scores` from (trees, mtry, out-of-bag error, counts and metrics on the held-out rows)."""
+    rows = [(count, mtry, e, 1 - s["accuracy"], s["accuracy"], s["kappa"], s["tp"], s["fp"], s["fn"], s["tn"])
+            for count, mtry, e, s in found]
     return small_table(spark, rows, "trees int, mtry int, oob_error double, holdout_error double, accuracy double, "
                                     "kappa double, tp bigint, fp bigint, fn bigint, tn bigint")
