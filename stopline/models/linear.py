@@ -172,7 +172,10 @@ def logistic_glm(train: DataFrame, label: str = "label", features: str = "featur
     if terms is None:
         return Pipeline(stages=[glm]).fit(train)
     pick = VectorSlicer(inputCol=features, outputCol=f"{features}_used", indices=list(terms))
-    return Pipeline(stages=[pick, glm.setFeaturesCol(f"{features}_used")]).fit(train)
+    rows = pick.transform(train).select(label, f"{features}_used").persist()  # read once for all iterations
+    model = PipelineModel([pick, glm.setFeaturesCol(f"{features}_used").fit(rows)])
+    model.training_rows = rows  # the summary reads them; release with `unpersist`
+    return model
 
 
 def glm_coefficients(spark: SparkSession, model: PipelineModel, names: Sequence[str],

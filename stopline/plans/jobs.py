@@ -396,12 +396,13 @@ def logistic(train: DataFrame, test: DataFrame, names: Sequence[str], g: linear.
                                 terms=terms)
     scored = model.transform(test).withColumn(
         "predicted", evaluate.threshold_class(F.col("prediction")))
+    coefficients, fit = linear.glm_coefficients(spark, model, names, terms), linear.glm_fit_statistics(spark, model)
+    model.training_rows.unpersist()
     return {
         "model": model,
         "error": evaluate.test_error(scored, "predicted", "violation_type"),
         "table": evaluate.confusion_table(scored, "predicted", "violation_type"),
-        "coefficients": linear.glm_coefficients(spark, model, names, terms),
-        "fit": linear.glm_fit_statistics(spark, model),
+        "coefficients": coefficients, "fit": fit,
     }
 
 
