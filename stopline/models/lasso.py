@@ -1,7 +1,7 @@
 """The whole L1 path of a logistic model, with its cross-validation, all penalties advancing together.
 
 One model a penalty for every fold and for all rows, started at the mean. A step is
-one pass over the rows: it scores every row under all models and adds up, by Spark, the
+one pass over the rows: it scores every row under all models that are not done and adds up, by Spark, the
 models' gradients, their losses, the held-out losses of the folds, and weighted
 cross-products at `KNOTS` models: at first spread along the path of all rows, then among the
 models that are not done, for each fold its own. A model then
@@ -33,6 +33,7 @@ SHARED_STEPS = 3     # steps in which all folds steer by the models of all rows
 TOLERANCE = 1e-3     # of a model's own penalty
 CELLS = 1 << 21      # numbers of a dense block of rows inside a task
 BLOCK = 1 << 16      # numbers in one message of a task
+STEP = 256           # rows scored at a time, so that their numbers stay in the processor's cache
 
 
 @dataclass
@@ -131,17 +132,22 @@ def fold_moments(rows: DataFrame, p: int, folds: int):
 
 # ---- one pass over the rows ----
 
-def pass_over(rows: DataFrame, centre, scale, models: np.ndarray, folds: int, knots: Sequence[int]):
-    """(gradient sums, loss sums, held-out loss sums, cross-products) of all models.
+def pass_over(rows: DataFrame, centre, scale, models: np.ndarray, folds: int, knots: Sequence[int],
+              asked: np.ndarray | None = None):
+    """(gradient sums, loss sums, held-out loss sums, cross-products) of the models `asked` for, all by default.
 
     `models`: (folds + 1, penalties, 1 + p) on centred and scaled columns, the intercept first. `knots` are places in
-    the flat list of models.
+    the flat list of models. What belongs to a model not asked for is zero.
     """
     groups, penalties, q = models.shape
     p = q - 1
-    n_models = groups * penalties
-    flat = models.reshape(n_models, q).T.copy()
-    leaves_out = np.repeat(np.arange(groups) - 1, penalties)  # -1: none
+    wanted = np.ones(groups * penalties, bool) if asked is None else asked.ravel().copy()
+    wanted[list(knots)] = True
+    wanted = np.flatnonzero(wanted)
+    n_models = len(wanted)
+    flat = models.reshape(-1, q)[wanted].T.copy()
+    leaves_out = np.repeat(np.arange(groups) - 1, penalties)[wanted]  # -1: none
+    knots = np.searchsorted(wanted, np.asarray(knots, int))
     n_cross = q * q * len(knots)
     shared = rows.sparkSession.sparkContext.broadcast((flat, centre, scale))
 
@@ -153,27 +159,34 @@ def pass_over(rows: DataFrame, centre, scale, models: np.ndarray, folds: int, kn
         for batch in batches:
             for fold, label, x in dense_blocks(batch, p):
                 x = np.hstack([np.ones((len(x), 1)), (x - mid) / unit])
-                step = max(1, CELLS // n_models)
-                for a in range(0, len(x), step):
-                    part, y = x[a:a + step], label[a:a + step, None]
+                pull = np.empty((len(x), len(knots)))
+                for a in range(0, len(x), STEP):
+                    part, y = x[a:a + STEP], label[a:a + STEP, None]
                     link = part @ beta
-                    cost = np.logaddexp(0, link) - y * link
-                    out = fold[a:a + step, None] == leaves_out
-                    held += np.where(out, cost, 0).sum(0)
-                    loss += np.where(out, 0, cost).sum(0)
-                    share = 1 / (1 + np.exp(-link))
-                    gradient += part.T @ np.where(out, 0, share - y)
-                    for i, k in enumerate(knots):
-                        pull = np.where(out[:, k], 0, share[:, k] * (1 - share[:, k]))
-                        cross[i] += part.T @ (part * pull[:, None])
+                    tail = np.exp(-np.abs(link))
+                    cost = np.log1p(tail) + np.maximum(link, 0) - y * link
+                    kept = (fold[a:a + STEP, None] != leaves_out).astype(float)
+                    mine = cost * kept
+                    loss += mine.sum(0)
+                    held += (cost - mine).sum(0)
+                    tail /= 1 + tail
+                    share = np.where(link >= 0, 1 - tail, tail)
+                    pull[a:a + STEP] = (share * (1 - share))[:, knots] * kept[:, knots]
+                    gradient += part.T @ ((share - y) * kept)
+                for i in range(len(knots)):
+                    cross[i] += x.T @ (x * pull[:, i, None])
         return np.concatenate([gradient.ravel(), loss, held, cross.ravel()])
 
     total = added_up(rows, compute, n_models * (q + 2) + n_cross)
     shared.unpersist()
     cuts = np.cumsum([n_models * q, n_models, n_models])
     gradient, loss, held, cross = np.split(total, cuts)
-    return (gradient.reshape(q, n_models).T.reshape(groups, penalties, q), loss.reshape(groups, penalties),
-            held.reshape(groups, penalties), cross.reshape(-1, q, q))
+
+    def spread(found, width=()):
+        out = np.zeros((groups * penalties, *width))
+        out[wanted] = found
+        return out.reshape(groups, penalties, *width)
+    return spread(gradient.reshape(q, n_models).T, (q,)), spread(loss), spread(held), cross.reshape(-1, q, q)
 
 
 def descend(beta: np.ndarray, gradient: np.ndarray, cross: np.ndarray, pick: np.ndarray, limit: np.ndarray,
@@ -237,7 +250,8 @@ def lasso_path(train: DataFrame, key: str, names: Sequence[str], penalties: int
     Columns are penalised by their spread over the rows a model sees. A fold that is empty is refused.
     """
     p = len(names)
-    rows = store(sparse_rows(train, key, folds, label, features), "lasso-rows")
+    rows = store(sparse_rows(train, key, folds, label, features).repartition(
+        4 * train.sparkSession.sparkContext.defaultParallelism), "lasso-rows")
     n, positive, sums, squares = fold_moments(rows, p, folds)
     if (n == 0).any() or not 0 < positive.sum() < n.sum():
         raise ValueError("the lasso needs both classes, and rows in every fold")
@@ -274,15 +288,16 @@ def lasso_path(train: DataFrame, key: str, names: Sequence[str], penalties: int
     gap = np.full(shape, np.inf)
     held = np.zeros(shape)
     plain_loss = np.zeros(shape)
-    trial, steps = models, 0
+    trial, steps, going = models, 0, np.ones(shape, bool)
     penalty_of = lambda m: (np.where(fixed[:, None, :], 0, limit) * np.abs(m)).sum(-1)
     while steps < most_steps:
-        gradient, loss, out, cross = pass_over(rows, centre, scale, trial, folds, [g * penalties + k for g, k in knots])
+        gradient, loss, out, cross = pass_over(
+            rows, centre, scale, trial, folds, [g * penalties + k for g, k in knots], going)
         steps += 1
         cross = cross / seen[[g for g, _ in knots]][:, None, None]
         gradient = gradient / seen[:, None, None]
         value = loss / seen[:, None] + penalty_of(trial)
-        better = value <= best_value + 1e-12 * np.abs(value)
+        better = going & (value <= best_value + 1e-12 * np.abs(value))
         best = np.where(better[..., None], trial, best)
         best_gradient = np.where(better[..., None], gradient, best_gradient)
         best_value = np.where(better, value, best_value)
