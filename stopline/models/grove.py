@@ -6,7 +6,7 @@ its tree there. Nodes stay in a stored table, packed per grown part; no forest r
 tree meets the rows it is to judge in groups of (tree, part of the rows).
 
 Samples are those of `bagging.copies`. Splits go by gini gain, over `mtry` columns that a hash of (seed, tree, node)
-draws; levels are ordered by their share of the positive class. Pairs of leaves of one class are merged. A node has the
+draws; levels are ordered by their number of positive rows in the node. Pairs of leaves of one class are merged. A node has the
 number 2i + 1 or 2i + 2 under node i, the root 0.
 """
 
@@ -164,9 +164,10 @@ class Best:
         cell = np.flatnonzero(weight)
         node, code = np.divmod(cell, self.size)
         w, y = weight[cell], ones[cell]
-        ordered = np.argsort(2.0 * node + np.where(factor[feature[node]], y / w, code / self.size), kind="stable")
-        code, w, y = code[ordered], w[ordered], y[ordered]
         first = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
+        most = np.repeat(np.add.reduceat(y, first) + 1.0, np.diff(np.append(first, len(node))))
+        ordered = np.argsort(2.0 * node + np.where(factor[feature[node]], y / most, code / self.size), kind="stable")
+        code, w, y = code[ordered], w[ordered], y[ordered]
         last = np.append(first[1:], len(node)) - 1
         place = np.repeat(np.arange(len(first)), last - first + 1)
         cw, cy = np.cumsum(w), np.cumsum(y)

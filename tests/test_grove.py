@@ -2,10 +2,11 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from stopline.models import bagging, encode, grove
+from stopline.models import bagging, encode, grove, trees
 
 COUNT, DEPTH, NAMES = 6, 7, ["a", "b", "v", "u"]
 
@@ -55,6 +56,25 @@ def test_trees_do_not_depend_on_where_they_are_grown(data, forest):
     assert {t for t, _ in whole} == set(range(COUNT)) and any(r["feature"] is None for r in whole.values())
 
 
+def test_trees_are_those_of_a_single_fit(spark, data):
+    """With every column tried at every node there is no chance left but the sample."""
+    df = VectorSlicer(inputCol="features", outputCol="cut", indices=[0, 1, 2]).transform(data[0]).select(
+        "key", "label", F.col("cut").alias("features")).persist()
+    bins = grove.bins_of(df)
+    rows = grove.blocks(df, "key", bins, 3, held=False)
+    got = grove.tree_nodes(grove.fit(rows, bins, 3, 3, 4, group_rows=200), bins, NAMES[:3])
+    model = bagging.joined_forest(spark, [t for t, _ in bagging.fit_trees(df, "key", 5, 3, 3, 4)], 3)
+    want = trees.tree_nodes(spark, bagging.saved(spark, model), NAMES[:3])
+
+    def shape(nodes):
+        return sorted((r["tree"], r["variable"] or "", r["weight"], r["prediction"], round(max(r["gain"], 0), 9),
+                       tuple(r["split_code"])) for r in nodes.collect())
+    assert shape(got) == shape(want)
+    mine = {r["variable"]: r["importance"] for r in grove.impurity_importance(spark, got, NAMES[:3]).collect()}
+    for r in trees.impurity_importance(spark, model, NAMES[:3]).collect():
+        assert mine[r["variable"]] == pytest.approx(r["importance"])
+
+
 def test_jobs_do_not_grow_with_the_trees(spark, data):
     _, _, bins, mine, _ = data
     spark.sparkContext.setJobGroup("grow", "")
@@ -81,7 +101,7 @@ def test_samples_weights_and_root_splits(data, forest):
         best = 0
         for j in grove.candidates(7, np.array([t]), np.array([1]), 4, 2)[0]:
             codes = np.unique(x[w > 0, j])
-            order = sorted(codes, key=lambda c: ((w * y)[x[:, j] == c].sum() / w[x[:, j] == c].sum(), c) if j < 2 else c)
+            order = sorted(codes, key=lambda c: ((w * y)[x[:, j] == c].sum(), c) if j < 2 else c)
             for k in range(1, len(order)):
                 left = np.isin(x[:, j], order[:k])
                 best = max(best, gini(w > 0) - gini(left) - gini(~left))
