@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stopline.operators.skew import join_any_size
+from stopline.session import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -217,14 +218,14 @@ FROM (SELECT date_trunc('hour', ts) AS date_time, cast(round(avg(value) * 100) A
   FROM events GROUP BY 1) w"""
 
 
-def derived(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """Run portable SQL over the given tables."""
-    return spark.sql(for_spark(sql).replace("FROM events", "FROM {events}"),
-                     events=table(spark, sf_dir, "events"))
+def derived(spark: SparkSession, sf_dir: str, sql: str, wide: bool = False) -> DataFrame:
+    """Run portable SQL over the given tables; `wide` work per event is spread over all cores."""
+    events = table(spark, sf_dir, "events")
+    return spark.sql(for_spark(sql).replace("FROM events", "FROM {events}"), events=spread(events, "events") if wide else events)
 
 
-def stops_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derived(spark, sf_dir, STOPS_RAW)
+def stops_raw(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
+    return derived(spark, sf_dir, STOPS_RAW, wide)
 
 
 def weather_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

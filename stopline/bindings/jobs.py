@@ -58,12 +58,12 @@ FEATURED = rf"""SELECT *, regexp_matches(location, '270|495') AS highway,
   FROM ({CLEANED}) c"""
 
 
-def merged(spark, sf) -> DataFrame:
-    return jobs.merge_weather(stops_raw(spark, sf), weather_raw(spark, sf))
+def merged(spark, sf, wide=False) -> DataFrame:
+    return jobs.merge_weather(stops_raw(spark, sf, wide), weather_raw(spark, sf))
 
 
-def featured(spark, sf) -> DataFrame:
-    return jobs.features(jobs.clean(merged(spark, sf)))
+def featured(spark, sf, wide=False) -> DataFrame:
+    return jobs.features(jobs.clean(merged(spark, sf, wide)))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -74,7 +74,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def model_table(spark, sf) -> DataFrame:
     """The stored modelling frame all model queries start from."""
     return kept(spark, sf, "model-frame", lambda: stored(
-        jobs.model_frame(jobs.exploration_frame(featured(spark, sf))), "model-frame"))
+        jobs.model_frame(jobs.exploration_frame(featured(spark, sf, wide=True))), "model-frame"))
 
 
 @query(MERGED)

@@ -19,12 +19,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stopline.models.bagging import CUTS, draw, with_partner
 from stopline.models.lasso import added_up
-from stopline.operators.selection import exact_quantiles
+from stopline.operators.selection import exact_quantiles, extents
 from stopline.session import discard_at_exit, new_path, small_table, store
 
 BINS = 32                 # of a number
@@ -34,6 +34,7 @@ PART_ROWS = 1 << 18       # that meet a tree in one task
 ROWS_AT_ONCE = 1 << 26    # rows x trees in one shuffle
 CELLS = 1 << 23           # numbers of one counting pass
 LEAST_GAIN = 1e-12
+BOTH = float(1 << 26)     # two sums in one: of less than 2 ** 26 copies each
 
 PACKET = "tree int, top bigint, n int, ids binary, feature binary, mask binary, gain binary, weight binary, ones binary, rows binary"
 
@@ -64,16 +65,24 @@ def bins_of(df: DataFrame, features: str = "features") -> Bins:
     attrs = df.schema[features].metadata["ml_attr"]["attrs"]
     levels = {a["idx"]: len(a.get("vals", "01")) for kind in ("nominal", "binary") for a in attrs.get(kind, [])}
     width = sum(len(a) for a in attrs.values())
-    x = df.select(*[vector_to_array(features)[j].alias(f"x{j}") for j in range(width) if j not in levels])
+    numbers = [j for j in range(width) if j not in levels]
     cuts: list = [None] * width
-    for j in range(width):
-        if j in levels:
-            continue
-        values = sorted(r[0] for r in x.select(f"x{j}").distinct().limit(BINS + 1).collect())
-        if len(values) <= BINS:
-            cuts[j] = np.array([(a + b) / 2 for a, b in zip(values, values[1:])])
-        else:
-            cuts[j] = np.unique(exact_quantiles(x, f"x{j}", [k / BINS for k in range(1, BINS)]))
+    if not numbers:
+        return Bins(cuts, max([BINS, *levels.values()]))
+    x = df.select(vector_to_array(features).alias("x")).select(*[F.get("x", F.lit(j)).alias(f"x{j}") for j in numbers])
+    long = x.select(F.inline(F.array(*[F.struct(F.lit(j).alias("j"), F.col(f"x{j}").alias("v")) for j in numbers])))
+    first = Window.partitionBy("j").orderBy("v")  # keeps BINS + 1 values a column before the shuffle
+    least = long.distinct().withColumn("k", F.row_number().over(first)).where(F.col("k") <= BINS + 1)
+    values: dict = {j: [] for j in numbers}
+    for r in least.select("j", "v").collect():
+        values[r["j"]].append(r["v"])
+    many = [j for j in numbers if len(values[j]) > BINS]
+    spans = extents(x, [f"x{j}" for j in many]) if many else {}
+    found = exact_quantiles(long.where(F.col("j").isin(many)), "v", [k / BINS for k in range(1, BINS)],
+                            {j: spans[f"x{j}"] for j in many}, "j") if many else {}
+    for j in numbers:
+        few = sorted(values[j])
+        cuts[j] = np.unique(found[j]) if j in found else np.array([(a + b) / 2 for a, b in zip(few, few[1:])])
     return Bins(cuts, max([BINS, *levels.values()]))
 
 
@@ -196,34 +205,39 @@ class Best:
 
 # ---- growing ----
 
+def apart(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the copies and of the positive copies, from those of copies * (1 + BOTH * class), which are exact."""
+    ones = np.floor(sums / BOTH)
+    return sums - ones * BOTH, ones
+
+
 def grow(codes: np.ndarray, y: np.ndarray, w: np.ndarray, tree: int, top: int, mtry: int, max_depth: int, factor: np.ndarray,
          size: int, seed: int) -> dict[str, np.ndarray]:
     """All nodes below and with node `top` (numbered from 1 at the root), grown level by level on these rows."""
-    w = w.astype(float)
-    wy = w * y
+    both = w * (1.0 + BOTH * y)
     rows, at, ids = np.arange(len(y)), np.zeros(len(y), np.int64), np.array([top], np.int64)
     levels = []
     while len(ids):
         m = len(ids)
-        weight, ones = np.bincount(at, w[rows], m), np.bincount(at, wy[rows], m)
+        weight, ones = apart(np.bincount(at, both, m))
         node = {"ids": ids, "feature": np.full(m, -1, np.int16), "mask": np.zeros((m, size), bool), "gain": np.full(m, -1.0),
                 "weight": weight, "ones": ones, "rows": np.bincount(at, minlength=m).astype(np.int64)}
         levels.append(node)
         able = (ones > 0) & (ones < weight) & (int(ids[0]).bit_length() <= max_depth)
-        rows, at = rows[able[at]], (np.cumsum(able) - 1)[at[able[at]]]
+        go = able[at]
+        rows, both, at = rows[go], both[go], (np.cumsum(able) - 1)[at[go]]
         able = np.flatnonzero(able)
         if not len(able):
             break
         tried, best = candidates(seed, tree, ids[able], codes.shape[1], mtry), Best(len(able), size)
         for k in range(tried.shape[1]):
             cell = at * size + codes[rows, tried[at, k]]
-            best.offer(tried[:, k], factor, np.bincount(cell, w[rows], len(able) * size),
-                       np.bincount(cell, wy[rows], len(able) * size))
+            best.offer(tried[:, k], factor, *apart(np.bincount(cell, both, len(able) * size)))
         split = best.gain > LEAST_GAIN
         done = able[split]
         node["feature"][done], node["mask"][done], node["gain"][done] = best.feature[split], best.mask[split], best.gain[split]
         go = split[at]
-        rows, at = rows[go], at[go]
+        rows, both, at = rows[go], both[go], at[go]
         left = best.mask[at, codes[rows, best.feature[at]]]
         at = 2 * (np.cumsum(split) - 1)[at] + ~left
         ids = (2 * ids[done][:, None] + np.array([0, 1])).ravel()

@@ -256,27 +256,34 @@ def forest_results(train: DataFrame, test: DataFrame, encoder: PipelineModel, na
     mine = grove.blocks(train, key, bins, most, held=False, partner=True, carry="violation_type")
     rows = mine.unionByName(grove.blocks(test, key, bins, most, held=True, carry="violation_type"))
     first = grid[0]["trees"], grid[0]["mtry"]
-    votes: dict = {}
-    for mtry in dict.fromkeys(g["mtry"] for g in grid):
-        sizes = sorted({g["trees"] for g in grid if g["mtry"] == mtry})
-        grown = grove.fit(mine, bins, sizes[-1], mtry, max_depth)
-        found = grove.votes(grown, rows, key, bins, sizes[-1], sizes)
-        votes.update({(t, mtry): (found, i) for i, t in enumerate(sizes)})
-        if mtry == first[1]:
-            best = grown.where(F.col("tree") < first[0])
-    votes = {(g["trees"], g["mtry"]): votes[g["trees"], g["mtry"]] for g in grid}
     path = model_path or new_path(spark, "forest")
-    best.write.parquet(path)
-    if not model_path:
-        discard_at_exit(spark, path)
-    best = grove.load(spark, path)
-    nodes = store(grove.tree_nodes(best, bins, names), "nodes")
-    local = grove.votes(best, mine, key, bins, first[0], [first[0]], importance=True)
+    sizes = {m: sorted({g["trees"] for g in grid if g["mtry"] == m}) for m in dict.fromkeys(g["mtry"] for g in grid)}
+
+    def grow(mtry):
+        def run():
+            return grove.fit(mine, bins, sizes[mtry][-1], mtry, max_depth)
+        return run
+
+    def judge(mtry):
+        def run():
+            return grove.votes(grown[mtry], rows, key, bins, sizes[mtry][-1], sizes[mtry])
+        return run
+
+    def measure():
+        grown[first[1]].where(F.col("tree") < first[0]).write.parquet(path)
+        if not model_path:
+            discard_at_exit(spark, path)
+        best = grove.load(spark, path)
+        return (grove.votes(best, mine, key, bins, first[0], [first[0]], importance=True),
+                store(grove.tree_nodes(best, bins, names), "nodes"))
+
+    grown = dict(zip(sizes, trees.in_parallel(spark, [grow(m) for m in sizes], len(sizes))))
+    (local, nodes), *judged = trees.in_parallel(spark, [measure, *map(judge, sizes)], len(sizes) + 1)
+    judged = dict(zip(sizes, judged))
+    votes = {(g["trees"], g["mtry"]): (judged[g["mtry"]], sizes[g["mtry"]].index(g["trees"])) for g in grid}
     permuted = bagging.accuracy_importance(local, names)
     run = {g: f"{g[0]} trees, mtry {g[1]}" for g in votes}
     scored = {g: class_names(grove.predicted(v, at, "violation_type")) for g, (v, at) in votes.items()}
-    confusions = [evaluate.confusion_report(spark, evaluate.confusion_counts(
-        scored[g], "predicted", "violation_type", "Citation"), run[g]) for g in votes]
     out_of_bag = {g: (v.where("not held"), at) for g, (v, at) in votes.items()}
     classes = stats.union_reports(*[
         bagging.oob_class_table(v, at).select(
@@ -284,9 +291,18 @@ def forest_results(train: DataFrame, test: DataFrame, encoder: PipelineModel, na
             F.when(F.col("label") == 1, "Citation").otherwise("Warning").alias("violation_type"),
             F.col("votes_1").alias("citation"), F.col("votes_0").alias("warning"), "class_error")
         for g, (v, at) in out_of_bag.items()])
+
+    def score(g):
+        return lambda: (*g, bagging.oob_error(*out_of_bag[g]), trees.prediction_counts(scored[g], "label"))
+
+    def report(g):
+        return lambda: evaluate.confusion_report(spark, evaluate.confusion_counts(
+            scored[g], "predicted", "violation_type", "Citation"), run[g])
+
+    done = trees.in_parallel(spark, [f(g) for f in (score, report) for g in votes], 2 * len(votes))
+    scores, confusions = done[:len(votes)], done[len(votes):]
     return {
-        "scores": bagging.scores_table(spark, [
-            (*g, bagging.oob_error(*out_of_bag[g]), trees.prediction_counts(scored[g], "label")) for g in votes]),
+        "scores": bagging.scores_table(spark, scores),
         "out_of_bag": classes,
         "confusion": stats.union_reports(*confusions),
         "importance": trees.rank_importance(grove.impurity_importance(spark, nodes, names)),
