@@ -29,7 +29,7 @@ from stopline.session import discard_at_exit, new_path, small_table, store
 
 BINS = 32                 # of a number
 BLOCK_ROWS = 1 << 14
-GROUP_ROWS = 1 << 16      # of a node whose subtree one task grows
+GROUP_ROWS = 1 << 18      # of a node whose subtree one task grows
 PART_ROWS = 1 << 18       # that meet a tree in one task
 ROWS_AT_ONCE = 1 << 26    # rows x trees in one shuffle
 CELLS = 1 << 23           # numbers of one counting pass
@@ -525,6 +525,13 @@ def votes(nodes: DataFrame, rows: DataFrame, key: str, bins: Bins, count: int, s
             ids, feature, mask = tree["ids"], tree["feature"], tree["mask"]
             left, right = np.searchsorted(ids, 2 * ids), np.searchsorted(ids, 2 * ids + 1)
             share = tree["ones"] / tree["weight"]
+            used = np.zeros((len(ids) if importance else 0, width), bool)  # columns asked on the way to a node
+            depth = np.frexp(ids.astype(float))[1]
+            for d in range(1, depth.max(initial=0) if importance else 0):
+                inner = np.flatnonzero((depth == d) & (feature >= 0))
+                way = used[inner]
+                way[np.arange(len(inner)), feature[inner]] = True
+                used[left[inner]] = used[right[inner]] = way
 
             def walk(x):
                 node = np.zeros(len(x), np.int64)
@@ -533,22 +540,23 @@ def votes(nodes: DataFrame, rows: DataFrame, key: str, bins: Bins, count: int, s
                     here = node[going]
                     node[going] = np.where(mask[here, x[going, feature[here]]], left[here], right[here])
                     going = going[feature[node[going]] >= 0]
-                return share[node]
+                return node
 
             out = []
             for block, at, label, codes, other in zip(*[mine[c].to_pylist() for c in ("block", "at", "label", "codes", "other")]):
                 x = np.frombuffer(codes, kind).reshape(-1, width)
-                said = walk(x) if len(ids) else np.zeros(len(x))
+                end = walk(x) if len(ids) else np.zeros(len(x), int)
+                said = share[end] if len(ids) else np.zeros(len(x))
                 lost = b""
                 if other:
                     z, y = np.frombuffer(other, kind).reshape(-1, width), np.frombuffer(label, np.uint8)
                     right_now = (said > 0.5) == y
                     less = np.zeros((len(x), width), np.int8)
                     for j in np.unique(feature[feature >= 0]):
-                        moved = np.flatnonzero(x[:, j] != z[:, j])
+                        moved = np.flatnonzero((x[:, j] != z[:, j]) & used[end, j])  # the others end where they did
                         changed = x[moved].copy()
                         changed[:, j] = z[moved, j]
-                        less[moved, j] = right_now[moved].astype(np.int8) - ((walk(changed) > 0.5) == y[moved])
+                        less[moved, j] = right_now[moved].astype(np.int8) - ((share[walk(changed)] > 0.5) == y[moved])
                     lost = less.tobytes()
                 out.append((block, mine["tree"][0].as_py(), at, said.tobytes(), lost))
             kinds = (pa.int64(), pa.int32(), *[pa.binary()] * 3)

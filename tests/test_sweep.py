@@ -93,3 +93,44 @@ def test_a_small_file_is_work_for_all_cores(spark, sf, monkeypatch):
     monkeypatch.setattr("stopline.bindings.common.spread", lambda df, name: used.append(name) or df)
     few, all_of = bound.featured(spark, sf), bound.featured(spark, sf, wide=True)
     assert used == ["events"] and few.exceptAll(all_of).count() == 0
+
+
+def test_only_rows_that_a_column_decides_are_judged_again(spark):
+    """Local importance equals that of a plain walk of every row with every column changed."""
+    rng = np.random.RandomState(4)
+    rows = [(i, *map(float, rng.randint(0, 6, 5))) for i in range(500)]
+    names = [f"v{j}" for j in range(5)]
+    df = spark.createDataFrame(rows, "key long, " + ", ".join(f"{n} double" for n in names)).withColumn(
+        "label", ((F.col("v0") > 2) != (F.col("v1") > 3)).cast("double")).withColumn("u", F.lit("u"))
+    df = encode.index_only(df, ["u"], names).transform(df)
+    bins = grove.bins_of(df)
+    mine = grove.blocks(df, "key", bins, 2, held=False, partner=True)
+    grown = grove.fit(mine, bins, 2, 2, 5)
+    found = {r["key"]: (r["seen"][0], r["lost"]) for r in grove.votes(grown, mine, "key", bins, 2, [2], importance=True).collect()}
+    nodes = {(r["tree"], r["node"]): r for r in grove.tree_nodes(grown, bins, ["u", *names]).collect()}
+
+    def said(tree, x):
+        r = nodes[tree, 0]
+        while r["feature"] is not None:
+            j = r["feature"]
+            left = x[j] in r["split_code"] if j == 0 else (bins.cuts[j][:x[j]].size == 0 or bins.cuts[j][x[j] - 1] < r["split_code"][0])
+            r = nodes[tree, r["left"] if left else r["right"]]
+        return r["prediction"]
+
+    for b in mine.collect():
+        x, z = (np.frombuffer(b[c], bins.kind).reshape(b["n"], 6) for c in ("codes", "other"))
+        y, copies = np.frombuffer(b["label"], np.uint8), np.frombuffer(b["copies"], np.uint8).reshape(2, -1)
+        for i, key in enumerate(b["keys"]):
+            lost = [0] * 6
+            trees = [t for t in range(2) if copies[t, i] == 0]
+            for t in trees:
+                for j in range(6):
+                    other = x[i].copy()
+                    other[j] = z[i, j]
+                    lost[j] += int(said(t, x[i]) == y[i]) - int(said(t, other) == y[i])
+            assert found[key] == (len(trees), lost)
+    assert any(sum(map(abs, v[1])) for v in found.values())
+
+
+def test_a_node_of_200_thousand_rows_is_one_task():
+    assert grove.GROUP_ROWS >= 200_000
