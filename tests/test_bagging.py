@@ -6,7 +6,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from stopline.models import bagging, encode, trees
+from stopline.models import bagging, boosting, encode, trees
 
 
 @pytest.fixture(scope="module")
@@ -130,3 +130,42 @@ def test_depths_of_a_deep_tree(spark):
     assert deep[1, 0] == 0 and all(deep[0, 2 * i] == i for i in range(21)) and deep[0, 39] == 20
     least = {r["variable"]: r["minimal_depth"] for r in trees.min_depth_distribution(nodes).collect()}
     assert least == {"v0": 0, "v1": 1, "v2": 2}
+
+
+def test_sums_by_code():
+    rng = np.random.default_rng(3)
+    sizes, n = [3, 200, 5], boosting.CHUNK_ROWS + 77
+    codes, numbers = np.array([rng.integers(0, s, n) for s in sizes]), rng.normal(size=(2, n))
+    sums = boosting.code_sums(codes, np.cumsum([0, *sizes]), sizes, numbers)
+    want = [np.concatenate([np.bincount(c, x, s) for c, s in zip(codes, sizes)]) for x in numbers]
+    assert np.allclose(sums, np.transpose(want))
+
+
+def test_joint_boosting_equals_separate_fits(spark):
+    """Numbers of many values, a factor of many levels, several stored scores: the counts are those of Spark's own ensembles."""
+    rng = np.random.default_rng(5)
+    n = 1500
+    x = {"key": np.arange(n), "a": rng.normal(size=n), "b": rng.integers(0, 9, n) / 4, "f": rng.integers(0, 150, n), "g": rng.integers(0, 2, n)}
+    push = 1.5 * x["a"] + x["b"] + (x["f"] % 7 == 0) * 2 - (x["g"] == 1) * (x["a"] > 0) + rng.normal(size=n)
+    plain = spark.createDataFrame(pa.table({**x, "f": x["f"].astype(str), "g": x["g"].astype(str), "label": (push > 1.3).astype(float)}))
+    encoder = encode.index_only(plain, ["f", "g"], ["a", "b"])
+    df, bins = encoder.transform(plain).select("key", "label", "features").cache(), encode.max_levels(encoder)
+    folded = trees.with_fold(df, "key", 3)
+    stages, shrinkages, depths = (1, 7, 12), (0.1, 0.4), (1, 3)
+    found = boosting.grid_counts(folded, bins, stages, depths, shrinkages, 15, 3)
+    assert len(found) == len(stages) * len(shrinkages) * len(depths) * 3
+    for s in shrinkages:
+        for d in depths:
+            for f in range(3):
+                fit = trees.boosted_trees(bins, max(stages), d, s, 15).fit(folded.where(F.col("fold") != f))
+                want = trees.stage_scores([bagging.boosted_prefix(spark, fit, t) for t in stages], folded.where(F.col("fold") == f), "label")
+                assert [found[s, d, f, t] for t in stages] == [tuple(w[c] for c in ("tp", "fp", "fn", "tn")) for w in want]
+
+
+def test_only_the_best_point_is_fitted_apart(data, monkeypatch):
+    df, bins, _ = data
+    fits = []
+    plain = trees.boosted_trees
+    monkeypatch.setattr(trees, "boosted_trees", lambda *a, **k: fits.append(a) or plain(*a, **k))
+    _, best, table = trees.fit_gbt_grid(df, "key", bins, trees=(1, 2), depths=(1, 2), shrinkages=(0.1, 0.5), min_rows=5, folds=2)
+    assert len(fits) == 1 and table.count() == 8 and best[2] in (1, 2)
