@@ -9,7 +9,7 @@ from stopline import schema
 from stopline.bindings.common import STOPS_RAW, WEATHER_RAW, kept, query, stops_raw, weather_raw
 from stopline.operators import cleaning, stats
 from stopline.plans import jobs
-from stopline.session import discard_at_exit, new_path, store
+from stopline.session import compiled_methods, discard_at_exit, new_path, store
 from stopline.sources import tables
 
 _NUMBERS = ", ".join(f"coalesce({c}, 0) AS {c}" for c in schema.WEATHER_NUMBERS)
@@ -73,8 +73,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def model_table(spark, sf) -> DataFrame:
     """The stored modelling frame all model queries start from."""
-    return kept(spark, sf, "model-frame", lambda: stored(
-        jobs.model_frame(jobs.exploration_frame(featured(spark, sf, wide=True))), "model-frame"))
+    def make():
+        with compiled_methods(spark):
+            return stored(jobs.model_frame(jobs.exploration_frame(featured(spark, sf, wide=True))), "model-frame")
+    return kept(spark, sf, "model-frame", make)
 
 
 @query(MERGED)

@@ -29,8 +29,8 @@ from stopline.session import discard_at_exit, new_path, small_table, store
 
 BINS = 32                 # of a number
 BLOCK_ROWS = 1 << 14
-GROUP_ROWS = 1 << 18      # of a node whose subtree one task grows
-PART_ROWS = 1 << 18       # that meet a tree in one task
+GROUP_ROWS = 1 << 20      # of a node whose subtree one task grows
+PART_ROWS = 1 << 21       # that meet a tree in one task; each tree, which grows with the rows, is sent to all parts
 ROWS_AT_ONCE = 1 << 26    # rows x trees in one shuffle
 CELLS = 1 << 23           # numbers of one counting pass
 LEAST_GAIN = 1e-12
@@ -214,8 +214,8 @@ def apart(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def grow(codes: np.ndarray, y: np.ndarray, w: np.ndarray, tree: int, top: int, mtry: int, max_depth: int, factor: np.ndarray,
          size: int, seed: int) -> dict[str, np.ndarray]:
     """All nodes below and with node `top` (numbered from 1 at the root), grown level by level on these rows."""
-    both = w * (1.0 + BOTH * y)
-    rows, at, ids = np.arange(len(y)), np.zeros(len(y), np.int64), np.array([top], np.int64)
+    both, flat = w * (1.0 + BOTH * y), codes.ravel()
+    rows, at, ids = np.arange(len(y)) * codes.shape[1], np.zeros(len(y), np.int64), np.array([top], np.int64)  # rows: place of the first code
     levels = []
     while len(ids):
         m = len(ids)
@@ -224,22 +224,26 @@ def grow(codes: np.ndarray, y: np.ndarray, w: np.ndarray, tree: int, top: int, m
                 "weight": weight, "ones": ones, "rows": np.bincount(at, minlength=m).astype(np.int64)}
         levels.append(node)
         able = (ones > 0) & (ones < weight) & (int(ids[0]).bit_length() <= max_depth)
-        go = able[at]
-        rows, both, at = rows[go], both[go], (np.cumsum(able) - 1)[at[go]]
+        if not able.all():
+            go = np.flatnonzero(able.take(at))
+            rows, both, at = rows.take(go), both.take(go), (np.cumsum(able) - 1).take(at.take(go))
         able = np.flatnonzero(able)
         if not len(able):
             break
         tried, best = candidates(seed, tree, ids[able], codes.shape[1], mtry), Best(len(able), size)
+        first = at * size
         for k in range(tried.shape[1]):
-            cell = at * size + codes[rows, tried[at, k]]
-            best.offer(tried[:, k], factor, *apart(np.bincount(cell, both, len(able) * size)))
+            column = np.ascontiguousarray(tried[:, k])
+            cell = first + flat.take(rows + column.take(at))
+            best.offer(column, factor, *apart(np.bincount(cell, both, len(able) * size)))
         split = best.gain > LEAST_GAIN
         done = able[split]
         node["feature"][done], node["mask"][done], node["gain"][done] = best.feature[split], best.mask[split], best.gain[split]
-        go = split[at]
-        rows, both, at = rows[go], both[go], at[go]
-        left = best.mask[at, codes[rows, best.feature[at]]]
-        at = 2 * (np.cumsum(split) - 1)[at] + ~left
+        if not split.all():
+            go = np.flatnonzero(split.take(at))
+            rows, both, at = rows.take(go), both.take(go), at.take(go)
+        left = best.mask.ravel().take(at * size + flat.take(rows + best.feature.take(at)))
+        at = (2 * (np.cumsum(split) - 1)).take(at) + ~left
         ids = (2 * ids[done][:, None] + np.array([0, 1])).ravel()
     return merge_leaves({k: np.concatenate([x[k] for x in levels]) for k in levels[0]})
 
@@ -306,14 +310,42 @@ class Tops:
         return new
 
     def walk(self, tree: int, codes: np.ndarray) -> np.ndarray:
-        node = np.full(len(codes), tree)
-        going = np.flatnonzero(self.feature[node] >= 0)
-        while len(going):
-            here = node[going]
-            left = self.mask[here, codes[going, self.feature[here]]]
-            node[going] = self.left[here] + ~left
-            going = going[self.feature[node[going]] >= 0]
-        return node
+        if self.feature[tree] < 0:
+            return np.full(len(codes), tree)
+        return walk(np.full(len(codes), tree), codes, self.feature, self.mask, np.stack([self.left, self.left + 1], 1))
+
+
+def walk(node: np.ndarray, codes: np.ndarray, feature: np.ndarray, mask: np.ndarray, child: np.ndarray,
+         asked: np.ndarray | None = None, row: np.ndarray | None = None, other: tuple | None = None) -> np.ndarray:
+    """The leaf each line reaches from its inner node `node`; `child`: left and right of each node.
+
+    asked: (lines, columns), gets the first node that asked a line for a column. row: a line's row of `codes`, if not
+    its own. other: a column of each line, and the code the line has there instead of the row's.
+    """
+    size, width, inner, child = mask.shape[1], codes.shape[1], feature >= 0, child.ravel()
+    flat, mask = codes.ravel(), mask.ravel()
+    out, going, here = np.empty(len(node), np.int64), np.arange(len(node)), node
+    at = (going if row is None else row) * width
+    if other:
+        column, instead = other
+    while len(going):
+        asks = feature.take(here)
+        code = flat.take(at + asks)
+        if other:
+            code = np.where(asks == column, instead, code)
+        if asked is not None:
+            cell = at + asks
+            new = np.flatnonzero(asked.ravel().take(cell) < 0)
+            asked.ravel()[cell.take(new)] = here.take(new)
+        here = child.take(2 * here + ~mask.take(here * size + code))
+        on = inner.take(here)
+        if not on.all():
+            done, on = np.flatnonzero(~on), np.flatnonzero(on)
+            out[going.take(done)] = here.take(done)
+            going, here, at = going.take(on), here.take(on), at.take(on)
+            if other:
+                column, instead = column.take(on), instead.take(on)
+    return out
 
 
 def _read(row: dict, kind, width: int):
@@ -344,23 +376,25 @@ def upper_nodes(train: DataFrame, bins: Bins, count: int, mtry: int, max_depth:
 
             def compute(batches):
                 tops, slot, cand = shared.value
-                total = np.zeros((cand.shape[1], 3, len(cand) * size))
+                total, columns = np.zeros((cand.shape[1], 3, len(cand) * size)), np.ascontiguousarray(cand.T)
+                some = np.unique(tops.tree[slot >= 0])
                 for batch in batches:
                     for row in batch.to_pylist():
                         y, codes, copies = _read(row, kind, width)
-                        for t in np.unique(tops.tree[slot >= 0]):
+                        for t in some:
                             mine = np.flatnonzero(copies[t])
                             x = codes[mine]
-                            s = slot[tops.walk(t, x)]
-                            x, mine, s = x[s >= 0], mine[s >= 0], s[s >= 0]
-                            if not len(s):
+                            s = slot.take(tops.walk(t, x))
+                            here = np.flatnonzero(s >= 0)
+                            if not len(here):
                                 continue
+                            mine, s, at = mine.take(here), s.take(here), here * width
                             lo, m = s.min(), (s.max() - s.min() + 1) * size
-                            w = copies[t][mine].astype(float)
+                            both, first = copies[t].take(mine) * (1.0 + BOTH * y.take(mine)), (s - lo) * size
                             for k in range(cand.shape[1]):
-                                cell = (s - lo) * size + x[np.arange(len(s)), cand[s, k]]
-                                for i, v in enumerate((w, w * y[mine], None)):
-                                    total[k, i, lo * size:lo * size + m] += np.bincount(cell, v, m)
+                                cell = first + x.ravel().take(at + columns[k].take(s))
+                                for i, v in enumerate((*apart(np.bincount(cell, both, m)), np.bincount(cell, minlength=m))):
+                                    total[k, i, lo * size:lo * size + m] += v
                 return total.ravel()
 
             total = added_up(columns, compute, len(at) * each).reshape(tried.shape[1], 3, -1)
@@ -525,38 +559,24 @@ def votes(nodes: DataFrame, rows: DataFrame, key: str, bins: Bins, count: int, s
             ids, feature, mask = tree["ids"], tree["feature"], tree["mask"]
             left, right = np.searchsorted(ids, 2 * ids), np.searchsorted(ids, 2 * ids + 1)
             share = tree["ones"] / tree["weight"]
-            used = np.zeros((len(ids) if importance else 0, width), bool)  # columns asked on the way to a node
-            depth = np.frexp(ids.astype(float))[1]
-            for d in range(1, depth.max(initial=0) if importance else 0):
-                inner = np.flatnonzero((depth == d) & (feature >= 0))
-                way = used[inner]
-                way[np.arange(len(inner)), feature[inner]] = True
-                used[left[inner]] = used[right[inner]] = way
-
-            def walk(x):
-                node = np.zeros(len(x), np.int64)
-                going = np.flatnonzero(feature[node] >= 0)
-                while len(going):
-                    here = node[going]
-                    node[going] = np.where(mask[here, x[going, feature[here]]], left[here], right[here])
-                    going = going[feature[node[going]] >= 0]
-                return node
+            child, inner = np.stack([left, right], 1), len(ids) > 0 and feature[0] >= 0
 
             out = []
             for block, at, label, codes, other in zip(*[mine[c].to_pylist() for c in ("block", "at", "label", "codes", "other")]):
                 x = np.frombuffer(codes, kind).reshape(-1, width)
-                end = walk(x) if len(ids) else np.zeros(len(x), int)
+                asked = np.full(x.shape, -1, np.int64) if other else None
+                end = walk(np.zeros(len(x), np.int64), x, feature, mask, child, asked) if inner else np.zeros(len(x), int)
                 said = share[end] if len(ids) else np.zeros(len(x))
                 lost = b""
                 if other:
                     z, y = np.frombuffer(other, kind).reshape(-1, width), np.frombuffer(label, np.uint8)
                     right_now = (said > 0.5) == y
                     less = np.zeros((len(x), width), np.int8)
-                    for j in np.unique(feature[feature >= 0]):
-                        moved = np.flatnonzero((x[:, j] != z[:, j]) & used[end, j])  # the others end where they did
-                        changed = x[moved].copy()
-                        changed[:, j] = z[moved, j]
-                        less[moved, j] = right_now[moved].astype(np.int8) - ((share[walk(changed)] > 0.5) == y[moved])
+                    # the others end where they did; these part from their way where the column is first asked
+                    row, column = np.nonzero((asked >= 0) & (x != z))
+                    if len(row):
+                        moved = walk(asked[row, column], x, feature, mask, child, None, row, (column, z[row, column]))
+                        less[row, column] = right_now[row].astype(np.int8) - ((share[moved] > 0.5) == y[row])
                     lost = less.tobytes()
                 out.append((block, mine["tree"][0].as_py(), at, said.tobytes(), lost))
             kinds = (pa.int64(), pa.int32(), *[pa.binary()] * 3)
